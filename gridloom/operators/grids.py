@@ -48,8 +48,8 @@ def key_grid(keys: DataFrame, start: datetime, end: datetime, minutes: int) -> D
     blocks = keys.withColumn("__block", F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(block))))
     blocks = blocks.repartition(*keys.columns, "__block")
     stop = F.least(F.col("__block") + F.lit(block - step), F.lit(last))
-    points = F.explode(F.sequence(F.col("__block"), stop, F.lit(step)))
-    return blocks.withColumn("datetime", F.timestamp_seconds(points)).drop("__block")
+    points = blocks.withColumn("__point", F.explode(F.sequence(F.col("__block"), stop, F.lit(step))))
+    return points.withColumn("datetime", F.timestamp_seconds("__point")).drop("__block", "__point")
 
 
 def bucket_mean(

@@ -108,4 +108,4 @@ def predicted_load_tahead(
     names = {(f, h): f"{f}_{h}h" for f in fields for h in horizons}
     cells = [F.avg(F.when(F.col("tAhead") == h, F.col(f))).alias(name) for (f, h), name in names.items()]
     result = series.groupBy("pid", "datetime").agg(*cells)
-    return result.dropna(how="all", subset=list(names.values()))
+    return result.where(bucket_any([f"`{name}`" for name in names.values()]))

@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state beside the heap, so that it may outgrow an executor's memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # The default INT96 has no statistics, so time ranges would not reach the reader.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
@@ -27,6 +31,7 @@ def build_session(app_name: str = "gridloom", master: str | None = None, **extra
             .config("spark.driver.host", "127.0.0.1")
             .config("spark.driver.bindAddress", "127.0.0.1")
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
         )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

@@ -55,6 +55,11 @@ _FORECAST = """
     l_quantity as forecast, l_discount as stdev, l_extendedprice as forecast_other, l_tax as forecast_solar,
     l_quantity * 0.5e0 as forecast_wind_on_shore
 """
+_BATCH = """
+    user_id % 97 as pid, 'demand' as type, event_type as customer, date_trunc('hour', ts) as datetimeFC,
+    value as forecast, cast(regexp_extract(props, '([0-9]+)', 1) as double) as stdev,
+    case when event_id % 3 = 0 then 'substituted' when event_id % 3 = 1 then 'actual' end as quality
+"""
 
 BINDINGS: dict[str, str | tuple[str, str]] = {
     "power": f"""select {_sid('user_id')} as system, event_type as type, ts as time, value as output,
@@ -122,14 +127,8 @@ BINDINGS: dict[str, str | tuple[str, str]] = {
             when l_linenumber % 4 = 2 then 24.0e0 else 47.0e0 end as tAhead from lineitem""",
     # Forecasts with their moment of creation: what a writer receives.
     "forecast_batches": (
-        """select l_suppkey as pid, 'demand' as type, l_linestatus as customer, l_shipdate as datetimeFC,
-        l_quantity as forecast, l_discount as stdev,
-        case when l_linenumber % 3 = 0 then 'substituted' when l_linenumber % 3 = 1 then 'actual' end as quality,
-        unix_seconds(o_orderdate) as created from lineitem join orders on l_orderkey = o_orderkey""",
-        """select l_suppkey as pid, 'demand' as type, l_linestatus as customer, l_shipdate as datetimeFC,
-        l_quantity as forecast, l_discount as stdev,
-        case when l_linenumber % 3 = 0 then 'substituted' when l_linenumber % 3 = 1 then 'actual' end as quality,
-        cast(epoch(o_orderdate) as bigint) as created from lineitem join orders on l_orderkey = o_orderkey""",
+        f"""select {_BATCH}, unix_seconds(date_trunc('day', ts)) - user_id % 5 * 86400 as created from events""",
+        f"""select {_BATCH}, cast(epoch(date_trunc('day', ts)) as bigint) - user_id % 5 * 86400 as created from events""",
     ),
     "weather_batches": (
         f"""select {_place('user_id')} as input_city, event_type as source, date_trunc('hour', ts) as datetime,
@@ -147,17 +146,25 @@ BINDINGS: dict[str, str | tuple[str, str]] = {
             when event_id % 7 = 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S')
             else strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+0100' end as datetime from events""",
     ),
-    "kpis": """select l_suppkey as pid, cast((l_linenumber * 1.5e0) as string) || 'h' as horizon, l_shipdate as date,
-        case when l_returnflag = 'A' then 'rMAE' when l_returnflag = 'R' then 'bias' else 'skill' end as kpi,
-        case when l_discount = 0 then cast('Infinity' as double) when l_tax = 0 then cast('-Infinity' as double)
-            when l_quantity < 5 then null when l_quantity > 45 then cast('NaN' as double) else l_quantity end as value
-        from lineitem""",
+    "kpis": """select user_id % 97 as pid, cast(((event_id % 5) * 1.5e0) as string) || 'h' as horizon,
+        date_trunc('day', ts) as date,
+        case when event_type = 'click' then 'rMAE' when event_type = 'view' then 'bias' else 'skill' end as kpi,
+        case when event_id % 50 = 0 then cast('Infinity' as double)
+            when event_id % 50 = 1 then cast('-Infinity' as double)
+            when event_id % 50 = 2 then null when event_id % 50 = 3 then cast('NaN' as double)
+            else value end as value from events""",
     "marketprices": "select o_orderpriority as Name, o_orderdate as time, o_totalprice as Price from orders",
     "marketprices_hourly": """select case when event_type = 'purchase' then 'NL' else event_type end as Name,
         date_trunc('hour', ts) as time, value as Price from events""",
     "profile_points": f"""select ts as time, 'y' || cast(user_id % 2 as string) as year_created,
         {_PROFILE_NAME} as field, value from events""",
     "sjv": f"select ts as time, 'y2024' as year_created, {_PROFILE_CELLS} from events",
+    "profile_batch": """select ts as time, 'y' || cast(user_id % 2 as string) as year_created, value as E1A_AMI_A,
+        cast(regexp_extract(props, '([0-9]+)', 1) as double) as E1A_AMI_I from events""",
+    # A feed with corrections: every third reading is sent again later with another value.
+    "power_feed": """select time, system, type, output, created from power union all
+        select time, system, type, output * 2.0e0 + 1.0e0 as output, created + 1000000000 as created from power
+        where created % 3 = 0""",
     "energy_split_coefs": """select l_suppkey as pid, l_linestatus as coef_name, l_shipdate as created,
         l_discount as coef_value from lineitem""",
     # Positions of the forecasting jobs, as (site, lat, lon).
@@ -204,7 +211,7 @@ def check_sql(text: str) -> str:
     wanted: list[str] = []
 
     def visit(body: str) -> None:
-        for name in re.findall(r"\b(?:from|join) (\w+)\b", body):
+        for name in re.findall(r"(?:\bfrom|\bjoin|,)\s+(\w+)\b", body):
             if name in BINDINGS and name not in wanted:
                 other = BINDINGS[name]
                 visit(other if isinstance(other, str) else other[1])

@@ -41,22 +41,24 @@ def stream_realised(readings: DataFrame, path: str, checkpoint: str) -> Streamin
 
 
 def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Mean per system and bucket of an append-only feed.
+    """Mean per system and bucket of an append-only feed, updated as points arrive.
 
-    A bucket is written once the watermark has passed it. Points later than ``delay`` are
-    lost, and a corrected point would count twice: use ``stream_corrected_buckets`` there.
+    State is one row per system and open bucket. Points later than ``delay`` are lost, and
+    a corrected point would count twice: use ``stream_corrected_buckets`` for such feeds.
     """
-    bucket = F.window("time", f"{minutes} minutes")
     means = (
         readings.withWatermark("time", delay)
-        .groupBy(bucket, "system")
+        .groupBy(F.window("time", f"{minutes} minutes"), "system")
         .agg(F.avg("output").alias("output"), F.count("output").alias("points"))
-        .select(F.col("window.start").alias("datetime"), "system", "output", "points")
+        .select(F.col("window.start").alias("time"), "system", "output", "points")
     )
+
+    def write(batch: DataFrame, _: int) -> None:
+        upsert_last_write_wins(batch, path, ["system"])
+
     return (
-        means.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        means.writeStream.outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
