@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from datetime import datetime
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import timeops
 from gridloom.functions.numeric import known
+from gridloom.operators.reshape import pivot_values
 
 # Points of one series that a single window task may order. A longer (or unknown)
 # time span is split into chunks of CHUNK_STEPS grid steps that exchange only
@@ -83,17 +84,16 @@ def _quoted(names: Sequence[str]) -> str:
 def _neighbours(points: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
     """Per row: the next row's step, and per column the known points at or before and after it.
 
-    All expressions share one partitioning and one order, so they need one sort.
+    A point is a (step, value) pair. All expressions share one partitioning and one
+    order, so they need one sort.
     """
     over = (f"PARTITION BY {_quoted(keys)} " if keys else "") + "ORDER BY `__i`"
     upto = f"({over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     added = {"__next": F.expr(f"lead(`__i`) OVER ({over})")}
     for n, c in enumerate(columns):
-        step = f"CASE WHEN `{c}` IS NOT NULL THEN `__i` END"
-        added[f"__pi{n}"] = F.expr(f"last_value({step}) IGNORE NULLS OVER {upto}")
-        added[f"__pv{n}"] = F.expr(f"last_value(`{c}`) IGNORE NULLS OVER {upto}")
-        added[f"__ni{n}"] = F.expr(f"lead({step}) IGNORE NULLS OVER ({over})")
-        added[f"__nv{n}"] = F.expr(f"lead(`{c}`) IGNORE NULLS OVER ({over})")
+        point = f"CASE WHEN `{c}` IS NOT NULL THEN named_struct('i', `__i`, 'v', `{c}`) END"
+        added[f"__p{n}"] = F.expr(f"last_value({point}) IGNORE NULLS OVER {upto}")
+        added[f"__n{n}"] = F.expr(f"lead({point}) IGNORE NULLS OVER ({over})")
     return points.withColumns(added)
 
 
@@ -107,29 +107,21 @@ def _chunked_neighbours(points: DataFrame, series: list[str], columns: Sequence[
     points = points.withColumn("__c", F.floor(F.col("__i") / F.lit(chunk)))
     edges = [F.min("__i").alias("__first")]
     for n, c in enumerate(columns):
-        step = F.when(F.col(c).isNotNull(), F.col("__i"))
-        edges += [
-            F.min(step).alias(f"__fi{n}"),
-            F.min_by(c, step).alias(f"__fv{n}"),
-            F.max(step).alias(f"__li{n}"),
-            F.max_by(c, step).alias(f"__lv{n}"),
-        ]
+        point = F.when(F.col(c).isNotNull(), F.struct(F.col("__i").alias("i"), F.col(c).alias("v")))
+        edges += [F.min(point).alias(f"__f{n}"), F.max(point).alias(f"__l{n}")]
     over = (f"PARTITION BY {_quoted(series)} " if series else "") + "ORDER BY `__c`"
     outside = [F.expr(f"lead(`__first`) OVER ({over})").alias("__xnext")]
     for n in range(len(columns)):
         outside += [
-            F.expr(f"lag(`__li{n}`) IGNORE NULLS OVER ({over})").alias(f"__xpi{n}"),
-            F.expr(f"lag(`__lv{n}`) IGNORE NULLS OVER ({over})").alias(f"__xpv{n}"),
-            F.expr(f"lead(`__fi{n}`) IGNORE NULLS OVER ({over})").alias(f"__xni{n}"),
-            F.expr(f"lead(`__fv{n}`) IGNORE NULLS OVER ({over})").alias(f"__xnv{n}"),
+            F.expr(f"lag(`__l{n}`) IGNORE NULLS OVER ({over})").alias(f"__xp{n}"),
+            F.expr(f"lead(`__f{n}`) IGNORE NULLS OVER ({over})").alias(f"__xn{n}"),
         ]
     keys = [*series, "__c"]
     carried = points.groupBy(*keys).agg(*edges).select(*keys, *outside)
     inside = _neighbours(points, keys, columns).join(carried, keys)
-    merged = {}
-    for name in ["__next"] + [f"__{p}{n}" for n in range(len(columns)) for p in ("pi", "pv", "ni", "nv")]:
-        merged[name] = F.coalesce(F.col(name), F.col(name.replace("__", "__x")))
-    return inside.withColumns(merged).drop("__c", *[name.replace("__", "__x") for name in merged])
+    names = ["next"] + [f"{side}{n}" for n in range(len(columns)) for side in "pn"]
+    merged = {f"__{name}": F.coalesce(f"__{name}", f"__x{name}") for name in names}
+    return inside.withColumns(merged).drop("__c", *[f"__x{name}" for name in names])
 
 
 def fill_gaps(
@@ -173,15 +165,15 @@ def fill_gaps(
     )
     filled = []
     for n, c in enumerate(columns):
-        before, after = F.col(f"__pv{n}"), F.col(f"__nv{n}")
-        distance = F.col("__g") - F.col(f"__pi{n}")
+        before, after = F.col(f"__p{n}.v"), F.col(f"__n{n}.v")
+        distance = F.col("__g") - F.col(f"__p{n}.i")
         # A known neighbour ahead is at least one step away, so the width is never 0.
-        width = F.col(f"__ni{n}") - F.col(f"__pi{n}")
+        width = F.col(f"__n{n}.i") - F.col(f"__p{n}.i")
         if method == "linear":
             between = before + (after - before) * distance / width
         else:
             between = before
-        value = F.when(F.col(f"__ni{n}").isNotNull(), between)
+        value = F.when(after.isNotNull(), between)
         value = value.otherwise(before) if tail else value
         if limit is not None:
             value = F.when(distance <= limit, value)
@@ -189,6 +181,23 @@ def fill_gaps(
     return grid.select(*series, F.timestamp_seconds(F.col("__g") * F.lit(step)).alias("datetime"), *filled)
 
 
+def fill_columns(
+    points: DataFrame,
+    columns: Sequence[str],
+    minutes: int,
+    limit: int | None = None,
+    span: tuple[datetime, datetime] | None = None,
+) -> DataFrame:
+    """``fill_gaps`` for one series with many columns.
+
+    The columns become series of their own: a single series would leave all the work to
+    one task, and many columns would make many window expressions.
+    """
+    long = points.unpivot(["datetime"], list(columns), "__field", "__value")
+    filled = fill_gaps(long, ["__field"], ["__value"], minutes, limit, span=span)
+    return pivot_values(filled, ["datetime"], "__field", {c: c for c in columns}, "__value")
+
+
 def interpolate_inside(points: DataFrame, series: Sequence[str], columns: Sequence[str], minutes: int, **kw) -> DataFrame:
     """Linear, without limit, nothing outside the first and last known value."""
     return fill_gaps(points, series, columns, minutes, limit=None, tail=False, **kw)
@@ -300,23 +309,25 @@ def interpolate_cubic(
     fields = {f.name: f for f in grid.schema.fields}
     schema = T.StructType([fields[s] for s in series] + [fields["__i"], T.StructField(column, T.DoubleType())])
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__i")
-        mask = pdf[column].notna().to_numpy()
-        at = pdf["__i"].to_numpy(dtype="float64")
-        value = pdf[column].to_numpy(dtype="float64").copy()
-        x = at[mask]
-        if mask.any():
-            inside = ~mask & (at >= x[0]) & (at <= x[-1])
+    def fill(piece: pa.Table) -> pa.Table:
+        at = piece["__i"].to_numpy().astype("float64")
+        order = np.argsort(at)
+        at = at[order]
+        value = piece[column].to_numpy().astype("float64")[order]
+        knot = ~np.isnan(value)
+        x = at[knot]
+        if len(x) > 1:
+            inside = ~knot & (at >= x[0]) & (at <= x[-1])
             if inside.any():
                 # Shifted to the first knot, to keep the powers small.
-                value[inside] = cubic_at(x - x[0], value[mask], at[inside] - x[0])
-        pdf[column] = value
-        return pdf.loc[pdf["__home"] == pdf["__piece"], [*series, "__i", column]]
+                value[inside] = cubic_at(x - x[0], value[knot], at[inside] - x[0])
+        own = piece["__home"].to_numpy()[order] == piece["__piece"].to_numpy()[order]
+        kept = piece.select([*series, "__i"]).take(pa.array(order[own]))
+        return kept.append_column(column, pa.array(value[own], from_pandas=True))
 
-    filled = pieces.groupBy(*series, "__piece").applyInPandas(fill, schema)
+    filled = pieces.groupBy(*series, "__piece").applyInArrow(fill, schema)
     return filled.select(
         *series,
         F.timestamp_seconds(F.col("__i") * F.lit(minutes * 60)).alias("datetime"),
-        F.nanvl(F.col(column), F.lit(None).cast("double")).alias(column),
+        column,
     )

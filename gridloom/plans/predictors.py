@@ -15,7 +15,7 @@ from gridloom.constants import (
     WEATHER_PARAMS,
 )
 from gridloom.functions.timeops import floor_value
-from gridloom.operators.grids import bucket_any, bucket_mean, fill_gaps, forward_fill, time_grid
+from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, fill_gaps, forward_fill, time_grid
 from gridloom.operators.places import nearest_locations
 from gridloom.plans.weather import weather_by_city
 from gridloom.sources.tables import scan_series
@@ -47,12 +47,12 @@ def load_profiles(
 ) -> DataFrame:
     """Standard load profiles: bucket means on one grid, gaps of up to 3 steps filled.
 
-    There is one series and nothing to partition it by, so gap filling works on chunks.
+    There is one series; its columns are filled side by side.
     """
     fields = list(fields)
     series = bucket_mean(scan_series(profiles, start, end), ["year_created"], fields, minutes)
     means = series.groupBy("datetime").agg(*[F.avg(f).alias(f) for f in fields]).where(bucket_any(fields))
-    return fill_gaps(means, [], fields, minutes, limit=PROFILE_GAP_LIMIT)
+    return fill_columns(means, fields, minutes, limit=PROFILE_GAP_LIMIT, span=(start, end))
 
 
 def weather_fields(add: Sequence[str] = ()) -> list[str]:
