@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.numeric import one_if_zero
 from gridloom.operators.grids import bucket_mean, fill_gaps
+from gridloom.operators.joins import fan_out_join
 from gridloom.operators.reshape import pivot_values
 
 
@@ -91,14 +92,13 @@ def weighted_job_load(
     """Net load of every job: bucket means times weight, summed over its systems.
 
     Systems are reduced to bucket means before they meet the jobs, so the join handles
-    one row per system and bucket however many readings there were. Which side is
-    broadcast is left to the size statistics. A factor of 0 counts as 1; with
-    ``ignore_factor`` only the polarity is applied.
+    one row per system and bucket however many readings there were; a system that most
+    jobs use is spread over tasks. A factor of 0 counts as 1; with ``ignore_factor`` only
+    the polarity is applied.
     """
     weights = job_weights(systems, job_systems, ignore_factor=ignore_factor)
     return (
-        system_means(readings, minutes)
-        .join(weights, "system")
+        fan_out_join(system_means(readings, minutes), weights, ["system"], by=["datetime"])
         .groupBy("pid", "datetime")
         .agg(F.sum(F.col("output") * F.col("weight")).alias("load"), F.count("output").alias("nEntries"))
     )
@@ -114,8 +114,7 @@ def job_load_per_system(
     """Load per job and system. Polarity 0 counts as 1 here, but a factor of 0 stays 0."""
     weights = job_weights(systems, job_systems, ignore_factor=ignore_factor, zero_factor_is_one=False)
     return (
-        system_means(readings, minutes)
-        .join(weights, "system")
+        fan_out_join(system_means(readings, minutes), weights, ["system"], by=["datetime"])
         .select("pid", "system", "datetime", (F.col("output") * F.col("weight")).alias("load"))
     )
 

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geo
+from gridloom.operators.joins import fan_out_join
 
-# Cell sizes in degrees, each half the one before; the first holds the globe.
-CELL_SIZES = [360.0 / 2**k for k in range(14)]
+# Cell sizes in degrees, each half the one before; the first holds the globe, the last
+# is about 300 m high, little more than the slack below.
+CELL_SIZES = [360.0 / 2**k for k in range(18)]
 
 # Two locations at the same rounded distance may differ by this much, plus slack
 # for the formula's error.
@@ -95,7 +97,7 @@ def systems_near_sites(
     )
     distance = geo.great_circle_km(F.col("__lat"), F.col("__lon"), F.col("lat"), F.col("lon"))
     return (
-        wanted.join(placed, ["__row", "__col"])
+        fan_out_join(placed, wanted, ["__row", "__col"], by=["sid"])
         .select("site", "sid", "lat", "lon", "region", distance.alias("distance"))
         .where(F.col("distance") < radius)
     )
@@ -118,6 +120,9 @@ def nearest_locations(
     locations = locations.select(
         "city", F.coalesce("lat", broken).alias("lat"), F.coalesce("lon", broken).alias("lon")
     )
+    # Of locations at one spot only the first by name can be among the nearest.
+    at_spot = Window.partitionBy("lat", "lon").orderBy("city")
+    locations = locations.withColumn("__n", F.row_number().over(at_spot)).where(F.col("__n") <= number).drop("__n")
     sizes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("size")) for k, s in enumerate(CELL_SIZES)])
 
     def in_cells(df: DataFrame) -> DataFrame:
@@ -167,5 +172,6 @@ def nearest_locations(
 
 def attach_distance(weather: DataFrame, nearest: DataFrame, number: int) -> DataFrame:
     """Give each site the series of its locations: with city and distance when there are several."""
-    joined = nearest.select("site", "input_city", "distance").join(weather, "input_city")
+    members = nearest.select("site", "input_city", "distance")
+    joined = fan_out_join(weather, members, ["input_city"], by=["datetime"])
     return joined.drop("input_city", "distance") if number == 1 else joined

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.constants import BLENDED_SOURCE, PROFILE_FIELDS
 from gridloom.functions import timeops
 from gridloom.functions.numeric import wind_at_height
+from gridloom.operators.joins import fan_out_join
 from gridloom.operators.load import load_by_systems, weighted_job_load
 from gridloom.operators.places import systems_near_sites
 from gridloom.operators.reshape import align_inner, finite_rows
@@ -109,7 +110,7 @@ def site_load(
         "system", F.col("datetime").alias("time"), F.col("load").alias("output")
     )
     members = site_systems.select("site", F.col("sid").alias("system"))
-    joined = means.join(members, "system")
+    joined = fan_out_join(means, members, ["system"], by=["time"])
     return load_by_systems(joined, minutes, average_output, keys=["site"]).select("site", "datetime", "load")
 
 

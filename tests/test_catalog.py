@@ -8,7 +8,7 @@ from tests.compare import difference, duck
 FOLDER = "/root/testdata/sf0.001"
 WRITING = [n for n in QUERIES if n.startswith(("write_", "stream_", "append_", "upsert_", "insert_"))]
 # Too few rows at this scale; checked at the next one.
-SPARSE = {"solar_ref", "splitting_input", "align_inner", "solar_input", "solar_input_radius"}
+SPARSE = {"solar_ref", "splitting_input", "align_inner", "solar_input", "solar_input_radius", "rejected_jobs"}
 
 
 @pytest.fixture(scope="module")

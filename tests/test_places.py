@@ -95,3 +95,9 @@ def test_wildcard_and_literal_prefixes(spark):
     full = systems.withColumns({c: F.lit(1) for c in ("qual", "freq", "lag")})
     assert {r["sid"] for r in places.random_pv_systems(full).collect()} == {"pv_1", "pv_2"}
     assert places.random_pv_systems(full, limit=1, seed=3).count() == 1
+
+
+def test_locations_at_one_spot(spark):
+    crowd = [(f"x{i:03d}", 52.0, 5.0) for i in range(200)] + [("a", 52.1, 5.0)]
+    found = places.nearest_locations(site(spark, (52.0, 5.0)), located(spark, crowd), 3).orderBy("rank").collect()
+    assert [(r["input_city"], r["distance"]) for r in found] == [("x000", 0.0), ("x001", 0.0), ("x002", 0.0)]
