@@ -14,7 +14,7 @@ from gridloom.functions.timeops import floor_value
 from gridloom.operators.grids import fill_gaps, interpolate_cubic, interpolate_inside, key_grid
 from gridloom.operators.load import weighted_job_load
 from gridloom.operators.places import systems_near_sites
-from gridloom.plans.predictors import predictors
+from gridloom.plans.predictors import GROUPS, predictors, with_city
 from gridloom.plans.splitting import site_load
 from gridloom.plans.weather import weather_latest
 from gridloom.sources.tables import scan_series
@@ -51,7 +51,10 @@ def model_input(
     Exactly one row per job and grid point; a job without load has null ``load``. The
     predictor tables and options go to ``predictors``.
     """
-    grid = key_grid(sites.select("site").distinct(), start, end, minutes)
+    # The location of a site is settled on the short table, before it becomes a grid.
+    weather_wanted = "weather_data" in (sources.get("groups") or GROUPS)
+    keys = with_city(sites, sources["locations"]) if weather_wanted else sites.select("site").distinct()
+    grid = key_grid(keys, start, end, minutes)
     load = filled_job_load(readings, systems, job_systems, start, end, minutes)
     loaded = grid.join(load.withColumnRenamed("pid", "site"), ["site", "datetime"], "left")
     result = predictors(loaded, start, end, minutes, sites=sites, **sources)

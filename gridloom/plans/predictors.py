@@ -12,14 +12,18 @@ from gridloom.constants import (
     BLENDED_SOURCE,
     PROFILE_FIELDS,
     PROFILE_GAP_LIMIT,
+    WEATHER_GAP_LIMIT,
     WEATHER_PARAMS,
 )
-from gridloom.functions.timeops import floor_value
-from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, fill_gaps, forward_fill, time_grid
+from gridloom.functions.timeops import grid_size
+from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, fill_gaps, forward_fill
 from gridloom.operators.places import nearest_locations
 from gridloom.plans.weather import weather_by_city
 from gridloom.sources.tables import scan_series
 
+# Largest table by time that is broadcast, from its rows and columns.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 GROUPS = ["weather_data", "market_data", "load_profiles"]
 
 
@@ -67,19 +71,37 @@ def weather_predictors(
     source: str | Sequence[str] = BLENDED_SOURCE,
     source_order: Sequence[str] | None = None,
     add_weather_params: Sequence[str] = (),
-    limit: int = 11,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
-    """Weather parameters of every location on the target grid.
+    """Weather parameters of every location, or of ``cities``, on the target grid.
 
     Stored fields that the table lacks are left out. Weather is read on the quarter grid
     and filled there, then brought to the target grid and filled again.
     """
     fields = [f for f in weather_fields(add_weather_params) if f in weather.columns]
-    quarter = weather_by_city(weather, fields, start, end, source, 15, source_order)
+    quarter = weather_by_city(weather, fields, start, end, source, 15, source_order, cities=cities)
     if minutes == 15:
         return quarter.drop("source")
     means = bucket_mean(quarter, ["input_city"], fields, minutes, time="datetime")
-    return fill_gaps(means, ["input_city"], fields, minutes, limit=limit, span=(start, end))
+    return fill_gaps(means, ["input_city"], fields, minutes, limit=WEATHER_GAP_LIMIT, span=(start, end))
+
+
+def with_city(sites: DataFrame, locations: DataFrame) -> DataFrame:
+    """(site, input_city): the nearest weather location, null for a site without coordinates."""
+    nearest = nearest_locations(sites, locations).select("site", "input_city")
+    return sites.select("site").distinct().join(nearest, "site", "left")
+
+
+def join_by_time(
+    result: DataFrame, shared: DataFrame, start: datetime, end: datetime, minutes: int, how: str = "left"
+) -> DataFrame:
+    """Join a table that has at most one row per grid point.
+
+    The range bounds its rows, so whether it may be broadcast is known beforehand; a
+    longer table is joined by shuffle.
+    """
+    size = grid_size(start, end, minutes) * len(shared.columns) * 8
+    return result.join(F.broadcast(shared) if size <= BROADCAST_BYTES else shared, "datetime", how)
 
 
 def predictors(
@@ -102,7 +124,8 @@ def predictors(
     """Join the asked predictor groups to ``grid`` (``datetime``, and ``site`` for weather).
 
     Weather is filled once per location that a site needs and joined through the site's
-    nearest location; prices and profiles have one row per time.
+    nearest location; prices and profiles have one row per time. A grid that already
+    carries ``input_city`` is not joined to its sites again.
     """
     groups = list(GROUPS if groups is None else groups)
     unknown = [g for g in groups if g not in GROUPS]
@@ -112,17 +135,15 @@ def predictors(
         raise ValueError("weather predictors need sites and locations")
     result = grid
     if "weather_data" in groups:
-        nearest = nearest_locations(sites, locations).select("site", "input_city")
-        needed = weather.join(nearest.select("input_city").distinct(), "input_city", "left_semi")
-        series = weather_predictors(needed, start, end, minutes, source, source_order, add_weather_params)
-        result = result.join(nearest, "site", "left").join(series, ["input_city", "datetime"], "left").drop("input_city")
+        cities = with_city(sites, locations)
+        if "input_city" not in grid.columns:
+            result = result.join(cities, "site", "left")
+        series = weather_predictors(weather, start, end, minutes, source, source_order, add_weather_params, cities)
+        result = result.join(series, ["input_city", "datetime"], "left").drop("input_city")
     if "market_data" in groups:
-        result = result.join(day_ahead_price(prices, start, end, minutes, zone), "datetime", "left")
+        price = day_ahead_price(prices, start, end, minutes, zone)
+        result = join_by_time(result, price, start, end, minutes)
     if "load_profiles" in groups:
-        result = result.join(load_profiles(profiles, start, end, minutes, profile_fields), "datetime", "left")
+        curves = load_profiles(profiles, start, end, minutes, profile_fields)
+        result = join_by_time(result, curves, start, end, minutes)
     return result
-
-
-def predictor_grid(prices: DataFrame, start: datetime, end: datetime, minutes: int) -> DataFrame:
-    """The plain time grid of a predictor request without sites."""
-    return time_grid(prices.sparkSession, floor_value(start, minutes), end, minutes)

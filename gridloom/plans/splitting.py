@@ -15,7 +15,7 @@ from gridloom.operators.joins import fan_out_join
 from gridloom.operators.load import load_by_systems, weighted_job_load
 from gridloom.operators.places import systems_near_sites
 from gridloom.operators.reshape import align_inner, finite_rows
-from gridloom.plans.predictors import load_profiles
+from gridloom.plans.predictors import join_by_time, load_profiles
 from gridloom.plans.weather import weather_latest
 from gridloom.sources.tables import scan_series
 
@@ -147,4 +147,4 @@ def splitting_input(
     solar = solar.select("site", "datetime", (-F.col("aggregated")).alias("pv_ref"))
     curves = finite_rows(load_profiles(profiles, start, end, minutes, profile_fields), profile_fields)
     parts = align_inner([load, wind, solar], ["site", "datetime"])
-    return parts.join(curves, "datetime").withColumnRenamed("site", "pid")
+    return join_by_time(parts, curves, start, end, minutes, "inner").withColumnRenamed("site", "pid")

@@ -58,6 +58,7 @@ def _means(
     end: datetime,
     source: str | Sequence[str],
     source_order: Sequence[str] | None,
+    cities: DataFrame | None,
 ) -> DataFrame:
     names, blend = _sources(source)
     names = list(source_order or WEATHER_SOURCES) if blend else names
@@ -66,6 +67,10 @@ def _means(
     if blend:
         means = combine_sources(means, fields, names, ["datetime", *keys])
         means = means.withColumn("source", F.lit(BLENDED_SOURCE))
+    if cities is not None:
+        # Stated after the aggregation: a list of cities too long to broadcast must not
+        # shuffle raw points. A short one is pushed down to the scan by the optimizer.
+        means = means.join(cities.select("input_city").distinct(), "input_city", "left_semi")
     return means
 
 
@@ -78,14 +83,14 @@ def weather_by_city(
     minutes: int = 15,
     source_order: Sequence[str] | None = None,
     limit: int | None = WEATHER_GAP_LIMIT,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
-    """Latest weather of every location on a regular grid, gaps filled up to ``limit`` steps."""
-    means = _means(weather, ["input_city"], fields, minutes, start, end, source, source_order)
-    return fill_gaps(means, ["source", "input_city"], fields, minutes, limit=limit, span=(start, end))
-
+    """Latest weather per location on a regular grid, gaps filled up to ``limit`` steps.
 
-def _only_near(weather: DataFrame, nearest: DataFrame) -> DataFrame:
-    return weather.join(nearest.select("input_city").distinct(), "input_city", "left_semi")
+    ``cities`` (``input_city``) keeps only the locations it lists.
+    """
+    means = _means(weather, ["input_city"], fields, minutes, start, end, source, source_order, cities)
+    return fill_gaps(means, ["source", "input_city"], fields, minutes, limit=limit, span=(start, end))
 
 
 def weather_latest(
@@ -106,7 +111,7 @@ def weather_latest(
     made per location, and only for locations that some site needs.
     """
     nearest = nearest_locations(sites, locations, number_locations)
-    series = weather_by_city(_only_near(weather, nearest), fields, start, end, source, minutes, source_order)
+    series = weather_by_city(weather, fields, start, end, source, minutes, source_order, cities=nearest)
     return attach_distance(series, nearest, number_locations)
 
 
@@ -118,17 +123,19 @@ def weather_by_run_city(
     source: str | Sequence[str] = BLENDED_SOURCE,
     minutes: int = 15,
     source_order: Sequence[str] | None = None,
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """Every stored forecast run of a location as its own series.
 
     The run is the forecast time minus the horizon; the horizon is filled like a field.
     """
     runs = with_source_run(weather, "time", "tAhead")
-    means = _means(runs, ["input_city", "created"], [*fields, "tAhead"], minutes, start, end, source, source_order)
+    fields = [*fields, "tAhead"]
+    means = _means(runs, ["input_city", "created"], fields, minutes, start, end, source, source_order, cities)
     return fill_gaps(
         means,
         ["source", "input_city", "created"],
-        [*fields, "tAhead"],
+        fields,
         minutes,
         limit=WEATHER_GAP_LIMIT,
         span=(start, end),
@@ -149,7 +156,7 @@ def weather_by_run(
 ) -> DataFrame:
     """The runs of the nearest location(s) of every site."""
     nearest = nearest_locations(sites, locations, number_locations)
-    series = weather_by_run_city(_only_near(weather, nearest), fields, start, end, source, minutes, source_order)
+    series = weather_by_run_city(weather, fields, start, end, source, minutes, source_order, cities=nearest)
     return attach_distance(series, nearest, number_locations)
 
 
