@@ -52,12 +52,13 @@ def model_input(
     predictor tables and options go to ``predictors``.
     """
     # The location of a site is settled on the short table, before it becomes a grid.
-    weather_wanted = "weather_data" in (sources.get("groups") or GROUPS)
-    keys = with_city(sites, sources["locations"]) if weather_wanted else sites.select("site").distinct()
+    keys = sites.select("site").distinct()
+    if "weather_data" in (sources.get("groups") or GROUPS):
+        keys = sources["cities"] = with_city(sites, sources.pop("locations"))
     grid = key_grid(keys, start, end, minutes)
     load = filled_job_load(readings, systems, job_systems, start, end, minutes)
     loaded = grid.join(load.withColumnRenamed("pid", "site"), ["site", "datetime"], "left")
-    result = predictors(loaded, start, end, minutes, sites=sites, **sources)
+    result = predictors(loaded, start, end, minutes, **sources)
     return result.withColumnRenamed("site", "pid")
 
 

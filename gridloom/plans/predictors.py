@@ -120,23 +120,24 @@ def predictors(
     source_order: Sequence[str] | None = None,
     add_weather_params: Sequence[str] = (),
     profile_fields: Sequence[str] = tuple(PROFILE_FIELDS),
+    cities: DataFrame | None = None,
 ) -> DataFrame:
     """Join the asked predictor groups to ``grid`` (``datetime``, and ``site`` for weather).
 
     Weather is filled once per location that a site needs and joined through the site's
-    nearest location; prices and profiles have one row per time. A grid that already
-    carries ``input_city`` is not joined to its sites again.
+    nearest location; prices and profiles have one row per time. Where the grid already
+    carries ``input_city``, the ``cities`` it came from take the place of sites and locations.
     """
     groups = list(GROUPS if groups is None else groups)
     unknown = [g for g in groups if g not in GROUPS]
     if unknown:
         raise ValueError(f"unknown predictor groups: {unknown}")
-    if "weather_data" in groups and (sites is None or locations is None):
+    if "weather_data" in groups and cities is None and (sites is None or locations is None):
         raise ValueError("weather predictors need sites and locations")
     result = grid
     if "weather_data" in groups:
-        cities = with_city(sites, locations)
-        if "input_city" not in grid.columns:
+        if cities is None:
+            cities = with_city(sites, locations)
             result = result.join(cities, "site", "left")
         series = weather_predictors(weather, start, end, minutes, source, source_order, add_weather_params, cities)
         result = result.join(series, ["input_city", "datetime"], "left").drop("input_city")

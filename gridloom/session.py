@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Only settable before a session starts: wide plans compile more classes than the default keeps.
+STATIC_SETTINGS = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
 
 def build_session(app_name: str = "gridloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; ``master`` only for local use."""
@@ -33,7 +36,7 @@ def build_session(app_name: str = "gridloom", master: str | None = None, **extra
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
         )
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
