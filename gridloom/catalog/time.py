@@ -35,14 +35,14 @@ def interpolate_linear_limit(t):
     return rounded(found, "output")
 
 
-_CITY = ["input_city", "source"]
+_CITY = ["input_city"]
 _FIELDS = ["temp", "clouds", "rain"]
 _CITY_DAILY = sql_means("weather_daily", _CITY, _FIELDS, 1440)
 
 
 @query(
     "interpolate_linear_limit_chunked",
-    "select input_city, source, datetime, "
+    "select input_city, datetime, "
     + ", ".join(f"{r6(c)} as {c}" for c in _FIELDS)
     + f" from {sql_fill(_CITY_DAILY, _CITY, _FIELDS, 1440, limit=3)}",
 )
@@ -53,7 +53,7 @@ def interpolate_linear_limit_chunked(t):
 
 @query(
     "interpolate_inside",
-    "select input_city, source, datetime, "
+    "select input_city, datetime, "
     + ", ".join(f"{r6(c)} as {c}" for c in _FIELDS)
     + f" from {sql_fill(_CITY_DAILY, _CITY, _FIELDS, 1440, tail=False)}",
 )
