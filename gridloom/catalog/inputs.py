@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.load import _BY_SYSTEM, _MEMBERS, _ONE
+from gridloom.catalog.load import BY_SYSTEM, MEMBERS, ONE
 from gridloom.catalog.registry import (
     EVENTS,
     ORDERS,
@@ -100,13 +100,13 @@ def predictors_without_weather(t):
     return rounded(found, PRICE, *PROFILE_FIELDS)
 
 
-_WEIGHT = f"({_ONE.format(c='factor')}) * ({_ONE.format(c='polarity')})"
+_WEIGHT = f"({ONE.format(c='factor')}) * ({ONE.format(c='polarity')})"
 
 
 def _job_load(minutes: int) -> str:
     means = sql_means("power", ["system"], ["output"], minutes)
     return f"""(select prediction_id as pid, datetime, sum(output * {_WEIGHT}) as load
-        from {means} m join {_MEMBERS} on m.system = sid group by prediction_id, datetime)"""
+        from {means} m join {MEMBERS} on m.system = sid group by prediction_id, datetime)"""
 
 
 _LOAD = sql_fill(_job_load(15), ["pid"], ["load"], 15, 3)
@@ -282,7 +282,7 @@ def mean_coefficients(t):
 @query(
     "normalise_p99",
     f"""select system, datetime, {r6('output / nullif(quantile_cont(output, 0.99) over (partition by system), 0)')} as output
-    from {_BY_SYSTEM}""",
+    from {BY_SYSTEM}""",
 )
 def normalise_p99(t):
     means = grids.bucket_mean(t.power, ["system"], ["output"], 15)
@@ -292,7 +292,7 @@ def normalise_p99(t):
 @query(
     "normalise_absmax",
     f"""select system, datetime, {r6('output / nullif(abs(max(output) over (partition by system)), 0)')} as output
-    from {_BY_SYSTEM}""",
+    from {BY_SYSTEM}""",
 )
 def normalise_absmax(t):
     means = grids.bucket_mean(t.power, ["system"], ["output"], 15)

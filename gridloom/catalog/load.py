@@ -63,8 +63,8 @@ def bucket_mean(t):
     return rounded(grids.bucket_mean(t.power, ["system", "type"], ["output"], 60), "output")
 
 
-_BY_SYSTEM = sql_means("power", ["system"], ["output"], 15)
-_TOTALS = f"(select datetime, sum(output) as load, count(output) as nEntries from {_BY_SYSTEM} group by datetime)"
+BY_SYSTEM = sql_means("power", ["system"], ["output"], 15)
+_TOTALS = f"(select datetime, sum(output) as load, count(output) as nEntries from {BY_SYSTEM} group by datetime)"
 
 
 @query("load_by_systems", f"select datetime, {r6('load')} as load, nEntries from {_TOTALS}")
@@ -110,22 +110,22 @@ def resample_mean(t):
     return rounded(grids.resample_mean(t.power, ["type"], ["output"], 5, span=EVENTS), "output")
 
 
-_MEMBERS = "predictions_systems join systems on system_id = sid"
-_ONE = "case when {c} = 0 then 1 else {c} end"
+MEMBERS = "predictions_systems join systems on system_id = sid"
+ONE = "case when {c} = 0 then 1 else {c} end"
 
 
 def _job_load(weight: str) -> str:
     return f"""select prediction_id as pid, datetime, {r6(f'sum(output * {weight})')} as load,
-        count(output) as nEntries from {_BY_SYSTEM} m join {_MEMBERS} on m.system = sid
+        count(output) as nEntries from {BY_SYSTEM} m join {MEMBERS} on m.system = sid
         group by prediction_id, datetime"""
 
 
-@query("weighted_job_load", _job_load(f"({_ONE.format(c='factor')}) * ({_ONE.format(c='polarity')})"))
+@query("weighted_job_load", _job_load(f"({ONE.format(c='factor')}) * ({ONE.format(c='polarity')})"))
 def weighted_job_load(t):
     return rounded(load.weighted_job_load(t.power, t.systems, t.predictions_systems, 15), "load")
 
 
-@query("job_load_ignore_factor", _job_load(f"({_ONE.format(c='polarity')})"))
+@query("job_load_ignore_factor", _job_load(f"({ONE.format(c='polarity')})"))
 def job_load_ignore_factor(t):
     found = load.weighted_job_load(t.power, t.systems, t.predictions_systems, 15, ignore_factor=True)
     return rounded(found, "load")
@@ -134,8 +134,8 @@ def job_load_ignore_factor(t):
 @query(
     "job_load_per_system",
     f"""select prediction_id as pid, system, datetime,
-    {r6(f"output * factor * ({_ONE.format(c='polarity')})")} as load
-    from {_BY_SYSTEM} m join {_MEMBERS} on m.system = sid""",
+    {r6(f"output * factor * ({ONE.format(c='polarity')})")} as load
+    from {BY_SYSTEM} m join {MEMBERS} on m.system = sid""",
 )
 def job_load_per_system(t):
     return rounded(load.job_load_per_system(t.power, t.systems, t.predictions_systems, 15), "load")
@@ -168,7 +168,7 @@ def pivot_systems(t):
 
 @query(
     "systems_by_job",
-    f"select prediction_id, sid, region, polarity, factor from {_MEMBERS}",
+    f"select prediction_id, sid, region, polarity, factor from {MEMBERS}",
 )
 def systems_by_job(t):
     found = load.systems_by_job(t.systems, t.predictions_systems)

@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.quality import KPIS, _described, _TEXTS, kpi_cells
+from gridloom.catalog.quality import KPIS, TEXTS, described_jobs, kpi_cells
 from gridloom.catalog.registry import query, r6, rounded, sql_means
 from gridloom.constants import FORECAST_HORIZONS, WEATHER_HORIZONS
+from gridloom.functions.timeops import as_utc
 from gridloom.operators import quality
 from gridloom.session import shared_folder
 from gridloom.sources import sinks, writers
@@ -16,7 +17,7 @@ from gridloom.streaming import readings as streams
 
 # Batches are cut at a moment of creation, and the later part is written first: what
 # counts is when a value was created, not when it arrived.
-_CUT = int(datetime(2024, 1, 12).timestamp())
+_CUT = int(as_utc(datetime(2024, 1, 12)).timestamp())
 
 
 def _stored(t, path: str):
@@ -190,13 +191,13 @@ def write_realised_pv(t):
 @query(
     "write_kpi",
     f"""select cast(pid as integer) as pid, cast(replace(horizon, 'h', '') as double) as tAhead, description,
-    name as customer, date as time, {kpi_cells(KPIS)} from kpis join {_TEXTS} on id = pid group by all""",
+    name as customer, date as time, {kpi_cells(KPIS)} from kpis join {TEXTS} on id = pid group by all""",
 )
 def write_kpi(t):
     path = shared_folder(t.spark)
     # A job without texts would be refused as a batch with missing values.
     known = t.kpis.join(t.predictions.select(F.col("id").alias("pid")), "pid", "left_semi")
-    writers.write_kpi(known, _described(t), KPIS, path)
+    writers.write_kpi(known, described_jobs(t), KPIS, path)
     return _stored(t, path)
 
 
@@ -239,7 +240,7 @@ def stream_realised(t):
 )
 def stream_load_buckets(t):
     base, folder = _staged(t, "power")
-    feed = streams.read_stream(t.spark, folder)
+    feed = streams.read_stream(t.spark, folder, state_partitions=t.spark.sparkContext.defaultParallelism)
     streams.stream_bucket_means(feed, 15, "1 hour", f"{base}/buckets", f"{base}/checkpoint").awaitTermination()
     return rounded(_stored(t, f"{base}/buckets"), "output")
 

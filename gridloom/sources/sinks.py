@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +13,14 @@ from gridloom.operators.quality import guard_values
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    """Whether the path holds Parquet files; a folder without any does not count."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def _check_tags(tags: Sequence[str]) -> list[str]:
@@ -73,16 +80,22 @@ def upsert_last_write_wins(
     )
 
 
+def check_batch(batch: DataFrame, time: str = "time") -> tuple[int, list]:
+    """Number of rows and the dates of a batch; refuses one with missing or infinite values."""
+    row = guard_values(batch, [F.collect_set(F.to_date(time)).alias("__dates")])
+    return row["rows"], row["__dates"]
+
+
 def append_series(batch: DataFrame, path: str, tags: list[str], time: str = "time") -> int:
     """Check the whole batch, then upsert it; returns the number of rows given.
 
     A batch with a missing or infinite value is refused before anything is written.
     """
     _check_tags(tags)
-    row = guard_values(batch, [F.collect_set(F.to_date(time)).alias("__dates")])
-    if row["rows"]:
-        upsert_last_write_wins(batch, path, tags, time, dates=row["__dates"])
-    return row["rows"]
+    rows, dates = check_batch(batch, time)
+    if rows:
+        upsert_last_write_wins(batch, path, tags, time, dates)
+    return rows
 
 
 def write_table(df: DataFrame, path: str, if_exists: str = "fail") -> None:

@@ -15,8 +15,8 @@ from gridloom.constants import (
     WEATHER_TYPES,
 )
 from gridloom.functions import timeops
-from gridloom.operators.quality import fill_quality, guard_values, kpi_wide, strict_cast, tag_constants
-from gridloom.sources.sinks import append_series, insert_if_absent, upsert_last_write_wins
+from gridloom.operators.quality import fill_quality, kpi_wide, strict_cast, tag_constants
+from gridloom.sources.sinks import append_series, check_batch, insert_if_absent, upsert_last_write_wins
 
 FORECAST_TAGS = ["pid", "type", "customer"]
 TAHEAD_COLUMNS = ["pid", "forecast", "stdev", "customer", "description", "type", "quality", "created"]
@@ -73,9 +73,11 @@ def write_forecast(
     """
     forecast = prepare_forecast(data, created, time, force_quality)
     tags = [t for t in FORECAST_TAGS if t in forecast.columns]
-    rows = append_series(forecast, path, tags)
-    if tahead_path and rows:
-        upsert_last_write_wins(forecast_taheads(forecast, options), tahead_path, [*tags, "tAhead"])
+    rows, dates = check_batch(forecast)
+    if rows:
+        upsert_last_write_wins(forecast, path, tags, dates=dates)
+        if tahead_path:
+            upsert_last_write_wins(forecast_taheads(forecast, options), tahead_path, [*tags, "tAhead"], dates=dates)
     return rows
 
 
@@ -97,9 +99,10 @@ def write_weather(
 ) -> int:
     """Upsert a weather batch into ``path`` and its horizon series into ``path_tAhead``."""
     weather = prepare_weather(data, source, created, time)
-    rows = append_series(weather, path, list(tags))
+    rows, dates = check_batch(weather)
     if rows:
-        upsert_last_write_wins(with_horizon(weather, options), f"{path}_tAhead", [*tags, "tAhead"])
+        upsert_last_write_wins(weather, path, list(tags), dates=dates)
+        upsert_last_write_wins(with_horizon(weather, options), f"{path}_tAhead", [*tags, "tAhead"], dates=dates)
     return rows
 
 
@@ -148,8 +151,3 @@ def write_prices(prices: DataFrame, path: str) -> int:
 def write_load_profiles(profiles: DataFrame, fields: Sequence[str], path: str) -> int:
     """Standard profiles (``time, year_created`` and the given fields)."""
     return append_series(profiles.select("time", "year_created", *fields), path, ["year_created"])
-
-
-def check_batch(df: DataFrame) -> dict:
-    """The write guard alone, for callers that write elsewhere."""
-    return guard_values(df)

@@ -2,44 +2,76 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.functions import timeops
 from gridloom.operators.grids import bucket_mean
+from gridloom.session import apply_settings
 from gridloom.sources.sinks import append_series, upsert_last_write_wins
 
 READING_SCHEMA = "time timestamp, system string, type string, output double, created bigint"
 TAGS = ["system", "type"]
 
 
-def read_stream(spark: SparkSession, folder: str, schema: str = READING_SCHEMA, files_per_batch: int | None = None) -> DataFrame:
-    """Files of readings as they arrive in a folder."""
+def read_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: str = READING_SCHEMA,
+    files_per_batch: int | None = None,
+    state_partitions: int | None = None,
+) -> DataFrame:
+    """Files of readings as they arrive in a folder.
+
+    ``state_partitions`` sets the number of state stores of an aggregation over this
+    stream, which stays as it is for the life of its checkpoint.
+    """
+    if state_partitions:
+        spark = apply_settings(spark.newSession())
+        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
 
 
-def stream_realised(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch; each is checked whole before it is written.
+def _start(stream: DataFrame, handle: Callable[[DataFrame], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Start a query that hands every micro-batch, kept while it is used, to ``handle``.
 
-    Late and corrected points are welcome, so there is no watermark and no removal of
-    repeated keys: the upsert makes replays harmless, as ``created`` comes with the data.
+    A batch is read several times; without keeping it, each time would run its plan,
+    state included, again.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        append_series(batch, path, TAGS)
+    def each(batch: DataFrame, _: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                handle(batch)
+        finally:
+            batch.unpersist()
 
     return (
-        readings.writeStream.foreachBatch(write)
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def stream_realised(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Upsert every micro-batch; each is checked whole before it is written.
+
+    Late and corrected points are welcome, so there is no watermark and no removal of
+    repeated keys: the upsert makes replays harmless, as ``created`` comes with the data.
+    """
+
+    return _start(readings, lambda batch: append_series(batch, path, TAGS), checkpoint)
+
+
 def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str, checkpoint: str) -> StreamingQuery:
     """Mean per system and bucket of an append-only feed, updated as points arrive.
 
@@ -53,16 +85,7 @@ def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str
         .select(F.col("window.start").alias("time"), "system", "output", "points")
     )
 
-    def write(batch: DataFrame, _: int) -> None:
-        upsert_last_write_wins(batch, path, ["system"])
-
-    return (
-        means.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(means, lambda batch: upsert_last_write_wins(batch, path, ["system"]), checkpoint, "update")
 
 
 def stream_corrected_buckets(
@@ -74,10 +97,9 @@ def stream_corrected_buckets(
     upsert, so a replay or a correction leaves the right mean.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame) -> None:
         spark = batch.sparkSession
-        if not append_series(batch, table, TAGS):
-            return
+        append_series(batch, table, TAGS)
         touched = batch.select("system", timeops.bucket(F.col("time"), minutes).alias("__bucket")).distinct()
         # Days on which a touched bucket can have points.
         first = timeops.bucket(F.min("time"), minutes)
@@ -89,9 +111,4 @@ def stream_corrected_buckets(
         means = bucket_mean(stored.join(touched, ["system", "__bucket"], "left_semi"), ["system"], ["output"], minutes)
         upsert_last_write_wins(means.withColumnRenamed("datetime", "time"), buckets, ["system"])
 
-    return (
-        readings.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(readings, write, checkpoint)
