@@ -6,7 +6,7 @@ from gridloom.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"}
+        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
