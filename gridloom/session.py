@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,10 +52,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path below the cluster's shared folder, for tables and stream state.
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) does a temporary folder stand in for it.
+    The cluster names the folder in ``spark.checkpoint.dir``. Where that is unset, a session on one
+    machine gets a temporary folder; on a cluster, executors would not see one, so that is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gridloom-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
