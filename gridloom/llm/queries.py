@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
 
 QUERIES = {
+    "op1_license_scan": license_query,
     "op2_source_mix": mix_query,
 }
 
 CHECKS = {
+    "op1_license_scan": LICENSE_SQL,
     "op2_source_mix": MIX_SQL,
 }
