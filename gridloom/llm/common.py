@@ -37,3 +37,49 @@ def row_per_document(frame: DataFrame, keep: DataFrame) -> DataFrame:
     """
     ids = keep.select(F.col("doc_id").alias("__keep_id")).distinct()
     return frame.join(ids, F.col("doc_id").eqNullSafe(F.col("__keep_id")), "left_semi")
+
+
+def arrow_map(frame: DataFrame, schema: str, function) -> DataFrame:
+    """``function(batch) -> iterator of batches`` over the Arrow batches of every partition."""
+
+    def over(batches):
+        for batch in batches:
+            yield from function(batch)
+
+    return frame.mapInArrow(over, schema)
+
+
+def text_pieces(texts: list, most: int = 1_000_000):
+    """Slices (from, to) of a list of texts of about ``most`` characters; a longer text stands alone."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        size = len(text or "") + 1
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def uniform_hash(column: str, seed: int) -> Column:
+    """A number from 0 to 1 that depends on the value and the seed."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(column)), 11)
+    return bits.cast("double") / float(1 << 53)
+
+
+def label_sample(frame: DataFrame, label: str, per_label: int, longest: int, seed: int = 11) -> list:
+    """About ``per_label`` rows of each label with whole texts of at most ``longest`` characters.
+
+    The rows are chosen by a hash of their id, so reruns choose the same; sorted by id. The driver
+    receives no more than this sample.
+    """
+    usable = frame.where(F.col(label).isNotNull() & F.col("text").isNotNull() & (F.length("text") <= longest))
+    counts = {r[label]: r["count"] for r in usable.groupBy(label).count().collect()}
+    if not counts:
+        return []
+    share = F.coalesce(
+        *[F.when(F.col(label) == value, F.lit(per_label / n)) for value, n in counts.items()], F.lit(0.0)
+    )
+    rows = usable.where(uniform_hash("doc_id", seed) < share).select("doc_id", "text", label).collect()
+    return sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"]))
