@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,16 +40,6 @@ def row_per_document(frame: DataFrame, keep: DataFrame) -> DataFrame:
     return frame.join(ids, F.col("doc_id").eqNullSafe(F.col("__keep_id")), "left_semi")
 
 
-def arrow_map(frame: DataFrame, schema: str, function) -> DataFrame:
-    """``function(batch) -> iterator of batches`` over the Arrow batches of every partition."""
-
-    def over(batches):
-        for batch in batches:
-            yield from function(batch)
-
-    return frame.mapInArrow(over, schema)
-
-
 def text_pieces(texts: list, most: int = 1_000_000):
     """Slices (from, to) of a list of texts of about ``most`` characters; a longer text stands alone."""
     start, held = 0, 0
@@ -83,3 +74,53 @@ def label_sample(frame: DataFrame, label: str, per_label: int, longest: int, see
     )
     rows = usable.where(uniform_hash("doc_id", seed) < share).select("doc_id", "text", label).collect()
     return sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"]))
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, per_label: int, longest: int, modulus: int, held_out: int
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """Texts with their label, about ``per_label`` of each value, and how many there are of each.
+
+    Only rows whose crc32 of the id modulo ``modulus`` is not ``held_out``. Labels of an id that
+    differ between repeated rows count once each. The sample is chosen from the labels alone, so
+    that its join with the documents sends ids of bounded number; texts longer than ``longest``
+    characters are left out.
+    """
+    usable = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+        .where(id_remainder("doc_id", modulus) != held_out)
+        .distinct()
+    )
+    counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
+    if not counts:
+        return [], {}
+    share = F.coalesce(*[F.when(F.col("label") == v, F.lit(per_label / n)) for v, n in counts.items()])
+    chosen = usable.where(uniform_hash("doc_id", 23) < share)
+    rows = (
+        docs.where(F.length("text") <= longest)
+        .select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .distinct()
+        .collect()
+    )
+    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["label"]))
+    return [(r["text"], r["label"]) for r in rows], counts
+
+
+def score_texts(docs: DataFrame, scorer) -> DataFrame:
+    """doc_id and ``scorer(list of texts) -> scores`` of every row; null texts count as empty.
+
+    ``scorer`` goes to the executors as a broadcast; its size is bounded by its training sample.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    def score(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for start, end in text_pieces(texts):
+                scores = pa.array(held.value(texts[start:end]), pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[start:end], scores], ["doc_id", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, score double")
