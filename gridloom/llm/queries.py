@@ -6,10 +6,12 @@ from gridloom.llm.language_id import language_query
 from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
 from gridloom.llm.quality import quality_query
+from gridloom.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op1_license_scan": license_query,
     "op2_source_mix": mix_query,
+    "op6_toxicity": toxicity_query,
     "op8_language_id": language_query,
     "op10_quality": quality_query,
 }
