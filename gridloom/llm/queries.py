@@ -7,10 +7,12 @@ from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
 from gridloom.llm.quality import quality_query
 from gridloom.llm.toxicity import toxicity_query
+from gridloom.llm.warc import WARC_SQL, warc_query
 
 QUERIES = {
     "op1_license_scan": license_query,
     "op2_source_mix": mix_query,
+    "op3_warc_salvage": warc_query,
     "op6_toxicity": toxicity_query,
     "op8_language_id": language_query,
     "op10_quality": quality_query,
@@ -19,4 +21,5 @@ QUERIES = {
 CHECKS = {
     "op1_license_scan": LICENSE_SQL,
     "op2_source_mix": MIX_SQL,
+    "op3_warc_salvage": WARC_SQL,
 }
