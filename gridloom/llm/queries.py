@@ -5,6 +5,7 @@ from __future__ import annotations
 from gridloom.llm.language_id import language_query
 from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
+from gridloom.llm.personal_data import personal_data_query
 from gridloom.llm.quality import quality_query
 from gridloom.llm.toxicity import toxicity_query
 from gridloom.llm.warc import WARC_SQL, warc_query
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_warc_salvage": warc_query,
     "op6_toxicity": toxicity_query,
     "op8_language_id": language_query,
+    "op9_personal_data": personal_data_query,
     "op10_quality": quality_query,
 }
 
