@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gridloom.llm.decontaminate import passages_query
 from gridloom.llm.language_id import language_query
 from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_license_scan": license_query,
     "op2_source_mix": mix_query,
     "op3_warc_salvage": warc_query,
+    "op4_benchmark_passages": passages_query,
     "op6_toxicity": toxicity_query,
     "op8_language_id": language_query,
     "op9_personal_data": personal_data_query,
