@@ -6,6 +6,7 @@ from gridloom.llm.decontaminate import passages_query
 from gridloom.llm.language_id import language_query
 from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
+from gridloom.llm.ngram_join import ngram_query
 from gridloom.llm.personal_data import personal_data_query
 from gridloom.llm.quality import quality_query
 from gridloom.llm.toxicity import toxicity_query
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_source_mix": mix_query,
     "op3_warc_salvage": warc_query,
     "op4_benchmark_passages": passages_query,
+    "op5_ngram_join": ngram_query,
     "op6_toxicity": toxicity_query,
     "op8_language_id": language_query,
     "op9_personal_data": personal_data_query,
