@@ -296,6 +296,20 @@ def train(rows: list[tuple[str, str]], order: int = ORDER) -> Identifier | None:
     return Identifier(models, mean, between, within, sharpness)
 
 
+def trained(
+    labelled: DataFrame, order: int = ORDER, per_language: int = SAMPLE_DOCUMENTS, longest: int = LONGEST_SAMPLE
+) -> Identifier | None:
+    """Models and calibration from a bounded sample of labelled rows; nothing without any."""
+    sample = label_sample(labelled.where(id_remainder("doc_id", 4) != 2), "lang", per_language, longest)
+    return train([(r["lang"], r["text"]) for r in sample], order)
+
+
+def judged(identifier: Identifier | None, texts: list[str]):
+    if identifier is None:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), [None] * len(texts), np.ones(len(texts), bool)
+    return identifier.judge(texts)
+
+
 def identify_languages(
     docs: DataFrame,
     labelled: DataFrame | None = None,
@@ -317,20 +331,14 @@ def identify_languages(
     Result: doc_id, lang_pred, score, cross_entropy (null where there is no model), rejected.
     """
     labelled = docs if labelled is None else labelled
-    sample = label_sample(labelled.where(id_remainder("doc_id", 4) != 2), "lang", per_language, longest)
-    model = train([(r["lang"], r["text"]) for r in sample], order)
+    model = trained(labelled, order, per_language, longest)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for start, end in text_pieces(texts):
-                piece = texts[start:end]
-                if held.value is None:
-                    n = len(piece)
-                    found = [UNDETERMINED] * n, np.zeros(n), [None] * n, np.ones(n, bool)
-                else:
-                    found = held.value.judge(piece)
+                found = judged(held.value, texts[start:end])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[start:end],
@@ -348,6 +356,26 @@ def identify_languages(
     )
 
 
+def known_languages(docs: DataFrame) -> DataFrame:
+    """The documents whose language is not rejected, in their own columns, one pass after training.
+
+    Without any labelled row nothing can be judged, and all documents stay.
+    """
+    identifier = trained(docs)
+    if identifier is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(identifier)
+
+    def keep(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for start, end in text_pieces(texts):
+                rejected = held.value.judge(texts[start:end])[3]
+                yield batch.slice(start, end - start).filter(pa.array(~rejected))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def language_query(spark, sf_dir) -> DataFrame:
     found = identify_languages(documents(spark, sf_dir))
     return found.select(

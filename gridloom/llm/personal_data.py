@@ -319,6 +319,22 @@ def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
+def trained(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> SkipChain:
+    """The field, learnt from a bounded sample of documents that hold a digit or an @."""
+    usable = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= LONGEST_SAMPLE))
+    n = usable.count()
+    rows = usable.where(uniform_hash("doc_id", 31) < sample_documents / max(n, 1)).select("doc_id", "text").collect()
+    return train([r["text"] for r in sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"]))])
+
+
+def all_spans(field: SkipChain, texts: list[str]):
+    """Spans of the patterns in each text, and those with the field's."""
+    bases = [base_spans(t) for t in texts]
+    added = field_spans(field, texts, bases)
+    order = lambda x: (x[0], KINDS.index(x[2]), x[1])
+    return bases, [sorted(b + a, key=order) for b, a in zip(bases, added, strict=True)]
+
+
 def find_personal_data(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
     """All personal data of each document, by fixed patterns and by a skip-chain field.
 
@@ -329,11 +345,7 @@ def find_personal_data(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS
     Result: doc_id, base (spans of the patterns), spans (those and the field's), masked_text; a
     span is a struct of start, end (code points, end exclusive) and kind, by start.
     """
-    usable = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= LONGEST_SAMPLE))
-    n = usable.count()
-    rows = usable.where(uniform_hash("doc_id", 31) < sample_documents / max(n, 1)).select("doc_id", "text").collect()
-    field = train([r["text"] for r in sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"]))])
-    held = docs.sparkSession.sparkContext.broadcast(field)
+    held = docs.sparkSession.sparkContext.broadcast(trained(docs, sample_documents))
 
     def search(batches):
         for batch in batches:
@@ -341,9 +353,7 @@ def find_personal_data(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS
             step = 512
             for begin in range(0, len(texts), step):
                 part = [t or "" for t in texts[begin : begin + step]]
-                bases = [base_spans(t) for t in part]
-                added = field_spans(held.value, part, bases)
-                spans = [sorted(b + a, key=lambda x: (x[0], KINDS.index(x[2]), x[1])) for b, a in zip(bases, added, strict=True)]
+                bases, spans = all_spans(held.value, part)
                 struct = lambda found: [[{"start": s, "end": e, "kind": k} for s, e, k in x] for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -365,6 +375,33 @@ def find_personal_data(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
 
+def without_personal_data(docs: DataFrame) -> DataFrame:
+    """All documents in their own columns, each span of personal data masked by its kind.
+
+    n_chars, where there is one, is the length of the masked text where that changed.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(trained(docs))
+    names = docs.columns
+
+    def mask(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            changed, sizes = [], batch.column("n_chars").to_pylist() if "n_chars" in names else None
+            for begin in range(0, len(texts), 512):
+                part = [t or "" for t in texts[begin : begin + 512]]
+                for i, (text, spans) in enumerate(zip(part, all_spans(held.value, part)[1], strict=True), begin):
+                    changed.append(masked(text, spans) if spans else texts[i])
+                    if spans and sizes:
+                        sizes[i] = len(changed[i])
+            batch = batch.set_column(names.index("text"), "text", pa.array(changed, batch.column("text").type))
+            if sizes:
+                at = names.index("n_chars")
+                batch = batch.set_column(at, "n_chars", pa.array(sizes, batch.column(at).type))
+            yield batch
+
+    return docs.mapInArrow(mask, docs.schema)
+
+
 def personal_data_query(spark, sf_dir) -> DataFrame:
     found = find_personal_data(documents(spark, sf_dir))
 

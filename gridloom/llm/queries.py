@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridloom.llm.decontaminate import passages_query
+from gridloom.llm.embedding_join import embedding_query
 from gridloom.llm.language_id import language_query
 from gridloom.llm.licenses import LICENSE_SQL, license_query
 from gridloom.llm.mixing import MIX_SQL, mix_query
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_benchmark_passages": passages_query,
     "op5_ngram_join": ngram_query,
     "op6_toxicity": toxicity_query,
+    "op7_embedding_join": embedding_query,
     "op8_language_id": language_query,
     "op9_personal_data": personal_data_query,
     "op10_quality": quality_query,
