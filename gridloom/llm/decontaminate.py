@@ -88,7 +88,7 @@ class Passages:
         self.items: list[Item] = []
         known: dict[tuple[int, ...], int] = {}
         found: dict[int, list[tuple[int, int, int]]] = {}
-        for item_id, text in sorted(rows):
+        for item_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
             words = words_of(text)
             if len(words) < LEAST_WORDS:
                 continue
