@@ -35,24 +35,25 @@ def letter_table() -> np.ndarray:
     return _letters
 
 
-def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case letters with single spaces between words, and where each text starts.
+def encode(texts: list[str], pad: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case letters with single spaces between words; where each text starts, and its end.
 
-    Every text begins and ends with a space. All other characters count as space.
+    ``pad`` spaces stand before and after every text, so that no n-gram reaches into the next one;
+    the first of them after a text counts as its end. All other characters count as space.
     """
-    whole = "\n".join(texts).lower() if len(texts) != 1 else texts[0].lower()
-    # Lower-casing can change lengths, so that starts are counted in the result.
-    codes = np.frombuffer(("\n" + whole + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.flatnonzero(codes == 10) if len(texts) != 1 else np.array([0, len(codes) - 1])
-    if len(ends) != len(texts) + 1:  # texts with line ends of their own
-        lengths = np.array([len(t.lower()) for t in texts])
-        ends = np.concatenate([[0], np.cumsum(lengths + 1)])
+    lowered = [t.lower() for t in texts]
+    gap = "\n" * pad
+    codes = np.frombuffer((gap + gap.join(lowered) + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.array([len(t) for t in lowered], np.int64)
+    ends = np.cumsum(lengths + pad)
     letters = letter_table()[codes]
     codes = np.where(letters, codes, np.uint32(_SPACE))
-    keep = letters | np.concatenate([[True], letters[:-1]])
-    keep[ends] = True
+    keep = letters.copy()
+    keep[1:] |= letters[:-1]
+    keep[:pad] = True
+    keep[(ends[:, None] + np.arange(pad)).ravel()] = True
     places = np.cumsum(keep) - keep
-    return codes[keep], places[ends]
+    return codes[keep], places[ends - lengths], places[ends] + 1
 
 
 def grams(codes: np.ndarray, order: int) -> list[np.ndarray]:
@@ -165,7 +166,7 @@ class LanguageModels:
     def __init__(self, samples: dict[str, list[str]], order: int = ORDER):
         self.languages = sorted(samples)
         self.order = order
-        coded = [encode(samples[name])[0] for name in self.languages]
+        coded = [encode(samples[name], order)[0] for name in self.languages]
         models = [KneserNey(codes, order) for codes in coded]
         seen = [grams(codes, order) for codes in coded]
         self.grams, self.contexts = [], []
@@ -216,24 +217,15 @@ class LanguageModels:
 
     def cross_entropies(self, texts: list[str], piece: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
         """Per text and language, mean negative log-probability of its characters; and their number."""
-        codes, starts = encode(texts)
-        first, last = starts[:-1] + 1, starts[1:] + 1
+        codes, first, last = encode(texts, self.order)
         total = np.zeros((len(texts), len(self.languages)))
         for begin in range(0, len(codes), piece):
             end = min(len(codes), begin + piece)
             ahead = max(0, begin - self.order)
-            held = self.log_probabilities(codes[ahead:end])[begin - ahead :].astype(np.float64)
-            low = np.searchsorted(last, begin, side="right")
-            high = np.searchsorted(first, end, side="left")
-            if low < high:
-                cuts = np.clip(first[low:high], begin, end) - begin
-                sums = np.add.reduceat(np.vstack([held, np.zeros((1, held.shape[1]))]), cuts, axis=0)
-                sums[cuts >= len(held)] = 0
-                # What stands after the last text's end belongs to no text.
-                over = last[high - 1] - begin
-                if over < len(held):
-                    sums[-1] = held[cuts[-1] : over].sum(axis=0)
-                total[low:high] += sums
+            held = self.log_probabilities(codes[ahead:end])[begin - ahead :]
+            sums = np.vstack([np.zeros((1, held.shape[1])), np.cumsum(held, axis=0, dtype=np.float64)])
+            low, high = np.searchsorted(last, begin, side="right"), np.searchsorted(first, end, side="left")
+            total[low:high] += sums[np.minimum(last[low:high], end) - begin] - sums[np.maximum(first[low:high], begin) - begin]
         sizes = last - first
         return -total / np.maximum(sizes, 1)[:, None], sizes
 

@@ -23,7 +23,8 @@ NEAR = 40
 ROUNDS = 8
 # A span beside the fixed patterns needs this belief.
 BELIEF = 0.9
-TOGETHER = 1.5
+# Similar tokens are held to one entity by this much, and kept from one being none by half of it.
+TOGETHER = 4.0
 MASK = "[{}]"
 
 # The base patterns. Where a leftmost match must begin at the start of a run of
@@ -285,6 +286,8 @@ def train(texts: list[str], rounds: int = 120, rate: float = 0.3, decay: float =
             s += g * g
             w += rate * g / np.sqrt(s + 1e-6)
     field.skip += TOGETHER * np.diag([0.0] + [1.0] * len(KINDS))
+    field.skip[0, 1:] -= TOGETHER / 2
+    field.skip[1:, 0] -= TOGETHER / 2
     return field
 
 

@@ -144,7 +144,8 @@ def parse_record(data: bytes, start: int) -> tuple[int, dict] | str:
     """The record at a place and where it ends, or why there is none.
 
     A record is whole when its lengths fit, it ends in two line ends, and the digests it names are
-    those of its block and, for a response, of its payload.
+    those of its block and, for a response, of its payload. Nothing guards the other header lines
+    of an archive that is not compressed.
     """
     if not _VERSION_LINE.match(data, start):
         return "no version line"
