@@ -17,9 +17,9 @@ from gridloom.llm.common import documents, shared_table, text_pieces
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
-# Tokens a set samples on average, in the first level of a run and in deeper ones.
-FIRST_RATE, DEEPER_RATE = 1.25, 3.0
-LEVELS = 3
+# Tokens of a path before its bucket is looked at, and at most. Sets share a sampled token with
+# the probability of their Jaccard similarity, so two keep apart sets that share but a passage.
+FIRST, LEVELS = 2, 4
 # A larger bucket is split on another sampled token, unless its sets stay together.
 BUCKET = 512
 # A bucket whose largest part keeps so much of it holds sets alike: it is compared as it is.
@@ -35,13 +35,13 @@ _ODD = np.random.default_rng(17).integers(1, 1 << 63, SKETCH, dtype=np.uint64) *
 _words: dict[str, int] = {}
 
 
-def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, rate: float = FIRST_RATE) -> int:
+def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
     """Runs until sets at the threshold have met with the probability asked for.
 
-    Two sets of Jaccard similarity t share at least t of the tokens of the larger one, so that a
-    run of one level misses them with probability exp(-rate t) at most.
+    A path of the first tokens and one more split holds both with the threshold to the power of
+    their number.
     """
-    return math.ceil(math.log(1 - recall) / (-rate * threshold))
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** (FIRST + 1)))
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:
@@ -92,35 +92,42 @@ def shingle_sets(texts: list[str | None], words: int = SHINGLE) -> tuple[np.ndar
     return keys, np.searchsorted(owner, np.arange(len(listed) + 1))
 
 
-def signatures(keys: np.ndarray, starts: np.ndarray, runs: int, levels: int = LEVELS):
-    """Per set: name (two numbers), sketch, and for each level the tokens sampled in all runs.
+def signatures(keys: np.ndarray, starts: np.ndarray, runs: int):
+    """Per set: name (two numbers), size, sketch, and its sampled tokens, by level and run.
 
-    A token is sampled in a run and level where a hash of it falls below rate over the size of the
-    set, so that sets sample shared tokens together. The last byte of a sampled token is its run.
+    The token sampled in a run and level is the one with the smallest hash of that run and level.
+    Sets share it with the probability of their Jaccard similarity. The sketch holds a byte of each
+    of ``SKETCH`` smallest hashes, the sampled tokens' among them.
     """
+    if runs * LEVELS > SKETCH:
+        raise ValueError("the recall asked for needs more runs than the sketch has hashes")
     sizes = np.diff(starts)
     full = np.flatnonzero(sizes)
     first = starts[:-1][full]
     name = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
     sketch = np.zeros((len(sizes), SKETCH), np.uint8)
-    sampled: list[list] = [[[] for _ in sizes] for _ in range(levels)]
+    tokens = np.zeros((LEVELS, len(sizes), runs), np.uint64)
     if len(full):
         name[0][full] = np.add.reduceat(keys, first)
         name[1][full] = np.add.reduceat(mixed(keys + np.uint64(1)), first)
         for i in range(SKETCH):
             least = np.minimum.reduceat(keys * _ODD[i], first)
             sketch[full, i] = (least >> np.uint64(13)).astype(np.uint8)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        share = 1.0 / sizes[owner]
-        for level in range(levels):
-            rate = (DEEPER_RATE if level else FIRST_RATE) * float(1 << 53)
-            for run in range(runs):
-                salt = np.uint64((0x9E3779B97F4A7C15 * (1 + run + 64 * level)) % (1 << 64))
-                drawn = mixed(keys ^ salt)
-                for at in np.flatnonzero((drawn >> np.uint64(11)) < rate * share):
-                    token = int(keys[at]) ^ int(salt)
-                    sampled[level][owner[at]].append(((token & ~0xFF) | run) - (1 << 63))
-    return name, sizes, sketch, sampled
+            if i < runs * LEVELS:
+                tokens[i % LEVELS, full, i // LEVELS] = mixed(least)
+    return name, sizes, sketch, tokens
+
+
+def _first_paths(tokens: np.ndarray) -> np.ndarray:
+    """A path per run from the tokens of the first levels; its last byte is the run."""
+    path = np.zeros(tokens.shape[1:], np.uint64)
+    for level in range(FIRST):
+        path = mixed(path * np.uint64(3) + tokens[level])
+    return (path & ~np.uint64(0xFF)) | np.arange(tokens.shape[2], dtype=np.uint64)
+
+
+# The first paths of all runs, then the tokens of each further level.
+TOKENS = ["paths_0", *[f"tokens_{i}" for i in range(FIRST, LEVELS)]]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -135,7 +142,8 @@ def document_sets(docs: DataFrame, runs: int) -> DataFrame:
             texts = batch.column("text").to_pylist()
             for start, end in text_pieces(texts):
                 keys, starts = shingle_sets(texts[start:end])
-                name, sizes, sketch, sampled = signatures(keys, starts, runs)
+                name, sizes, sketch, tokens = signatures(keys, starts, runs)
+                columns = [_first_paths(tokens), *tokens[FIRST:]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[start:end],
@@ -143,12 +151,12 @@ def document_sets(docs: DataFrame, runs: int) -> DataFrame:
                         pa.array(_signed(name[1])),
                         pa.array(sizes),
                         pa.array([row.tobytes() for row in sketch], pa.binary()),
-                        *[pa.array(level, pa.list_(pa.int64())) for level in sampled],
+                        *[pa.array(list(_signed(c)), pa.list_(pa.int64())) for c in columns],
                     ],
-                    ["doc_id", "name_1", "name_2", "size", "sketch", *[f"tokens_{i}" for i in range(LEVELS)]],
+                    ["doc_id", "name_1", "name_2", "size", "sketch", *TOKENS],
                 )
 
-    tokens = ", ".join(f"tokens_{i} array<long>" for i in range(LEVELS))
+    tokens = ", ".join(f"{c} array<long>" for c in TOKENS)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         build, f"doc_id long, name_1 long, name_2 long, size long, sketch binary, {tokens}"
     )
@@ -157,33 +165,33 @@ def document_sets(docs: DataFrame, runs: int) -> DataFrame:
 def chosen_paths(classes: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """Members of the buckets at the ends of all paths, and the sizes of those buckets.
 
-    A path begins with a sampled token of a run. A bucket of more than ``bucket`` sets is split on
-    the tokens its sets sample in the next level of the run. Buckets of sets alike would not
-    shrink, and buckets of the last level are not split: they are compared in blocks.
+    A bucket of more than ``bucket`` sets is split on the token its sets sampled in the next level
+    of the run. Buckets of sets alike would not shrink, and those of the last level are not split:
+    they are compared in blocks.
     """
-    members = shared_table(classes.select("class_key", F.explode("tokens_0").alias("bucket")), "paths_0")
+    members = shared_table(classes.select("class_key", F.explode("paths_0").alias("bucket")), "paths")
     ends, end_sizes = [], []
-    for level in range(1, LEVELS + 1):
+    for level in range(FIRST, LEVELS + 1):
         sizes = shared_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"sizes_{level}")
         large = sizes.where(F.col("n") > bucket)
         if level == LEVELS or large.isEmpty():
             ends.append(members)
             end_sizes.append(sizes)
             break
-        parents = members.join(large, "bucket")
-        tokens = classes.select("class_key", F.explode(f"tokens_{level}").alias("token"))
-        same_run = F.col("bucket").bitwiseAND(F.lit(0xFF)) == F.col("token").bitwiseAND(F.lit(0xFF))
-        child = F.xxhash64("bucket", "token").bitwiseAND(F.lit(~0xFF)).bitwiseOR(F.col("bucket").bitwiseAND(F.lit(0xFF)))
+        run = F.col("bucket").bitwiseAND(F.lit(0xFF))
+        child = F.xxhash64("bucket", F.element_at(f"tokens_{level}", run.cast("int") + 1))
+        child = child.bitwiseAND(F.lit(~0xFF)).bitwiseOR(run)
         children = shared_table(
-            parents.join(tokens, "class_key").where(same_run).select("class_key", child.alias("child"), "bucket", "n"),
+            members.join(large, "bucket")
+            .join(classes.select("class_key", f"tokens_{level}"), "class_key")
+            .select("class_key", child.alias("child"), "bucket", "n"),
             f"paths_{level}",
         )
         parts = children.groupBy("bucket", "child").agg(F.count(F.lit(1)).alias("part"), F.first("n").alias("n"))
         dense = parts.groupBy("bucket").agg(F.max("part").alias("part"), F.first("n").alias("n"))
         dense = shared_table(dense.where(F.col("part") > DENSE * F.col("n")).select("bucket", "n"), f"dense_{level}")
-        done = shared_table(sizes.where(F.col("n") <= bucket).unionByName(dense), f"ends_{level}")
         ends.append(members)
-        end_sizes.append(done)
+        end_sizes.append(shared_table(sizes.where(F.col("n") <= bucket).unionByName(dense), f"ends_{level}"))
         members = children.join(dense, "bucket", "left_anti").select("class_key", F.col("child").alias("bucket"))
     found = None
     for own, sizes in zip(ends, end_sizes, strict=True):
@@ -279,7 +287,7 @@ def join_documents(
     Documents with equal shingle sets are one class, named by its smallest doc_id; only classes are
     joined. Each run of the chosen-path join gathers classes in buckets by shared sampled shingles
     and splits large buckets on further ones; there are as many runs as bring two sets at the
-    threshold together with probability ``recall``. Within buckets all pairs are compared, in
+    threshold together with probability ``recall``, a further split included. Within buckets all pairs are compared, in
     blocks of bounded size: first their sketches, then, for pairs that may reach the threshold,
     the whole sets. Pairs are never rows: a block returns for each class the number of its links
     and the smallest class they reach. A pair that meets in several buckets counts in one.
@@ -296,7 +304,7 @@ def join_documents(
     runs = runs_for(recall, threshold)
     sets = shared_table(document_sets(docs, runs), "sets")
     name = ["name_1", "name_2", "size"]
-    firsts = [F.first(c).alias(c) for c in ("sketch", *[f"tokens_{i}" for i in range(LEVELS)])]
+    firsts = [F.first(c).alias(c) for c in ("sketch", *TOKENS)]
     classes = shared_table(
         sets.where("size > 0 and doc_id is not null")
         .groupBy(*name)
