@@ -16,23 +16,18 @@ CHUNK = 512
 MOST_ROUNDS = 40
 
 
-def dealt_blocks(members: DataFrame, sizes: DataFrame, member: str, chunk: int = CHUNK) -> DataFrame:
+def dealt_blocks(members: DataFrame, member: str, chunk: int = CHUNK) -> DataFrame:
     """Members of buckets in blocks: each two of a bucket meet in exactly one block, in one task each.
 
-    ``members`` has bucket and the column ``member``; ``sizes`` has bucket and n, for all buckets to
-    be compared. A bucket of up to ``chunk`` members is one block. A larger one is dealt by hash
-    over chunks, and a block is a pair of chunks (a, b), a <= b; for a < b only members of
-    different chunks are to be compared. ``chunk_of`` says where a member belongs. Rows come sorted
-    by block within each partition.
+    ``members`` has bucket, its size n and the column ``member``. A bucket of up to ``chunk`` members
+    is one block. A larger one is dealt by hash over chunks, and a block is a pair of chunks (a, b),
+    a <= b; for a < b only members of different chunks are to be compared. ``chunk_of`` says where
+    a member belongs.
     """
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64(F.lit(5), F.col(member)), F.col("chunks")).cast("int")
-    sizes = sizes.select(F.col("bucket").alias("__bucket"), "n")
+    chunks = F.greatest(F.ceil(F.col("n") / chunk).cast("int"), F.lit(1))
     return (
-        members.join(sizes, F.col("bucket") == F.col("__bucket"))
-        .drop("__bucket")
-        .withColumn("chunks", F.greatest(chunks, F.lit(1)))
-        .withColumn("chunk_of", own)
+        members.withColumn("chunks", chunks)
+        .withColumn("chunk_of", F.pmod(F.xxhash64(F.lit(5), F.col(member)), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumn("a", F.least("chunk_of", "other"))
         .withColumn("b", F.greatest("chunk_of", "other"))
@@ -41,7 +36,7 @@ def dealt_blocks(members: DataFrame, sizes: DataFrame, member: str, chunk: int =
 
 
 def together(blocks: DataFrame) -> DataFrame:
-    """Rows of a block in one partition, next to each other."""
+    """Rows of a block in one partition, next to each other, sorted by block."""
     return blocks.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
 
 

@@ -185,7 +185,7 @@ def join_embeddings(
 
     members = shared_table(classes.select("class_id", "copies", "vector").mapInArrow(deal, MEMBER), "members")
     sizes = shared_table(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    dealt = together(dealt_blocks(members, sizes, "class_id", CHUNK))
+    dealt = together(dealt_blocks(members.join(sizes.hint("merge"), "bucket"), "class_id", CHUNK))
 
     def compare(batches):
         for table_, starts in whole_blocks(batches, 1):

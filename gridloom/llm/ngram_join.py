@@ -162,8 +162,8 @@ def document_sets(docs: DataFrame, runs: int) -> DataFrame:
     )
 
 
-def chosen_paths(classes: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """Members of the buckets at the ends of all paths, and the sizes of those buckets.
+def chosen_paths(classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """class_key, bucket and n: members of the buckets at the ends of all paths, and their sizes.
 
     A bucket of more than ``bucket`` sets is split on the token its sets sampled in the next level
     of the run. Buckets of sets alike would not shrink, and those of the last level are not split:
@@ -195,12 +195,9 @@ def chosen_paths(classes: DataFrame, bucket: int = BUCKET) -> tuple[DataFrame, D
         members = children.join(dense, "bucket", "left_anti").select("class_key", F.col("child").alias("bucket"))
     found = None
     for own, sizes in zip(ends, end_sizes, strict=True):
-        part = own.join(sizes.select("bucket"), "bucket", "left_semi")
+        part = own.join(sizes.select("bucket", "n").hint("merge"), "bucket")
         found = part if found is None else found.unionByName(part)
-    total = end_sizes[0]
-    for sizes in end_sizes[1:]:
-        total = total.unionByName(sizes)
-    return shared_table(found, "ends"), total
+    return shared_table(found, "ends")
 
 
 def _columns(table: pa.Table):
@@ -312,17 +309,13 @@ def join_documents(
         .withColumn("class_key", F.col("name_1")),
         "classes",
     )
-    ends, sizes = chosen_paths(classes, bucket)
-    sizes = shared_table(sizes, "sizes")
+    # Tables here grow with the documents, so that none is broadcast: joins are asked to merge.
+    # Blocks are dealt on narrow rows; sketches and paths join them once.
+    ends = chosen_paths(classes, bucket)
     paths = ends.groupBy("class_key").agg(F.collect_list("bucket").alias("paths"))
-    members = (
-        classes.select("class_key", "class_id", "copies", "size", "sketch")
-        .join(paths, "class_key")
-        .withColumn("bucket", F.explode("paths"))
-    )
-    blocks = together(dealt_blocks(shared_table(members, "members"), sizes, "class_key")).select(
-        *[part.split()[0] for part in BLOCK_COLUMNS.split(", ")]
-    )
+    members = classes.select("class_key", "class_id", "copies", "size", "sketch").join(paths.hint("merge"), "class_key")
+    dealt = dealt_blocks(ends, "class_key").join(members.hint("merge"), "class_key")
+    blocks = together(dealt).select(*[part.split()[0] for part in BLOCK_COLUMNS.split(", ")])
 
     def screen(batches):
         for table, starts in whole_blocks(batches):
@@ -345,9 +338,9 @@ def join_documents(
                     ["class_key", "shingles"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(wanted, "class_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(wanted.hint("merge"), "class_id")
     texts = texts.mapInArrow(shingles, "class_key long, shingles binary").dropDuplicates(["class_key"])
-    full = live.join(texts, "class_key")
+    full = live.join(texts.hint("merge"), "class_key")
 
     def verify(batches):
         for table, starts in whole_blocks(batches, 256):
