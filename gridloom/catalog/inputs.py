@@ -112,7 +112,7 @@ def _job_load(minutes: int) -> str:
 _LOAD = sql_fill(_job_load(15), ["pid"], ["load"], 15, 3)
 
 
-def model_input_of(t):
+def model_input_of(t, **options):
     """The flagship: load and predictors of every job over the whole month."""
     return model.model_input(
         t.sites,
@@ -123,24 +123,34 @@ def model_input_of(t):
         15,
         weather=t.weather,
         locations=t.nl_locations,
-        source_order=EVENT_ORDER,
         prices=t.marketprices_hourly,
         profiles=t.sjv,
+        **options,
     )
 
 
-@query(
-    "model_input",
-    f"""select s.site as pid, g.datetime, {r6('load')} as load, {_columns(EVENT_FIELDS)}, {r6('Price')} as {PRICE},
-    {_columns(PROFILE_FIELDS)} from sites s, {_STEPS} g
+def _model_sql(weather: str) -> str:
+    return f"""select s.site as pid, g.datetime, {r6('load')} as load, {_columns(EVENT_FIELDS)}, {r6('Price')} as {PRICE},
+    {_columns(PROFILE_FIELDS)} from sites s cross join {_STEPS} g
     left join {_LOAD} l on l.pid = s.site and l.datetime = g.datetime
     left join {sql_nearest('sites', 1)} c on c.site = s.site
-    left join {sql_event_weather(EVENT_FIELDS, 15)} w on w.input_city = c.input_city and w.datetime = g.datetime
+    left join {weather} w on w.input_city = c.input_city and w.datetime = g.datetime
     left join {_NL} n on n.datetime = g.datetime
-    left join {_profiles(PROFILE_FIELDS, 15)} p on p.datetime = g.datetime""",
-)
+    left join {_profiles(PROFILE_FIELDS, 15)} p on p.datetime = g.datetime"""
+
+
+@query("model_input", _model_sql(sql_event_weather(EVENT_FIELDS, 15)))
 def model_input(t):
-    return rounded(model_input_of(t), "load", *EVENT_FIELDS, PRICE, *PROFILE_FIELDS)
+    return rounded(model_input_of(t, source_order=EVENT_ORDER), "load", *EVENT_FIELDS, PRICE, *PROFILE_FIELDS)
+
+
+_TWO = ["view", "click"]
+
+
+@query("model_input_two_sources", _model_sql(sql_event_weather(EVENT_FIELDS, 15, _TWO)))
+def model_input_two_sources(t):
+    """A list of sources is blended in its order, so that a job still has one row per time."""
+    return rounded(model_input_of(t, source=_TWO), "load", *EVENT_FIELDS, PRICE, *PROFILE_FIELDS)
 
 
 def _near_systems(radius: float, quality: float, freq: int) -> str:
@@ -241,24 +251,21 @@ def solar_ref(t):
     return rounded(found, "aggregated")
 
 
-_THREE = PROFILE_FIELDS[:3]
-
-
 @query(
     "splitting_input",
     f"""select l.pid, l.datetime, {r6('load')} as load, {r6('-windspeed')} as wind_ref, {r6('-aggregated')} as pv_ref,
-    {_columns(_THREE)} from {_job_load(60)} l
+    {_columns(PROFILE_FIELDS)} from {_job_load(60)} l
     join {_WIND_REF} w on w.site = l.pid and w.datetime = l.datetime
     join {_solar_ref_sql(60)} s on s.site = l.pid and s.datetime = l.datetime
-    join {_profiles(_THREE, 60)} p on p.datetime = l.datetime
-    where load is not null and windspeed is not null and aggregated is not null and {' and '.join(f'{f} is not null' for f in _THREE)}""",
+    join {_profiles(PROFILE_FIELDS, 60)} p on p.datetime = l.datetime
+    where load is not null and windspeed is not null and aggregated is not null and {' and '.join(f'{f} is not null' for f in PROFILE_FIELDS)}""",
 )
 def splitting_input(t):
     found = splitting.splitting_input(
         t.power, t.systems, t.predictions_systems, t.sites, t.weather, t.nl_locations, t.sjv, *EVENTS,
-        minutes=60, source_order=EVENT_ORDER, profile_fields=_THREE, quality=0.5,
+        minutes=60, source_order=EVENT_ORDER, quality=0.5,
     )
-    return rounded(found, "load", "wind_ref", "pv_ref", *_THREE)
+    return rounded(found, "load", "wind_ref", "pv_ref", *PROFILE_FIELDS)
 
 
 @query(

@@ -143,8 +143,10 @@ def sql_great_circle(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 def sql_nearest(sites: str, number: int) -> str:
     """Nearest locations by comparing all pairs."""
     distance = sql_geodesic("s.lat", "s.lon", "l.lat", "l.lon")
-    return f"""(select site, input_city, distance, "rank", min(distance) over (partition by site) >= 150 as out_of_range
-        from (select site, input_city, distance,
-                row_number() over (partition by site order by distance, input_city) as "rank"
+    return f"""(select s.site, n.input_city, n.distance, n."rank",
+        case when n.input_city is not null then false when s.lat is not null and s.lon is not null then true end as out_of_range
+        from {sites} s left join (select site, input_city, distance, "rank" from (select site, input_city, distance,
+                row_number() over (partition by site order by distance, input_city) as "rank",
+                min(distance) over (partition by site) as closest
             from (select s.site, l.city as input_city, round({distance}, 1) as distance
-                from {sites} s, nl_locations l)) where "rank" <= {number})"""
+                from {sites} s, nl_locations l)) where "rank" <= {number} and closest < 150) n on n.site = s.site)"""

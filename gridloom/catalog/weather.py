@@ -20,7 +20,8 @@ from gridloom.catalog.registry import (
     sql_present,
     sql_span,
 )
-from gridloom.operators import grids
+from gridloom.constants import WEATHER_PARAMS
+from gridloom.operators import grids, places
 from gridloom.plans import weather
 
 DAILY = ["temp", "clouds", "rain"]
@@ -60,6 +61,23 @@ def weather_latest(t):
     return rounded(found, *DAILY)
 
 
+_NAMED = """(select n_nationkey as site, lat, lon from nation left join NameToLatLon on n_name = regionInput)"""
+
+
+@query(
+    "weather_latest_by_name",
+    f"""select site, 'optimum' as source, datetime, {_columns(DAILY)}
+    from {sql_nearest(_NAMED, 1)} n join {_FILLED} w using (input_city)""",
+)
+def weather_latest_by_name(t):
+    names = t.raw("nation").select(F.col("n_nationkey").alias("site"), F.col("n_name").alias("name"))
+    sites = places.named_sites(names, t.NameToLatLon)
+    found = weather.weather_latest(
+        t.weather_daily, sites, t.nl_locations, DAILY, *ORDERS, minutes=1440, source_order=DAILY_ORDER
+    )
+    return rounded(found, *DAILY)
+
+
 _HOURLY = ["temp", "windspeed_100m"]
 _TWO_SOURCES = (
     "(select * from "
@@ -98,12 +116,27 @@ _RUN_MEANS = sql_means(_RUNS, [*_RUN_KEYS, "source"], [*_RUN_FIELDS, "tAhead"],
 _RUN_BLEND = sql_blend(_RUN_MEANS, ["datetime", *_RUN_KEYS], [*_RUN_FIELDS, "tAhead"], ["N", "R", "A"])
 
 
+_RUN_FILLED = sql_fill(_RUN_BLEND, _RUN_KEYS, [*_RUN_FIELDS, "tAhead"], 720, 11)
+
+
 @query(
     "weather_by_run",
-    f"""select 'optimum' as source, input_city, created, datetime, {_columns([*_RUN_FIELDS, 'tAhead'])}
-    from {sql_fill(_RUN_BLEND, _RUN_KEYS, [*_RUN_FIELDS, 'tAhead'], 720, 11)}""",
+    f"""select site, 'optimum' as source, created, datetime, {_columns([*_RUN_FIELDS, 'tAhead'])}
+    from {sql_nearest('sites', 1)} n join {_RUN_FILLED} w using (input_city)""",
 )
 def weather_by_run(t):
+    found = weather.weather_by_run(
+        t.weather_tAhead, t.sites, t.nl_locations, _RUN_FIELDS, *ORDERS, minutes=720, source_order=["N", "R", "A"]
+    )
+    return rounded(found, *_RUN_FIELDS, "tAhead")
+
+
+@query(
+    "weather_by_run_city",
+    f"""select 'optimum' as source, input_city, created, datetime, {_columns([*_RUN_FIELDS, 'tAhead'])}
+    from {_RUN_FILLED}""",
+)
+def weather_by_run_city(t):
     found = weather.weather_by_run_city(
         t.weather_tAhead, _RUN_FIELDS, *ORDERS, minutes=720, source_order=["N", "R", "A"]
     )
@@ -125,7 +158,7 @@ def latest_weather_run(t):
 
 # Weather by event type, in this order of preference, for the composed queries.
 EVENT_ORDER = EVENT_TYPES
-EVENT_FIELDS = ["clouds", "radiation", "temp", "windspeed_100m"]
+EVENT_FIELDS = list(WEATHER_PARAMS)
 
 
 def sql_event_weather(fields, minutes: int, order=None, where: str = sql_span(*EVENTS)) -> str:

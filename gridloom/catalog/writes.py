@@ -6,13 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.quality import KPIS, TEXTS, described_jobs, kpi_cells
+from gridloom.catalog.quality import DOCUMENTS_SQL, KPIS, TEXTS, described_jobs, kpi_cells
 from gridloom.catalog.registry import query, r6, rounded, sql_means
 from gridloom.constants import FORECAST_HORIZONS, WEATHER_HORIZONS
 from gridloom.functions.timeops import as_utc
 from gridloom.operators import quality
 from gridloom.session import shared_folder
 from gridloom.sources import sinks, writers
+from gridloom.sources.tables import read_series
 from gridloom.streaming import readings as streams
 
 # Batches are cut at a moment of creation, and the later part is written first: what
@@ -21,7 +22,12 @@ _CUT = int(as_utc(datetime(2024, 1, 12)).timestamp())
 
 
 def _stored(t, path: str):
-    return t.spark.read.parquet(path).drop("date")
+    return read_series(t.spark, path).drop("date")
+
+
+def _seconds(source: str) -> str:
+    """Times as they are stored."""
+    return f"(select * replace (date_trunc('second', time) as time) from {source})"
 
 
 def _newest(source: str, keys, fields, extra: str = "") -> str:
@@ -29,7 +35,7 @@ def _newest(source: str, keys, fields, extra: str = "") -> str:
     cells = ", ".join(
         f"first({f} order by created desc, {f} desc) filter (where {f} is not null) as {f}" for f in fields
     )
-    return f"select {listed}, {cells}, max(created) as created {extra} from {source} group by {listed}"
+    return f"select {listed}, {cells}, max(created) as created {extra} from {_seconds(source)} group by {listed}"
 
 
 @query("append_series", _newest("power_feed", ["system", "type", "time"], ["output"]))
@@ -51,6 +57,25 @@ def upsert_last_write_wins(t):
     return _stored(t, path)
 
 
+_APART = """(select system, time, output, null as type, created + 10 as created from power union all
+    select system, time, null, 'old', created + 5 from power union all
+    select system, time, null, type, created + 7 from power)"""
+
+
+@query("upsert_fields_apart", _newest(_APART, ["system", "time"], ["output", "type"]))
+def upsert_fields_apart(t):
+    """One field is newest of all and arrives first; the other is corrected after it."""
+    path = shared_folder(t.spark)
+    keys = ["system", "time"]
+    sinks.upsert_last_write_wins(
+        t.power.select(*keys, "output", (F.col("created") + 10).alias("created")), path, ["system"]
+    )
+    for lead, kind in ((5, F.lit("old")), (7, F.col("type"))):
+        part = t.power.select(*keys, kind.alias("type"), (F.col("created") + lead).alias("created"))
+        sinks.upsert_last_write_wins(part, path, ["system"])
+    return _stored(t, path)
+
+
 @query("write_table_mode", "select * from genericpowercurves union all select * from genericpowercurves")
 def write_table_mode(t):
     path = shared_folder(t.spark)
@@ -94,17 +119,15 @@ def append_location(t):
     return t.spark.read.parquet(path)
 
 
-@query(
-    "write_documents",
-    "select cast(cast(time as date) as string) as date, count(distinct system) as documents from power group by 1",
-)
+@query("write_documents", DOCUMENTS_SQL)
 def write_documents(t):
+    """Two exports of different days, read again as text."""
     path = shared_folder(t.spark)
-    sinks.write_documents(quality.measurement_documents(t.power), path)
+    for part in ("time < timestamp '2024-01-15'", "time >= timestamp '2024-01-15'"):
+        sinks.write_documents(quality.measurement_documents(t.power.where(part)), path)
     lines = t.spark.read.text(path)
     sid = F.get_json_object("value", "$.sid")
-    found = lines.groupBy(F.col("date").cast("string").alias("date")).agg(F.count_distinct(sid).alias("documents"))
-    return found
+    return lines.select(sid.alias("sid"), F.col("date").cast("string").alias("date"), F.col("value").alias("document"))
 
 
 _FORECAST_KEYS = ["pid", "type", "customer", "time"]
@@ -170,7 +193,8 @@ def write_weather_taheads(t):
 
 @query(
     "write_realised",
-    "select time, system, 'measurement' as type, output, 1704067200 as created from power",
+    f"""select time, system, 'measurement' as type, max(output) as output, 1704067200 as created
+    from {_seconds('power')} group by time, system""",
 )
 def write_realised(t):
     path = shared_folder(t.spark)
@@ -179,13 +203,26 @@ def write_realised(t):
     return _stored(t, path)
 
 
-@query("write_realised_pv", _with_new("select distinct system as sid, 'pv region' as region from power"))
-def write_realised_pv(t):
+def _written_pv(t) -> str:
     path = shared_folder(t.spark)
     sinks.write_table(t.systems.where("autoupdate = 1").select("sid", "region"), f"{path}/systems")
     batch = t.power.select(F.col("time").alias("datetime"), "system", "output")
     writers.write_realised_pv(batch, f"{path}/power", f"{path}/systems", "pv region", datetime(2024, 1, 1))
-    return t.spark.read.parquet(f"{path}/systems")
+    return path
+
+
+@query(
+    "write_realised_pv",
+    f"""select time, system, 'solar' as type, max(output) as output, 1704067200 as created
+    from {_seconds('power')} group by time, system""",
+)
+def write_realised_pv(t):
+    return _stored(t, _written_pv(t) + "/power")
+
+
+@query("write_realised_pv_systems", _with_new("select distinct system as sid, 'pv region' as region from power"))
+def write_realised_pv_systems(t):
+    return t.spark.read.parquet(_written_pv(t) + "/systems")
 
 
 @query(
@@ -195,12 +232,16 @@ def write_realised_pv(t):
 )
 def write_kpi(t):
     path = shared_folder(t.spark)
-    # A job without texts would be refused as a batch with missing values.
-    known = t.kpis.join(t.predictions.select(F.col("id").alias("pid")), "pid", "left_semi")
+    known, _ = writers.unknown_kpis(t.kpis, t.predictions)
     writers.write_kpi(known, described_jobs(t), KPIS, path)
     return _stored(t, path)
 
 
+@query("unknown_kpis", "select pid, horizon, date, kpi from kpis where pid not in (select id from predictions)")
+def unknown_kpis(t):
+    return writers.unknown_kpis(t.kpis, t.predictions)[1].select("pid", "horizon", "date", "kpi")
+
+
 @query("write_prices", "select Name, time, max(Price) as Price from marketprices_hourly group by Name, time")
 def write_prices(t):
     path = shared_folder(t.spark)
@@ -208,7 +249,8 @@ def write_prices(t):
     return _stored(t, path)
 
 
-@query("write_load_profiles", "select time, year_created, E1A_AMI_A, E1A_AMI_I from profile_batch")
+@query("write_load_profiles", f"""select time, year_created, max(E1A_AMI_A) as E1A_AMI_A, max(E1A_AMI_I) as E1A_AMI_I
+    from {_seconds('profile_batch')} group by time, year_created""")
 def write_load_profiles(t):
     path = shared_folder(t.spark)
     writers.write_load_profiles(t.profile_batch, ["E1A_AMI_A", "E1A_AMI_I"], path)

@@ -105,3 +105,8 @@ LOAD_GAP_LIMIT = 3
 WIND_SHEAR_EXPONENT = 0.143
 EARTH_RADIUS_KM = 6371.0
 KPI_INFINITY = 9999.9
+
+# Tags of forecasts and KPIs, and the columns of a forecast kept per horizon.
+FORECAST_TAGS = ["pid", "type", "customer"]
+TAHEAD_COLUMNS = ["pid", "forecast", "stdev", "customer", "description", "type", "quality", "created"]
+KPI_TAGS = ["pid", "tAhead", "description", "customer", "window_days"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geo
+from gridloom.functions.numeric import known
 from gridloom.operators.joins import fan_out_join
 
 # Cell sizes in degrees, each half the one before; the first holds the globe, the last
@@ -103,54 +106,52 @@ def systems_near_sites(
     )
 
 
-def nearest_locations(
-    sites: DataFrame, locations: DataFrame, number: int = 1, threshold: float = 150.0
-) -> DataFrame:
-    """The ``number`` nearest locations (``city, lat, lon``) of every site (``site, lat, lon``).
+def named_sites(sites: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """Sites given by place (``site, name``) as ``site, lat, lon``; unknown names keep nulls."""
+    return lookup_coordinates(sites, gazetteer).select("site", "lat", "lon")
 
-    Distances are geodesic and rounded to 0.1 km; equal ones are ordered by city.
-    ``out_of_range`` marks sites whose nearest location is not below ``threshold``.
-    A location without coordinates stops the job.
 
-    No site meets every location. Locations are counted per cell at a ladder of cell
-    sizes; a site takes the smallest own cell that holds ``number`` of them. That
-    cell's diagonal bounds the distance looked for, and only cells within it are joined.
-    """
-    broken = F.raise_error(F.lit("weather location without coordinates")).cast("double")
-    locations = locations.select(
-        "city", F.coalesce("lat", broken).alias("lat"), F.coalesce("lon", broken).alias("lon")
+def _diagonal(size: float) -> float:
+    """Longest distance in a cell: degrees are longest at 111.7 km, a diagonal has sqrt(2) sides."""
+    return size * 111.7 * 1.4143 + ROUNDING_SLACK_KM
+
+
+def _in_cells(df: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Rows with the cells they lie in, one row per level."""
+    sizes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(CELL_SIZES[k]).alias("size")) for k in levels])
+    size = F.col("__level.size")
+    return df.withColumn("__level", F.explode(sizes)).select(
+        *df.columns,
+        F.col("__level.k").alias("__k"),
+        geo.lat_cell(F.col("lat"), size).alias("__row"),
+        geo.lon_cell(F.col("lon"), size).alias("__col"),
     )
-    # Of locations at one spot only the first by name can be among the nearest.
-    at_spot = Window.partitionBy("lat", "lon").orderBy("city")
-    locations = locations.withColumn("__n", F.row_number().over(at_spot)).where(F.col("__n") <= number).drop("__n")
-    sizes = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("size")) for k, s in enumerate(CELL_SIZES)])
-
-    def in_cells(df: DataFrame) -> DataFrame:
-        leveled = df.withColumn("__level", F.explode(sizes))
-        size = F.col("__level.size")
-        return leveled.select(
-            *df.columns,
-            F.col("__level.k").alias("__k"),
-            geo.lat_cell(F.col("lat"), size).alias("__row"),
-            geo.lon_cell(F.col("lon"), size).alias("__col"),
-        )
 
-    placed = in_cells(locations)
+
+def pairs_in_cells(
+    spots: DataFrame, locations: DataFrame, number: int, levels: Sequence[int], otherwise: float
+) -> DataFrame:
+    """Locations worth a distance for every spot (``lat, lon``), and whether the search is known to suffice.
+
+    Locations are counted per cell at the given levels; a spot takes the smallest own cell that
+    holds ``number`` of them, whose diagonal bounds the search (``__enough``). Where no own cell
+    does, cells of the first level within ``otherwise`` km are searched. A crowded cell's spots are
+    dealt over shares.
+    """
+    placed = _in_cells(locations, levels)
     cell = ["__k", "__row", "__col"]
     full = placed.groupBy(*cell).count().where(F.col("count") >= number).select(*cell)
-    # Sites that share coordinates share the search.
-    spots = sites.select("lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
-    # Fewer locations than asked for: the whole globe, level 0, remains.
-    level = in_cells(spots).join(full.withColumn("__full", F.lit(True)), cell, "left")
-    level = level.groupBy("lat", "lon").agg(F.coalesce(F.max(F.when(F.col("__full"), F.col("__k"))), F.lit(0)).alias("__k"))
-
-    size = F.element_at(F.array(*[F.lit(s) for s in CELL_SIZES]), F.col("__k") + 1)
-    # Degrees are longest at 111.7 km; a cell's diagonal is at most sqrt(2) sides.
-    reach = F.when(F.col("__k") == 0, F.lit(20_100.0)).otherwise(
-        F.least(size * F.lit(111.7 * 1.4143) + F.lit(ROUNDING_SLACK_KM), F.lit(20_100.0))
-    )
+    own = _in_cells(spots, levels).join(full.withColumn("__full", F.lit(True)), cell, "left")
+    own = own.groupBy("lat", "lon").agg(F.max(F.when(F.col("__full"), F.col("__k"))).alias("__own"))
+    level = own.withColumn("__k", F.coalesce("__own", F.lit(levels[0])))
+    sizes = F.array(*[F.lit(s) for s in CELL_SIZES])
+    diagonals = F.array(*[F.lit(_diagonal(s)) for s in CELL_SIZES])
+    reach = F.when(F.col("__own").isNull(), F.lit(otherwise)).otherwise(F.element_at(diagonals, F.col("__k") + 1))
     search = (
-        level.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), "__k", size.alias("__size"), reach.alias("__reach"))
+        level.select(
+            F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), "__k", F.col("__own").isNotNull().alias("__enough"),
+            F.element_at(sizes, F.col("__k") + 1).alias("__size"), F.least(reach, F.lit(20_100.0)).alias("__reach"),
+        )
         .withColumn("__row", F.explode(geo.covering_lat_cells(F.col("__lat"), F.col("__reach"), F.col("__size"))))
         .withColumn(
             "__col", F.explode(geo.covering_lon_cells(F.col("__lat"), F.col("__lon"), F.col("__reach"), F.col("__size")))
@@ -158,14 +159,65 @@ def nearest_locations(
         .drop("__size", "__reach")
     )
     distance = F.round(geo.geodesic_km(F.col("__lat"), F.col("__lon"), F.col("lat"), F.col("lon")), 1)
-    pairs = search.join(placed, cell).select("__lat", "__lon", F.col("city").alias("input_city"), distance.alias("distance"))
+    pairs = fan_out_join(search, placed, cell, by=["__lat", "__lon"])
+    return pairs.select("__lat", "__lon", "__enough", F.col("city").alias("input_city"), distance.alias("distance"))
+
+
+def bounded_levels(threshold: float) -> list[int]:
+    """Levels whose cells are no wider than the threshold; the last one where none is."""
+    levels = range(len(CELL_SIZES))
+    return [k for k in levels if _diagonal(CELL_SIZES[k]) <= threshold] or [levels[-1]]
+
+
+def _nearest_in_cells(
+    spots: DataFrame, locations: DataFrame, number: int, levels: Sequence[int], otherwise: float
+) -> DataFrame:
+    """The first ``number`` of the pairs of every spot, ranked."""
+    pairs = pairs_in_cells(spots, locations, number, levels, otherwise)
     order = Window.partitionBy("__lat", "__lon").orderBy("distance", "input_city")
-    ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
-    nearest = F.min("distance").over(Window.partitionBy("__lat", "__lon"))
-    ranked = ranked.withColumn("out_of_range", nearest >= threshold)
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
+
+
+def nearest_locations(
+    sites: DataFrame, locations: DataFrame, number: int = 1, threshold: float = 150.0
+) -> DataFrame:
+    """The ``number`` nearest locations (``city, lat, lon``) of every site (``site, lat, lon``).
+
+    Distances are geodesic and rounded to 0.1 km; equal ones are ordered by city. A site whose
+    nearest location is not below ``threshold`` has one row, ``out_of_range``, without location; one
+    without coordinates (null or NaN) has such a row with ``out_of_range`` null. A location without
+    coordinates stops the job.
+
+    No site meets every location. The search ends at the threshold: a site that has no cell of its
+    own with enough locations looks at cells within the threshold only. Only sites that have some
+    location in range, but fewer than ``number``, look further, by larger cells.
+    """
+    broken = F.raise_error(F.lit("weather location without coordinates")).cast("double")
+    locations = locations.select(
+        "city", F.coalesce(known(F.col("lat")), broken).alias("lat"), F.coalesce(known(F.col("lon")), broken).alias("lon")
+    )
+    # Of locations at one spot only the first by name can be among the nearest.
+    at_spot = Window.partitionBy("lat", "lon").orderBy("city")
+    locations = locations.withColumn("__n", F.row_number().over(at_spot)).where(F.col("__n") <= number).drop("__n")
+    sites = sites.withColumn("lat", known(F.col("lat"))).withColumn("lon", known(F.col("lon")))
+    # Sites that share coordinates share the search.
+    spots = sites.select("lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
+    ranked = _nearest_in_cells(spots, locations, number, bounded_levels(threshold), threshold + ROUNDING_SLACK_KM)
+    spot = Window.partitionBy("__lat", "__lon")
+    ranked = ranked.withColumn("__nearest", F.min("distance").over(spot)).where(F.col("__nearest") < threshold)
+    if number > 1:
+        close = F.count_if(F.col("distance") <= threshold).over(spot) >= number
+        ranked = ranked.withColumn("__enough", F.col("__enough") | close)
+        short = ranked.where(~F.col("__enough")).select(F.col("__lat").alias("lat"), F.col("__lon").alias("lon")).distinct()
+        wide = _nearest_in_cells(short, locations, number, range(len(CELL_SIZES)), 20_100.0)
+        ranked = ranked.where("__enough").drop("__nearest").unionByName(wide)
+    ranked = ranked.select("__lat", "__lon", "input_city", "distance", "rank")
+    located = F.col("__lat").isNotNull() & F.col("__lon").isNotNull()
+    flag = F.when(F.col("input_city").isNotNull(), F.lit(False)).when(located, F.lit(True))
     return (
         sites.withColumnsRenamed({"lat": "__lat", "lon": "__lon"})
-        .join(ranked, ["__lat", "__lon"])
+        .join(ranked, ["__lat", "__lon"], "left")
+        .withColumn("out_of_range", flag)
         .drop("__lat", "__lon")
     )
 

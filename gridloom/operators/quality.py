@@ -95,7 +95,7 @@ def kpi_wide(kpis: DataFrame, jobs: DataFrame, names: Sequence[str]) -> DataFram
 
 
 def well_formed_measurements(df: DataFrame, column: str = "datetime") -> DataFrame:
-    """Measurements whose time text reads as ``2019-10-16T20:00:00+0200``."""
+    """Measurements whose time text reads as ``2019-10-16T20:00:00`` with ``+0200``, ``+02:00`` or ``Z``."""
     return df.where(_measurement_time(column).isNotNull())
 
 
@@ -104,15 +104,18 @@ def malformed_measurements(df: DataFrame, column: str = "datetime") -> DataFrame
 
 
 def _measurement_time(column: str) -> Column:
-    return F.try_to_timestamp(F.col(column), F.lit("yyyy-MM-dd'T'HH:mm:ssZ"))
+    # XXX reads +02:00 and Z, Z reads +0200.
+    forms = [F.lit(f"yyyy-MM-dd'T'HH:mm:ss{zone}") for zone in ("Z", "XXX")]
+    return F.coalesce(*[F.try_to_timestamp(F.col(column), form) for form in forms])
 
 
 def measurement_documents(readings: DataFrame, zone: str = "CET") -> DataFrame:
     """Export documents ``{"sid", "data": [{"datetime", "output"}]}``, one per system and UTC day.
 
-    A reading is unique per system and second, which bounds a document; a document per
-    system alone would have no bound.
+    Readings of one system in one second become one, the largest, before they are gathered, so a
+    document has at most a day's seconds; a document per system alone would have no bound.
     """
+    readings = readings.groupBy("system", F.date_trunc("second", "time").alias("time")).agg(F.max("output").alias("output"))
     item = F.struct(F.col("time"), timeops.offset_text(F.col("time"), zone).alias("datetime"), F.col("output"))
     documents = readings.groupBy(F.col("system").alias("sid"), F.to_date("time").alias("date")).agg(
         F.array_sort(F.collect_list(item)).alias("__items")

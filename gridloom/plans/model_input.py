@@ -16,16 +16,10 @@ from gridloom.operators.load import weighted_job_load
 from gridloom.operators.places import systems_near_sites
 from gridloom.plans.predictors import GROUPS, predictors, with_city
 from gridloom.plans.splitting import site_load
-from gridloom.plans.weather import weather_latest
+from gridloom.plans.weather import preferred, weather_latest
 from gridloom.sources.tables import scan_series
 
 
-def default_range(as_of: datetime) -> tuple[datetime, datetime]:
-    """From midnight 14 days ago to midnight 3 days ahead."""
-    midnight = timeops.as_utc(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
-    return midnight - timedelta(days=14), midnight + timedelta(days=3)
-
-
 def filled_job_load(
     readings: DataFrame, systems: DataFrame, job_systems: DataFrame, start: datetime, end: datetime, minutes: int
 ) -> DataFrame:
@@ -97,6 +91,7 @@ def solar_input(
     output = output.select("site", "datetime", F.abs("load").alias("aggregated"))
 
     fields = ["radiation", "clouds"]
+    source, source_order = preferred(source, source_order)
     series = weather_latest(weather, sites, locations, fields, start, end, source, minutes, source_order=source_order)
     series = interpolate_inside(series, ["site"], fields, minutes, span=(start, end))
     # Only sites with output: a site's weather alone is not an answer.
@@ -118,6 +113,7 @@ def wind_input(
 ) -> DataFrame:
     """Wind speed at 100 m per site on the grid; what linear filling left open is filled by a spline."""
     end = datetime_start + timedelta(minutes=forecast_horizon)
+    source, source_order = preferred(source, source_order)
     speed = weather_latest(
         weather, sites, locations, ["windspeed_100m"], datetime_start, end, source, minutes, source_order=source_order
     )

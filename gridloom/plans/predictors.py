@@ -18,7 +18,7 @@ from gridloom.constants import (
 from gridloom.functions.timeops import grid_size
 from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, fill_gaps, forward_fill
 from gridloom.operators.places import nearest_locations
-from gridloom.plans.weather import weather_by_city
+from gridloom.plans.weather import preferred, weather_by_city
 from gridloom.sources.tables import scan_series
 
 # Largest table by time that is broadcast, from its rows and columns.
@@ -75,10 +75,11 @@ def weather_predictors(
 ) -> DataFrame:
     """Weather parameters of every location, or of ``cities``, on the target grid.
 
-    Stored fields that the table lacks are left out. Weather is read on the quarter grid
+    Several sources are blended in the order given. Stored fields that the table lacks are left out. Weather is read on the quarter grid
     and filled there, then brought to the target grid and filled again.
     """
     fields = [f for f in weather_fields(add_weather_params) if f in weather.columns]
+    source, source_order = preferred(source, source_order)
     quarter = weather_by_city(weather, fields, start, end, source, 15, source_order, cities=cities)
     if minutes == 15:
         return quarter.drop("source")
@@ -87,7 +88,7 @@ def weather_predictors(
 
 
 def with_city(sites: DataFrame, locations: DataFrame) -> DataFrame:
-    """(site, input_city): the nearest weather location, null for a site without coordinates."""
+    """(site, input_city): the nearest weather location, null for a site without one in range or without coordinates."""
     nearest = nearest_locations(sites, locations).select("site", "input_city")
     return sites.select("site").distinct().join(nearest, "site", "left")
 

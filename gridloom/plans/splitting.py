@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.constants import BLENDED_SOURCE, PROFILE_FIELDS
 from gridloom.functions import timeops
 from gridloom.functions.numeric import wind_at_height
 from gridloom.operators.joins import fan_out_join
-from gridloom.operators.load import load_by_systems, weighted_job_load
+from gridloom.operators.load import system_means, weighted_job_load
 from gridloom.operators.places import systems_near_sites
 from gridloom.operators.reshape import align_inner, finite_rows
 from gridloom.plans.predictors import join_by_time, load_profiles
-from gridloom.plans.weather import weather_latest
+from gridloom.plans.weather import preferred, weather_latest
 from gridloom.sources.tables import scan_series
 
 
@@ -40,17 +40,16 @@ def mean_coefficients(coefs: DataFrame, as_of: datetime, days: int = 180) -> Dat
 def normalise_p99(df: DataFrame, column: str, series: Sequence[str]) -> DataFrame:
     """Divide by the exact, interpolated 99th percentile of the series.
 
-    For bucketed series: their distinct values, which the percentile holds in memory, are
-    bounded by the number of buckets.
+    For bucketed series: a window over one holds at most as many rows as there are buckets.
     """
-    scale = df.groupBy(*series).agg(F.percentile(column, 0.99).alias("__scale"))
-    return df.join(scale, list(series)).withColumn(column, F.try_divide(column, "__scale")).drop("__scale")
+    scale = F.percentile(column, 0.99).over(Window.partitionBy(*series))
+    return df.withColumn(column, F.try_divide(F.col(column), scale))
 
 
 def normalise_absmax(df: DataFrame, column: str, series: Sequence[str]) -> DataFrame:
-    """Divide by the absolute value of the series' maximum."""
-    scale = df.groupBy(*series).agg(F.abs(F.max(column)).alias("__scale"))
-    return df.join(scale, list(series)).withColumn(column, F.try_divide(column, "__scale")).drop("__scale")
+    """Divide by the absolute value of the series' maximum; for bucketed series."""
+    scale = F.abs(F.max(column).over(Window.partitionBy(*series)))
+    return df.withColumn(column, F.try_divide(F.col(column), scale))
 
 
 def wind_ref(
@@ -64,6 +63,7 @@ def wind_ref(
     source_order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Wind speed at 100 m per site, relative to its maximum."""
+    source, source_order = preferred(source, source_order)
     speed = weather_latest(
         weather, sites, locations, ["windspeed_100m"], start, end, source, minutes, source_order=source_order
     )
@@ -103,15 +103,18 @@ def site_load(
     minutes: int,
     average_output: bool,
 ) -> DataFrame:
-    """Load over the systems of each site; systems are reduced to bucket means before the join."""
+    """Load over the systems of each site; systems are reduced to bucket means before the join.
+
+    Only systems of some site take part. A short list of them reaches the scan.
+    """
     stop = timeops.floor_value(end, minutes) + timedelta(minutes=minutes)
     points = scan_series(readings, timeops.floor_value(start, minutes), stop)
-    means = load_by_systems(points, minutes, keys=["system"]).select(
-        "system", F.col("datetime").alias("time"), F.col("load").alias("output")
-    )
-    members = site_systems.select("site", F.col("sid").alias("system"))
-    joined = fan_out_join(means, members, ["system"], by=["time"])
-    return load_by_systems(joined, minutes, average_output, keys=["site"]).select("site", "datetime", "load")
+    members = site_systems.select("site", F.col("sid").alias("system")).distinct()
+    means = system_means(points, minutes).join(members.select("system").distinct(), "system", "left_semi")
+    load = F.sum("output")
+    load = load / F.count("output") if average_output else load
+    joined = fan_out_join(means, members, ["system"], by=["datetime"])
+    return joined.groupBy("site", "datetime").agg(load.alias("load"))
 
 
 def splitting_input(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gridloom.constants import BLENDED_SOURCE, WEATHER_GAP_LIMIT, WEATHER_SOURCES
 from gridloom.functions import timeops
+from gridloom.functions.numeric import known
 from gridloom.operators.grids import bucket_any, bucket_mean, fill_gaps
 from gridloom.operators.places import attach_distance, nearest_locations
 from gridloom.sources.tables import scan_series
@@ -24,13 +25,13 @@ def combine_sources(
 ) -> DataFrame:
     """Per key and per column the value of the first source in order that has one.
 
-    Sources that are not listed are left out. One hash aggregate whatever the number of
+    NaN counts as missing. Sources that are not listed are left out. One hash aggregate whatever the number of
     sources; the values may be of any type.
     """
     order = list(source_order or WEATHER_SOURCES)
-    cells = [
-        F.coalesce(*[F.max(F.when(F.col("source") == s, F.col(f))) for s in order]).alias(f) for f in fields
-    ]
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType)}
+    value = lambda f: known(F.col(f)) if f in floating else F.col(f)
+    cells = [F.coalesce(*[F.max(F.when(F.col("source") == s, value(f))) for s in order]).alias(f) for f in fields]
     return df.where(F.col("source").isin(*order)).groupBy(*keys).agg(*cells)
 
 
@@ -44,6 +45,16 @@ def with_source_run(df: DataFrame, time: str = "datetime", horizon: str = "tAhea
     return df.withColumn("created", timeops.hours_before(F.col(time), F.col(horizon)))
 
 
+def preferred(source: str | Sequence[str], source_order: Sequence[str] | None):
+    """Source and order of preference where one series per location is wanted.
+
+    A list of sources is blended in the order given; one source, or the blended one, stays as it is.
+    """
+    if isinstance(source, str) or len(source) == 1 or BLENDED_SOURCE in source:
+        return source, source_order
+    return BLENDED_SOURCE, list(source)
+
+
 def _sources(source: str | Sequence[str]) -> tuple[list[str] | None, bool]:
     names = [source] if isinstance(source, str) else list(source)
     return (None, True) if BLENDED_SOURCE in names else (names, False)
@@ -107,6 +118,9 @@ def weather_latest(
 ) -> DataFrame:
     """Latest weather of the nearest location(s) of every site.
 
+    Sites without a location in range, or without coordinates, have no weather;
+    ``nearest_locations`` flags them.
+
     Sites near the same location share one blended and filled series: the series are
     made per location, and only for locations that some site needs.
     """

@@ -110,7 +110,11 @@ BINDINGS: dict[str, str | tuple[str, str]] = {
         from nation where n_regionkey <> 3""",
     "weather": f"""select {_place('user_id')} as input_city, event_type as source, date_trunc('hour', ts) as time,
         value as temp, cast(regexp_extract(props, '([0-9]+)', 1) as double) as clouds, value * 3.0e0 as radiation,
-        case when user_id % 7 = 3 then null else value / 10.0e0 end as windspeed_100m, event_id as source_run
+        case when user_id % 7 = 3 then null else value / 10.0e0 end as windspeed_100m, value / 20.0e0 as windspeed,
+        (event_id % 360) * 1.0e0 as winddeg, 1000 + value as pressure, (user_id % 100) / 100.0e0 as humidity,
+        case when event_id % 5 = 0 then null else value / 50.0e0 end as rain, value * 0.5e0 as mxlD,
+        (user_id % 3) * 1.0e0 as snowDepth, value * 7.0e0 as clearSky_ulf, value * 9.0e0 as clearSky_dlf,
+        value / 3.0e0 as ssrunoff, event_id as source_run
         from events""",
     "weather_daily": f"""select {_place('l_suppkey')} as input_city, l_returnflag || l_linestatus as source,
         l_shipdate as time, l_quantity as temp, case when l_linenumber = 3 then null else l_discount end as clouds,
@@ -141,9 +145,11 @@ BINDINGS: dict[str, str | tuple[str, str]] = {
     "measurement_texts": (
         """select event_id, value as output, case when event_id % 7 = 0 then cast(date_trunc('hour', ts) as string)
             when event_id % 7 = 1 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+            when event_id % 7 = 2 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || 'Z' when event_id % 7 = 3 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || '+02:00'
             else date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || '+0100' end as datetime from events""",
         """select event_id, value as output, case when event_id % 7 = 0 then cast(date_trunc('hour', ts) as string)
             when event_id % 7 = 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            when event_id % 7 = 2 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' when event_id % 7 = 3 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00'
             else strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+0100' end as datetime from events""",
     ),
     "kpis": """select user_id % 97 as pid, cast(((event_id % 5) * 1.5e0) as string) || 'h' as horizon,

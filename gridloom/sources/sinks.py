@@ -1,7 +1,8 @@
-"""Writing: upserts into date-partitioned Parquet, table modes, absent rows."""
+"""Writing: upserts into partitioned Parquet, table modes, absent rows."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.operators.quality import guard_values
+from gridloom.sources.tables import FIELD_CREATED, PARTITIONS, stored_layout
+
+# Parts of a day, by hash of the tags: a corrected point rewrites one of them. The setting counts
+# when a table is first written, and is noted beside it; large tables want more.
+BUCKETS_SETTING, BUCKETS = "spark.gridloom.buckets", 4
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -31,6 +37,16 @@ def _check_tags(tags: Sequence[str]) -> list[str]:
     return tags
 
 
+def _bucket(tags: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(t).cast("string") for t in sorted(tags)]), F.lit(buckets)).cast("int")
+
+
+def _placed(batch: DataFrame, tags: Sequence[str], time: str, buckets: int) -> DataFrame:
+    """Times cut to seconds, as they are stored, and the partition of each row."""
+    cut = F.date_trunc("second", time)
+    return batch.withColumn(time, cut).withColumn("date", F.to_date(time)).withColumn("bucket", _bucket(tags, buckets))
+
+
 def newest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: of every other column the newest value that is not null.
 
@@ -47,43 +63,101 @@ def newest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(*[newest(c) for c in fields])
 
 
+def _merged(rows: DataFrame, keys: Sequence[str], by_created: bool) -> DataFrame:
+    """One row per key; each field has its newest value, and ``__created`` when that was created.
+
+    ``__table`` marks what the table holds already: there each field has its own moment, in a new
+    batch all fields of a row share one. Without ``created`` in the batch the batch is newer.
+    """
+    hidden = {FIELD_CREATED, "__table", "created", *keys}
+    fields = [c for c in rows.columns if c not in hidden]
+    cells, moments = [], []
+    for c in fields:
+        moment = F.col("created")
+        if FIELD_CREATED in rows.columns:
+            moment = F.when(F.col("__table"), F.col(FIELD_CREATED)[c]).otherwise(moment)
+        order = [moment] if by_created else []
+        position = F.when(F.col(c).isNotNull(), F.struct(*order, ~F.col("__table"), F.col(c)))
+        cells.append(F.max_by(c, position).alias(c))
+        moments.append(F.max_by(F.struct(F.lit(c).alias("key"), moment.alias("value")), position))
+    created = F.map_from_entries(F.filter(F.array(*moments), lambda m: m["value"].isNotNull()))
+    return rows.groupBy(*keys).agg(*cells, created.alias(FIELD_CREATED), F.max("created").alias("created"))
+
+
+def _buckets(spark: SparkSession, layout) -> int:
+    return layout[1] if layout else int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
+
+
+def _existing(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+    """Those of the folders that are there; only these are looked at."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    paths = [(f, spark._jvm.org.apache.hadoop.fs.Path(f)) for f in folders]
+    return [f for f, p in paths if p.getFileSystem(hadoop).exists(p)]
+
+
+def _keep_layout(spark: SparkSession, path: str, schema: T.StructType, buckets: int) -> None:
+    """Note the columns and the number of buckets beside the table, where readers find them."""
+    text = json.dumps({"schema": schema.jsonValue(), "buckets": buckets})
+    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}/_layout")
+
+
 def upsert_last_write_wins(
-    batch: DataFrame, path: str, tags: list[str], time: str = "time", dates: Sequence | None = None
+    batch: DataFrame, path: str, tags: list[str], time: str = "time", touched: Sequence | None = None
 ) -> None:
-    """Merge a batch into the table at ``path``; key = tags + time, newest non-null field wins.
-
-    Newest is by ``created`` where the batch carries it, then the batch over the table.
-    Only the ``date`` partitions the batch touches are read and replaced, in dynamic mode
-    stated on the writer. Writing the same batch again changes nothing. Concurrent
-    writers of one partition need a lock outside: plain Parquet has none.
+    """Merge a batch into the table at ``path``; key = tags + time to the second, newest non-null field wins.
+
+    Newest is by ``created`` where the batch carries it, then the batch over the table. Each field
+    keeps the moment its value was created, so that the order in which batches arrive does not
+    count; ``created`` of a row is that of its newest batch. The table has a partition per day and
+    hash bucket of the tags. Only those the batch touches are read, by path and with the columns
+    noted beside the table, and replaced, in dynamic mode stated on the writer. Writing the same
+    batch again changes nothing. Concurrent writers of one partition need a lock outside: plain
+    Parquet has none.
     """
     spark = batch.sparkSession
     keys = [*_check_tags(tags), time]
-    batch = batch.withColumn("date", F.to_date(time)).withColumn("__rank", F.lit(1))
-    order = (["created"] if "created" in batch.columns else []) + ["__rank"]
-    merged = batch
-    if table_exists(spark, path):
-        if dates is None:
-            # At most one value per day of the batch.
-            dates = [r["date"] for r in batch.select("date").distinct().collect()]
-        stored = spark.read.option("mergeSchema", "true").parquet(path).where(F.col("date").isin(*dates))
-        merged = stored.withColumn("__rank", F.lit(0)).unionByName(batch, allowMissingColumns=True)
-    merged = newest_values(merged, [*keys, "date"], order).drop("__rank")
-    # Rows of a day go together, so that tasks do not open a file for every day; a day too
+    layout = stored_layout(spark, path)
+    buckets = _buckets(spark, layout)
+    placed = _placed(batch, tags, time, buckets)
+    by_created = "created" in batch.columns
+    rows = placed.withColumn("__table", F.lit(False))
+    if not by_created:
+        rows = rows.withColumn("created", F.lit(None).cast("bigint"))
+    if layout:
+        if touched is None:
+            # At most one row per day of the batch and bucket.
+            touched = [tuple(r) for r in placed.select("date", "bucket").distinct().collect()]
+        folders = _existing(spark, [f"{path}/date={d}/bucket={b}" for d, b in touched])
+        if folders:
+            stored = spark.read.schema(layout[0]).option("basePath", path).parquet(*folders)
+            if "created" not in stored.columns:
+                stored = stored.withColumn("created", F.lit(None).cast("bigint"))
+            rows = stored.withColumn("__table", F.lit(True)).unionByName(rows, allowMissingColumns=True)
+    merged = _merged(rows, [*keys, *PARTITIONS], by_created)
+    if not by_created and not (layout and "created" in layout[0].names):
+        merged = merged.drop("created", FIELD_CREATED)
+    known = T.StructType([*layout[0].fields]) if layout else T.StructType()
+    added = [f for f in merged.schema.fields if f.name not in known.names]
+    if added:
+        known = T.StructType([*known.fields, *[T.StructField(f.name, f.dataType) for f in added]])
+        _keep_layout(spark, path, known, buckets)
+    # Rows of a partition go together, so that tasks do not open a file for each; a partition too
     # large for one task is split again at run time.
     (
-        merged.hint("rebalance", F.col("date"))
+        merged.hint("rebalance", *[F.col(c) for c in PARTITIONS])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
 
-def check_batch(batch: DataFrame, time: str = "time") -> tuple[int, list]:
-    """Number of rows and the dates of a batch; refuses one with missing or infinite values."""
-    row = guard_values(batch, [F.collect_set(F.to_date(time)).alias("__dates")])
-    return row["rows"], row["__dates"]
+def check_batch(batch: DataFrame, path: str, tags: Sequence[str], time: str = "time") -> tuple[int, list]:
+    """Number of rows and the (date, bucket) partitions of a batch; refuses missing or infinite values."""
+    buckets = _buckets(batch.sparkSession, stored_layout(batch.sparkSession, path))
+    place = F.struct(F.to_date(F.date_trunc("second", time)).alias("date"), _bucket(tags, buckets).alias("bucket"))
+    row = guard_values(batch, [F.collect_set(place).alias("__touched")])
+    return row["rows"], [tuple(r) for r in row["__touched"]]
 
 
 def append_series(batch: DataFrame, path: str, tags: list[str], time: str = "time") -> int:
@@ -92,9 +166,9 @@ def append_series(batch: DataFrame, path: str, tags: list[str], time: str = "tim
     A batch with a missing or infinite value is refused before anything is written.
     """
     _check_tags(tags)
-    rows, dates = check_batch(batch, time)
+    rows, touched = check_batch(batch, path, tags, time)
     if rows:
-        upsert_last_write_wins(batch, path, tags, time, dates)
+        upsert_last_write_wins(batch, path, tags, time, touched)
     return rows
 
 
@@ -137,5 +211,11 @@ def union_results(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFr
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    """Export documents as text, one per line, in one folder per day."""
-    documents.select("date", "document").write.mode("overwrite").partitionBy("date").text(path)
+    """Export documents as text, one per line, in one folder per day; other days stay as they are."""
+    (
+        documents.select("date", "document")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .text(path)
+    )

@@ -2,30 +2,43 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions.timeops import as_utc
 
-# Tags by which rows of a measurement are told apart; with the time they are its key.
-KEYS = {
-    "power": ["system", "type", "time"],
-    "weather": ["input_city", "source", "time"],
-    "weather_tAhead": ["input_city", "source", "tAhead", "time"],
-    "prediction": ["pid", "type", "customer", "time"],
-    "prediction_tAheads": ["pid", "customer", "type", "tAhead", "time"],
-    "marketprices": ["Name", "time"],
-    "sjv": ["year_created", "time"],
-}
+PARTITIONS = ["date", "bucket"]
+# Of each field of a stored point, when its value was created.
+FIELD_CREATED = "__created"
 
 
-def read_series(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A measurement stored as Parquet, partitioned by ``date`` when the library wrote it."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+def stored_layout(spark: SparkSession, path: str) -> tuple[T.StructType, int] | None:
+    """Columns and number of buckets of a table the library wrote, noted beside it; nothing where none is."""
+    try:
+        text = spark.read.text(f"{path}/_layout").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    noted = json.loads(text["value"])
+    return T.StructType.fromJson(noted["schema"]), noted["buckets"]
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """A measurement the library wrote, with all fields any batch brought, and its ``date`` partition.
+
+    The columns are those noted beside the table, so that no file is opened to learn them.
+    """
+    layout = stored_layout(spark, path)
+    if layout is None:
+        raise ValueError(f"no stored series at {path}")
+    return spark.read.schema(layout[0]).parquet(path).drop("bucket", FIELD_CREATED)
 
 
 def scan_series(
@@ -60,8 +73,3 @@ def filter_tags(df: DataFrame, tag: str, wanted: object) -> DataFrame:
 def scan_table(spark: SparkSession, query: str, args: Mapping[str, object], **views: DataFrame) -> DataFrame:
     """A metadata query with named parameters; tables are given as ``{name}`` in the text."""
     return spark.sql(query, args=dict(args), **views)
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """A metadata table kept in a relational database."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.constants import (
     FORECAST_HORIZONS,
+    FORECAST_TAGS,
     FORECAST_TYPES,
+    KPI_TAGS,
+    TAHEAD_COLUMNS,
     WEATHER_HORIZONS,
     WEATHER_TYPES,
 )
@@ -18,9 +23,16 @@ from gridloom.functions import timeops
 from gridloom.operators.quality import fill_quality, kpi_wide, strict_cast, tag_constants
 from gridloom.sources.sinks import append_series, check_batch, insert_if_absent, upsert_last_write_wins
 
-FORECAST_TAGS = ["pid", "type", "customer"]
-TAHEAD_COLUMNS = ["pid", "forecast", "stdev", "customer", "description", "type", "quality", "created"]
-KPI_TAGS = ["pid", "tAhead", "description", "customer", "window_days"]
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """A batch that is read several times, kept in memory, then on disk, meanwhile."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def _unix(created: datetime) -> int:
@@ -73,11 +85,12 @@ def write_forecast(
     """
     forecast = prepare_forecast(data, created, time, force_quality)
     tags = [t for t in FORECAST_TAGS if t in forecast.columns]
-    rows, dates = check_batch(forecast)
-    if rows:
-        upsert_last_write_wins(forecast, path, tags, dates=dates)
-        if tahead_path:
-            upsert_last_write_wins(forecast_taheads(forecast, options), tahead_path, [*tags, "tAhead"], dates=dates)
+    with kept(forecast):
+        rows, touched = check_batch(forecast, path, tags)
+        if rows:
+            upsert_last_write_wins(forecast, path, tags, touched=touched)
+            if tahead_path:
+                upsert_last_write_wins(forecast_taheads(forecast, options), tahead_path, [*tags, "tAhead"])
     return rows
 
 
@@ -99,10 +112,11 @@ def write_weather(
 ) -> int:
     """Upsert a weather batch into ``path`` and its horizon series into ``path_tAhead``."""
     weather = prepare_weather(data, source, created, time)
-    rows, dates = check_batch(weather)
-    if rows:
-        upsert_last_write_wins(weather, path, list(tags), dates=dates)
-        upsert_last_write_wins(with_horizon(weather, options), f"{path}_tAhead", [*tags, "tAhead"], dates=dates)
+    with kept(weather):
+        rows, touched = check_batch(weather, path, tags)
+        if rows:
+            upsert_last_write_wins(weather, path, list(tags), touched=touched)
+            upsert_last_write_wins(with_horizon(weather, options), f"{path}_tAhead", [*tags, "tAhead"])
     return rows
 
 
@@ -138,11 +152,21 @@ def write_realised_pv(
 
 
 def write_kpi(kpis: DataFrame, jobs: DataFrame, names: Sequence[str], path: str) -> int:
-    """Clean KPIs (``pid, horizon, date, kpi, value``) and upsert one row per job, horizon and date."""
+    """Clean KPIs (``pid, horizon, date, kpi, value``) and upsert one row per job, horizon and date.
+
+    A batch with KPIs of jobs that are not known, or known without texts, is refused;
+    ``unknown_kpis`` has their rows.
+    """
     wide = kpi_wide(kpis, jobs, names).withColumn("time", F.col("date").cast("timestamp")).drop("date")
     return append_series(wide, path, [t for t in KPI_TAGS if t in wide.columns])
 
 
+def unknown_kpis(kpis: DataFrame, jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """KPIs of known jobs, and those of jobs that are not in ``jobs``, for a report."""
+    pids = jobs.select(F.col("id").alias("pid")).distinct()
+    return kpis.join(pids, "pid", "left_semi"), kpis.join(pids, "pid", "left_anti")
+
+
 def write_prices(prices: DataFrame, path: str) -> int:
     """Market prices (``time, Name, Price``)."""
     return append_series(prices, path, ["Name"])

@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.functions import timeops
 from gridloom.operators.grids import bucket_mean
+from gridloom.operators.quality import RejectedBatch
 from gridloom.session import apply_settings
 from gridloom.sources.sinks import append_series, upsert_last_write_wins
+from gridloom.sources.tables import read_series
 
 READING_SCHEMA = "time timestamp, system string, type string, output double, created bigint"
 TAGS = ["system", "type"]
@@ -38,18 +40,30 @@ def read_stream(
     return reader.parquet(folder)
 
 
-def _start(stream: DataFrame, handle: Callable[[DataFrame], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+def _start(
+    stream: DataFrame,
+    handle: Callable[[DataFrame], None],
+    checkpoint: str,
+    mode: str = "append",
+    rejects: str | None = None,
+) -> StreamingQuery:
     """Start a query that hands every micro-batch, kept while it is used, to ``handle``.
 
     A batch is read several times; without keeping it, each time would run its plan,
-    state included, again.
+    state included, again. A batch that the checks refuse is written whole below ``rejects``, with
+    the reason, in a folder of its own number, and the stream goes on; a replay writes it again.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
             if not batch.isEmpty():
                 handle(batch)
+        except RejectedBatch as refused:
+            if rejects is None:
+                raise
+            reason = F.lit(str(refused)).alias("reason")
+            batch.select("*", reason).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
         finally:
             batch.unpersist()
 
@@ -62,21 +76,25 @@ def _start(stream: DataFrame, handle: Callable[[DataFrame], None], checkpoint: s
     )
 
 
-def stream_realised(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_realised(readings: DataFrame, path: str, checkpoint: str, rejects: str | None = None) -> StreamingQuery:
     """Upsert every micro-batch; each is checked whole before it is written.
 
     Late and corrected points are welcome, so there is no watermark and no removal of
     repeated keys: the upsert makes replays harmless, as ``created`` comes with the data.
+    Refused micro-batches go to ``rejects``, by default beside the table's files.
     """
-
-    return _start(readings, lambda batch: append_series(batch, path, TAGS), checkpoint)
+    return _start(
+        readings, lambda batch: append_series(batch, path, TAGS), checkpoint, rejects=rejects or f"{path}/_rejected"
+    )
 
 
 def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str, checkpoint: str) -> StreamingQuery:
     """Mean per system and bucket of an append-only feed, updated as points arrive.
 
-    State is one row per system and open bucket. Points later than ``delay`` are lost, and
-    a corrected point would count twice: use ``stream_corrected_buckets`` for such feeds.
+    State is one row per system and open bucket. Points later than ``delay`` are lost (the query's
+    progress counts them as rows dropped by the watermark), and a corrected point would count
+    twice: ``stream_corrected_buckets`` loses none and is the one to use unless a feed is known to
+    be in order.
     """
     means = (
         readings.withWatermark("time", delay)
@@ -89,7 +107,7 @@ def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str
 
 
 def stream_corrected_buckets(
-    readings: DataFrame, minutes: int, table: str, buckets: str, checkpoint: str
+    readings: DataFrame, minutes: int, table: str, buckets: str, checkpoint: str, rejects: str | None = None
 ) -> StreamingQuery:
     """Upsert readings, then recompute the (system, bucket) means the batch touched.
 
@@ -100,15 +118,14 @@ def stream_corrected_buckets(
     def write(batch: DataFrame) -> None:
         spark = batch.sparkSession
         append_series(batch, table, TAGS)
-        touched = batch.select("system", timeops.bucket(F.col("time"), minutes).alias("__bucket")).distinct()
-        # Days on which a touched bucket can have points.
-        first = timeops.bucket(F.min("time"), minutes)
-        days = batch.agg(
-            F.to_date(first).alias("low"), F.to_date(timeops.shift(F.max("time"), minutes)).alias("high")
-        ).first()
-        stored = spark.read.parquet(table).where(F.col("date").between(days["low"], days["high"]))
+        cut = F.date_trunc("second", "time")
+        touched = batch.select("system", timeops.bucket(cut, minutes).alias("__bucket")).distinct()
+        # Days on which a touched bucket can have points: at most two for each of the batch's days.
+        ends = F.explode(F.array(F.to_date("__bucket"), F.to_date(timeops.shift(F.col("__bucket"), minutes))))
+        days = [r["day"] for r in touched.select(ends.alias("day")).distinct().collect()]
+        stored = read_series(spark, table).where(F.col("date").isin(*days))
         stored = stored.withColumn("__bucket", timeops.bucket(F.col("time"), minutes))
         means = bucket_mean(stored.join(touched, ["system", "__bucket"], "left_semi"), ["system"], ["output"], minutes)
         upsert_last_write_wins(means.withColumnRenamed("datetime", "time"), buckets, ["system"])
 
-    return _start(readings, write, checkpoint)
+    return _start(readings, write, checkpoint, rejects=rejects or f"{table}/_rejected")

@@ -13,7 +13,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels".split()
 
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:

@@ -32,10 +32,14 @@ def test_nearest_is_ellipsoidal(spark):
 
 
 def test_far_sites_are_flagged_and_missing_coordinates_stop(spark):
-    found = places.nearest_locations(site(spark, (-30.0, -60.0)), located(spark, NL), 1).first()
-    assert found["out_of_range"] and found["distance"] > 10_000
+    far = site(spark, (-30.0, -60.0), (None, 5.0), (float("nan"), 5.0))
+    found = {r["site"]: r for r in places.nearest_locations(far, located(spark, NL), 2).collect()}
+    assert len(found) == 3 and all(r["input_city"] is None and r["distance"] is None for r in found.values())
+    assert [found[i]["out_of_range"] for i in range(3)] == [True, None, None]
     with pytest.raises(Exception, match="without coordinates"):
         places.nearest_locations(site(spark, (52.0, 4.7)), located(spark, [*NL, ("X", None, 5.0)]), 1).collect()
+    with pytest.raises(Exception, match="without coordinates"):
+        places.nearest_locations(site(spark, (52.0, 4.7)), located(spark, [*NL, ("X", float("nan"), 5.0)]), 1).collect()
 
 
 def test_fewer_locations_than_asked(spark):
@@ -51,11 +55,12 @@ def scattered(seed, n):
     return [(lat, (lon + 180) % 360 - 180) for lat, lon in points]
 
 
+@pytest.mark.parametrize("threshold", [150.0, 900.0, 25_000.0])
 @pytest.mark.parametrize("number", [1, 4])
-def test_nearest_equals_all_pairs(spark, number):
+def test_nearest_equals_all_pairs(spark, number, threshold):
     locations = located(spark, [(f"c{i:04d}", *p) for i, p in enumerate(scattered(1, 150))])
     sites = site(spark, *scattered(2, 120))
-    found = places.nearest_locations(sites, locations, number).select("site", "rank", "input_city", "distance")
+    found = places.nearest_locations(sites, locations, number, threshold).select("site", "rank", "input_city", "distance")
     pairs = sites.crossJoin(locations.withColumnsRenamed({"lat": "a", "lon": "o"}))
     pairs = pairs.withColumn("d", F.round(geo.geodesic_km(F.col("lat"), F.col("lon"), F.col("a"), F.col("o")), 1))
     expected = []
@@ -63,8 +68,23 @@ def test_nearest_equals_all_pairs(spark, number):
     for r in pairs.select("site", "city", "d").collect():
         by_site.setdefault(r["site"], []).append((r["d"], r["city"]))
     for s, candidates in by_site.items():
+        if min(candidates)[0] >= threshold:
+            expected.append((s, None, None, None))
+            continue
         expected += [(s, i + 1, c, d) for i, (d, c) in enumerate(sorted(candidates)[:number])]
-    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("sites_at", [(48.0, 5.0), (-33.0, 151.0), (60.0, -30.0)])
+def test_far_sites_meet_no_location(spark, sites_at):
+    """The number of pairs that are compared, not the names of operators, tells a cross product."""
+    rng = random.Random(3)
+    near = [(f"c{i:04d}", 52 + rng.random(), 5 + rng.random()) for i in range(300)]
+    spots = spark.createDataFrame([(sites_at[0] + rng.random(), sites_at[1] + rng.random()) for _ in range(200)], "lat double, lon double")
+    levels = places.bounded_levels(150.0)
+    assert places.pairs_in_cells(spots, located(spark, near), 1, levels, 150.2).count() == 0
+    inside = spark.createDataFrame([(52 + rng.random(), 5 + rng.random()) for _ in range(200)], "lat double, lon double")
+    assert places.pairs_in_cells(inside, located(spark, near), 1, levels, 150.2).count() < 200 * 300 / 4
 
 
 @pytest.mark.parametrize("radius", [15.0, 400.0])

@@ -113,3 +113,16 @@ def test_latest_run_defaults_to_the_epoch(spark):
     sources = spark.createDataFrame([("a",), ("b",)], "source string")
     found = weather.latest_weather_run(df, sources, datetime(2022, 1, 2)).collect()
     assert {r["source"]: r["last_stored_run"] for r in found} == {"a": datetime(1970, 1, 2), "b": datetime(1970, 1, 1)}
+
+
+def test_missing_numbers_of_the_first_source_are_blended(spark):
+    rows = [(HOURS[0], "A", "s1", float("nan"), "x"), (HOURS[0], "A", "s2", 3.0, "y")]
+    df = spark.createDataFrame(rows, "datetime timestamp, input_city string, source string, temp double, note string")
+    row = weather.combine_sources(df, ["temp", "note"], ["s1", "s2"]).first()
+    assert (row["temp"], row["note"]) == (3.0, "x")
+
+
+def test_a_list_of_sources_is_an_order():
+    assert weather.preferred(["b", "a"], None) == ("optimum", ["b", "a"])
+    assert weather.preferred(["b"], None) == (["b"], None)
+    assert weather.preferred("b", None) == ("b", None)

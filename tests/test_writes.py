@@ -1,4 +1,6 @@
+import itertools
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,7 +142,7 @@ def test_fields_are_decided_one_by_one(spark, path):
     two = spark.createDataFrame([(DAY, "a", 2.0, 2)], "time timestamp, system string, y double, created bigint")
     sinks.append_series(one, path, ["system"])
     sinks.append_series(two, path, ["system"])
-    row = spark.read.option("mergeSchema", "true").parquet(path).first()
+    row = tables.read_series(spark, path).first()
     assert (row["x"], row["y"], row["created"]) == (1.0, 2.0, 2)
 
 
@@ -213,12 +215,71 @@ def test_stream_takes_late_and_corrected_points(spark, tmp_path):
     run()
     means = {r["time"]: r["output"] for r in spark.read.parquet(buckets).collect()}
     assert means == {DAY: 15.0, DAY + timedelta(minutes=15): 15.0, DAY - timedelta(days=1): 1.0}
-    assert spark.read.parquet(table).count() == 5
+    assert tables.read_series(spark, table).count() == 5
 
 
-def test_stream_refuses_a_bad_batch(spark, tmp_path):
-    feed = str(tmp_path / "feed")
-    spark.createDataFrame([(DAY, "a", "measurement", float("nan"), 1)], SCHEMA).write.parquet(feed)
-    query = streams.stream_realised(streams.read_stream(spark, feed), str(tmp_path / "t"), str(tmp_path / "c"))
-    with pytest.raises(Exception, match="missing values"):
-        query.awaitTermination()
+def test_stream_sets_a_bad_batch_aside_and_goes_on(spark, tmp_path):
+    feed, table, state = (str(tmp_path / n) for n in ("feed", "table", "state"))
+    values = [1.0, float("nan"), 3.0]
+    for i, value in enumerate(values):
+        row = [(DAY + timedelta(minutes=i), "a", "measurement", value, 1)]
+        spark.createDataFrame(row, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+    for _ in range(2):
+        feed_stream = streams.read_stream(spark, feed, files_per_batch=1)
+        streams.stream_realised(feed_stream, table, state).awaitTermination()
+    assert sorted(r["output"] for r in tables.read_series(spark, table).collect()) == [1.0, 3.0]
+    refused = spark.read.parquet(f"{table}/_rejected").collect()
+    assert len(refused) == 1 and "missing values" in refused[0]["reason"]
+
+
+def test_order_of_batches_does_not_count(spark, tmp_path):
+    schema = "time timestamp, system string, a double, b double, created bigint"
+    rows = [(DAY, "s", 10.0, None, 10), (DAY, "s", None, 5.0, 5), (DAY, "s", None, 7.0, 7)]
+    for n, order in enumerate(itertools.permutations(rows)):
+        path = str(tmp_path / str(n))
+        for row in order:
+            sinks.upsert_last_write_wins(spark.createDataFrame([row], schema), path, ["system"])
+        (row,) = tables.read_series(spark, path).collect()
+        assert (row["a"], row["b"], row["created"]) == (10.0, 7.0, 10)
+
+
+def test_a_broken_day_does_not_stop_another(spark, path):
+    schema = "time timestamp, system string, x double"
+    rows = [(DAY + timedelta(days=d), "a", float(d)) for d in range(2)]
+    sinks.append_series(spark.createDataFrame(rows, schema), path, ["system"])
+    for file in Path(path).glob(f"date={DAY.date()}/*/*.parquet"):
+        file.write_bytes(b"broken")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    sinks.append_series(spark.createDataFrame([(DAY + timedelta(days=1), "a", 9.0)], schema), path, ["system"])
+    later = tables.scan_series(tables.read_series(spark, path), start=DAY + timedelta(days=1))
+    assert [r["x"] for r in later.collect()] == [9.0]
+
+
+def test_times_are_kept_to_the_second(spark, path):
+    schema = "time timestamp, system string, x double, created bigint"
+    for micro, created in ((100, 1), (900, 2)):
+        row = [(DAY + timedelta(microseconds=micro), "a", float(created), created)]
+        sinks.append_series(spark.createDataFrame(row, schema), path, ["system"])
+    assert [(r["time"], r["x"]) for r in tables.read_series(spark, path).collect()] == [(DAY, 2.0)]
+
+
+def test_a_new_field_is_read(spark, path):
+    one = spark.createDataFrame([(DAY, "a", 1.0)], "time timestamp, system string, x double")
+    two = spark.createDataFrame([(DAY + timedelta(days=1), "a", 2.0)], "time timestamp, system string, q double")
+    sinks.append_series(one, path, ["system"])
+    sinks.append_series(two, path, ["system"])
+    assert sorted((r["x"], r["q"]) for r in tables.read_series(spark, path).collect() if r["x"]) == [(1.0, None)]
+    assert {r["q"] for r in tables.read_series(spark, path).collect()} == {None, 2.0}
+
+
+def test_exports_of_other_days_stay(spark, path):
+    for day in (1, 2):
+        sinks.write_documents(spark.createDataFrame([(f"2024-01-0{day}", f"text {day}")], "date string, document string"), path)
+    assert sorted(r["value"] for r in spark.read.text(path).collect()) == ["text 1", "text 2"]
+
+
+def test_zones_of_measurement_times(spark):
+    texts = ["2019-10-16T20:00:00+02:00", "2019-10-16T20:00:00Z", "2019-10-16T20:00:00-0130", "2019-10-16T20:00:00", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "datetime string")
+    assert {r["datetime"] for r in quality.well_formed_measurements(df).collect()} == set(texts[:3])
+    assert {r["datetime"] for r in quality.malformed_measurements(df).collect()} == set(texts[3:])
