@@ -237,11 +237,6 @@ def write_kpi(t):
     return _stored(t, path)
 
 
-@query("unknown_kpis", "select pid, horizon, date, kpi from kpis where pid not in (select id from predictions)")
-def unknown_kpis(t):
-    return writers.unknown_kpis(t.kpis, t.predictions)[1].select("pid", "horizon", "date", "kpi")
-
-
 @query("write_prices", "select Name, time, max(Price) as Price from marketprices_hourly group by Name, time")
 def write_prices(t):
     path = shared_folder(t.spark)

@@ -65,7 +65,7 @@ def main(argv: list[str]) -> int:
     folder, names = argv[0], argv[1:] or list(QUERIES)
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
-        "compare", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"}
+        "compare", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0

@@ -283,3 +283,10 @@ def test_zones_of_measurement_times(spark):
     df = spark.createDataFrame([(t,) for t in texts], "datetime string")
     assert {r["datetime"] for r in quality.well_formed_measurements(df).collect()} == set(texts[:3])
     assert {r["datetime"] for r in quality.malformed_measurements(df).collect()} == set(texts[3:])
+
+
+def test_kpis_of_unknown_jobs_are_reported(spark):
+    kpis = spark.createDataFrame([(1, "47.0h", 1.0), (2, "47.0h", 2.0), (None, "47.0h", 3.0)], "pid int, horizon string, value double")
+    known, unknown = writers.unknown_kpis(kpis, spark.createDataFrame([(1,), (1,)], "id int"))
+    assert [r["pid"] for r in known.collect()] == [1]
+    assert {r["pid"] for r in unknown.collect()} == {2, None}
