@@ -35,6 +35,17 @@ def letter_table() -> np.ndarray:
     return _letters
 
 
+def words_of_letters(codes: np.ndarray) -> np.ndarray:
+    """Which characters are letters, but for those in a run with digits: keys and numbers tell no language."""
+    letters = letter_table()[codes]
+    digits = (codes >= 48) & (codes <= 57)
+    inside = letters | digits
+    run = np.cumsum(inside & ~np.concatenate([[False], inside[:-1]]))
+    marked = np.zeros(run[-1] + 1 if len(run) else 1, bool)
+    marked[run[digits]] = True
+    return letters & ~marked[run]
+
+
 def encode(texts: list[str], pad: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-case letters with single spaces between words; where each text starts, and its end.
 
@@ -46,7 +57,7 @@ def encode(texts: list[str], pad: int = ORDER) -> tuple[np.ndarray, np.ndarray,
     codes = np.frombuffer((gap + gap.join(lowered) + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.array([len(t) for t in lowered], np.int64)
     ends = np.cumsum(lengths + pad)
-    letters = letter_table()[codes]
+    letters = words_of_letters(codes)
     codes = np.where(letters, codes, np.uint32(_SPACE))
     keep = letters.copy()
     keep[1:] |= letters[:-1]

@@ -235,6 +235,12 @@ def test_kneser_ney_sums_to_one_and_interpolates():
         assert 0.85 < total <= 1.0 + 1e-6, context  # the rest is kept for letters not seen
 
 
+def test_keys_and_numbers_tell_no_language():
+    codes, first, last = language_id.encode(["Ab c3d 12 efg", "9x9", ""])
+    words = ["".join(map(chr, codes[a:b])) for a, b in zip(first, last, strict=True)]
+    assert words[0].split() == ["ab", "efg"] and words[1].strip() == words[2].strip() == ""
+
+
 def test_language_pieces_do_not_change_scores():
     samples = {"x": ["hello there general text of words " * 9], "y": ["otra lengua con palabras distintas " * 9]}
     models = language_id.LanguageModels(samples)
