@@ -20,7 +20,10 @@ SAMPLE_DOCUMENTS = 3000
 LONGEST_SAMPLE = 50_000
 # Tokens up to so many characters apart stand next to each other in the chain.
 NEAR = 40
-ROUNDS = 8
+# Messages are sent anew until they change by no more than this, each at most so many times: that
+# bounds the work where messages of a loop never settle, and not how far evidence travels.
+SETTLED = 1e-4
+SENDINGS = 1000
 # A span beside the fixed patterns needs this belief.
 BELIEF = 0.9
 # Similar tokens are held to one entity by this much, and kept from one being none by half of it.
@@ -147,16 +150,19 @@ class Graph:
     skip: np.ndarray
 
 
-def build_graph(texts: list[str], bases: list[list[tuple[int, int, str]]]) -> Graph:
+def build_graph(texts: list[str], bases: list[list[tuple[int, int, str]]], certain: bool = False) -> Graph:
     """Edges join tokens that stand near each other, and each token with the next similar one.
 
-    Similar tokens form a path, not all pairs, so that edges grow with the tokens; messages along
-    it reach all of them.
+    Similar tokens form a path, not all pairs, so that edges grow with the tokens. Along a path
+    evidence fades with each token that looks like none. With ``certain``, what the patterns found
+    counts as certain, and each similar token has its edge with the nearest of those before it, or
+    else with the first: all hear of the evidence in full, however many there are.
     """
-    spans, listed, labels, chain, skip = [], [], [], [], []
+    spans, listed, labels, chain = [], [], [], []
+    groups: dict[tuple[int, str], list[int]] = {}
     for number, (text, base) in enumerate(zip(texts, bases, strict=True)):
         exact = {(s, e): LABELS.index(k) for s, e, k in base}
-        last, seen, at = None, {}, 0
+        last, at = None, 0
         for start, end in candidates(text):
             here = len(spans)
             spans.append((number, start, end))
@@ -172,14 +178,27 @@ def build_graph(texts: list[str], bases: list[list[tuple[int, int, str]]]) -> Gr
                 chain.append((last, here))
             key = same_key(text[start:end])
             if len(key) >= 6:
-                if key in seen:
-                    skip.append((seen[key], here))
-                seen[key] = here
+                groups.setdefault((number, key), []).append(here)
             last = here
+    skip = [edge for group in groups.values() for edge in similar_edges(group, labels, certain)]
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
     return Graph(spans, listed, np.array(labels, np.int64), pairs(chain), pairs(skip))
 
 
+def similar_edges(group: list[int], labels: list[int], certain: bool) -> list[tuple[int, int]]:
+    """Edges among similar tokens of a text: each with the one before, or with a token that has a label."""
+    held = next((i for i in group if labels[i]), None) if certain else None
+    if held is None:
+        return list(zip(group[:-1], group[1:], strict=True))
+    edges = []
+    for i in group:
+        if labels[i]:
+            held = i
+        else:
+            edges.append((min(i, held), max(i, held)))
+    return edges
+
+
 class SkipChain:
     """Weights of token features, of neighbours in the chain, and of similar tokens."""
 
@@ -204,11 +223,12 @@ class SkipChain:
         np.add.at(scores, tokens, self.unary[rows])
         return scores, tokens, rows
 
-    def beliefs(self, scores: np.ndarray, graph: Graph, rounds: int = ROUNDS):
+    def beliefs(self, scores: np.ndarray, graph: Graph, rounds: int | None = None):
         """Loopy message passing: beliefs of tokens and of both kinds of edges.
 
-        Messages travel in both directions of all edges at once; ``rounds`` rounds with half of
-        each new message mixed in.
+        Messages travel in both directions of all edges at once, with half of each new message
+        mixed in: ``rounds`` rounds, or until all have settled. A message is sent anew while it or
+        one of those it depends on moves, so that work follows the evidence.
         """
         edges = np.concatenate([graph.chain, graph.skip])
         kinds = np.concatenate([np.zeros(len(graph.chain), int), np.ones(len(graph.skip), int)])
@@ -221,13 +241,23 @@ class SkipChain:
         table = np.concatenate([tables, tables.transpose(0, 2, 1)])
         twin = np.concatenate([np.arange(n, 2 * n), np.arange(n)])
         messages = np.zeros((2 * n, k))
-        for _ in range(rounds):
-            total = scores.copy()
-            np.add.at(total, target, messages)
-            given = total[source] - messages[twin]
-            sent = _log_sum(given[:, :, None] + table, axis=1)
+        total, times, live, done = scores.copy(), np.zeros(2 * n, np.int64), np.arange(2 * n), 0
+        while len(live) and (rounds is None or done < rounds):
+            given = total[source[live]] - messages[twin[live]]
+            sent = _log_sum(given[:, :, None] + table[live], axis=1)
             sent -= _log_sum(sent, axis=1)[:, None]
-            messages = 0.5 * messages + 0.5 * sent
+            step = 0.5 * (sent - messages[live])
+            messages[live] += step
+            np.add.at(total, target[live], step)
+            done += 1
+            if rounds is None:
+                times[live] += 1
+                moved = np.abs(step).max(axis=1) > SETTLED
+                heard = np.zeros(len(scores), bool)
+                heard[target[live[moved]]] = True
+                again = heard[source]
+                again[live[moved]] = True
+                live = np.flatnonzero(again & (times < SENDINGS))
         total = scores.copy()
         np.add.at(total, target, messages)
         left = total[edges[:, 0]] - messages[n:]
@@ -294,11 +324,11 @@ def train(texts: list[str], rounds: int = 120, rate: float = 0.3, decay: float =
 def field_spans(field: SkipChain, texts: list[str], bases: list[list[tuple[int, int, str]]]) -> list[list[tuple[int, int, str]]]:
     """Spans the field adds in each text: tokens it believes in that no base span touches.
 
-    What the patterns found is certain evidence: those tokens are held to their label, and similar
-    tokens hear of it.
+    What the patterns found is certain evidence: those tokens are held to their label, and all
+    similar tokens of the text hear of it.
     """
     added: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    graph = build_graph(texts, bases)
+    graph = build_graph(texts, bases, certain=True)
     if not graph.spans:
         return added
     scores, _, _ = field.scores(graph.features)

@@ -374,3 +374,38 @@ def test_pipeline_stages_take_effect(spark):
             assert "a.b@example.com" not in frame.where(f"doc_id = {10**6 + 2}").first()["text"]
         if name == "mixing":
             assert all(r["copies"] > 0 for r in frame.collect())
+
+
+def test_every_mention_hears_of_certain_evidence():
+    field = personal_data.SkipChain(["bias"])  # every token leans to none of the kinds
+    field.unary[0, 0] = 2.0
+    field.skip = personal_data.TOGETHER * np.diag([0.0, 1, 1, 1, 1])
+    field.skip[0, 1:] = field.skip[1:, 0] = -personal_data.TOGETHER / 2
+    filler = "and the mill stood empty for as long as anybody in town knew how to say"
+    mentions = [f"{filler} (243) 555-5526 {filler}."] * 30
+    for at in (0, 15, 30):
+        text = " ".join(mentions[:at] + [f"{filler} +1 (243) 555-5526 {filler}."] + mentions[at:])
+        (base,), (spans,) = personal_data.all_spans(field, [text])
+        assert len(base) == 1 and [k for _, _, k in spans] == ["phone"] * 31
+        assert "5526" not in personal_data.masked(text, spans)
+
+
+def test_messages_settle_on_long_paths():
+    """On a path of similar tokens without certain ones the beliefs are those of the exact sums."""
+    field = personal_data.SkipChain([])
+    k, n = len(personal_data.LABELS), 60
+    field.skip = 3.0 * np.eye(k)
+    scores = np.zeros((n, k))
+    scores[0, 4], scores[1:, 0] = 9.0, 0.05
+    edges = np.array([(i, i + 1) for i in range(n - 1)])
+    graph = personal_data.Graph([], [], np.zeros(n, np.int64), np.zeros((0, 2), np.int64), edges)
+    forward, backward = np.ones((n, k)), np.ones((n, k))
+    for i in range(1, n):
+        forward[i] = (forward[i - 1] * np.exp(scores[i - 1])) @ np.exp(field.skip)
+        forward[i] /= forward[i].sum()
+        j = n - 1 - i
+        backward[j] = np.exp(field.skip) @ (backward[j + 1] * np.exp(scores[j + 1]))
+        backward[j] /= backward[j].sum()
+    exact = forward * np.exp(scores) * backward
+    belief, _, _ = field.beliefs(scores, graph)
+    assert np.abs(belief - exact / exact.sum(axis=1, keepdims=True)).max() < 0.01
