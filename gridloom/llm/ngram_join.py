@@ -38,10 +38,10 @@ _words: dict[str, int] = {}
 def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
     """Runs until sets at the threshold have met with the probability asked for.
 
-    A path of the first tokens and one more split holds both with the threshold to the power of
-    their number.
+    A path split to the last level holds both with the threshold to the power of its tokens; one
+    that ends before holds them more often.
     """
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** (FIRST + 1)))
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**LEVELS))
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:
@@ -284,9 +284,9 @@ def join_documents(
     Documents with equal shingle sets are one class, named by its smallest doc_id; only classes are
     joined. Each run of the chosen-path join gathers classes in buckets by shared sampled shingles
     and splits large buckets on further ones; there are as many runs as bring two sets at the
-    threshold together with probability ``recall``, a further split included. Within buckets all pairs are compared, in
-    blocks of bounded size: first their sketches, then, for pairs that may reach the threshold,
-    the whole sets. Pairs are never rows: a block returns for each class the number of its links
+    threshold together with probability ``recall``, even where all buckets are split to the last
+    level. Within buckets all pairs are compared, in blocks of bounded size: first their sketches,
+    then, for pairs that may reach the threshold, the whole sets. Pairs are never rows: a block returns for each class the number of its links
     and the smallest class they reach. A pair that meets in several buckets counts in one.
 
     Documents without words, null ones among them, and rows without doc_id link with nothing. Rows

@@ -409,3 +409,10 @@ def test_messages_settle_on_long_paths():
     exact = forward * np.exp(scores) * backward
     belief, _, _ = field.beliefs(scores, graph)
     assert np.abs(belief - exact / exact.sum(axis=1, keepdims=True)).max() < 0.01
+
+
+@pytest.mark.parametrize("recall, threshold", [(0.9999, 0.8), (0.99, 0.8), (0.999, 0.9)])
+def test_runs_reach_the_recall_at_the_deepest_level(recall, threshold):
+    runs = ngram_join.runs_for(recall, threshold)
+    assert 1 - (1 - threshold**ngram_join.LEVELS) ** runs >= recall
+    assert runs * ngram_join.LEVELS <= ngram_join.SKETCH
