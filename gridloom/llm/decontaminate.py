@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +159,7 @@ class Passages:
         return out
 
     def _verified(self, ids, ends, item: Item, first: int, last: int):
-        """Places of an item among those that begin from ``first`` to ``last``, at most one per text and stretch."""
+        """Places of an item among those that begin from ``first`` to ``last``, none overlapping another."""
         size, found = len(item.words), []
         inside = first + size // 2 if first < 0 else first
         for text in range(int(np.searchsorted(ends, max(inside - item.edits, 0), "right")), len(ends)):
@@ -166,17 +169,38 @@ class Passages:
             low, high = max(begin, first - item.edits), min(int(ends[text]) - 1, last + size + item.edits)
             if low >= high:
                 continue
-            stretch = ids[low:high].tolist()
-            scores = myers(item.forward, size, stretch)
-            least = min(scores)
-            if least <= item.edits:
-                end = scores.index(least)
-                back = myers(item.backward, size, stretch[end::-1])
-                start = end - back.index(least)
-                found.append((text, item.item_id, least, low + start - begin, low + end - begin))
+            for start, end, distance in apart(item, ids[low:high].tolist()):
+                found.append((text, item.item_id, distance, low + start - begin, low + end - begin))
         return found
 
 
+def apart(item: Item, stretch: list[int]) -> list[tuple[int, int, int]]:
+    """(first word, last word, edits) of places of an item that do not overlap, by place.
+
+    The place with the fewest edits is taken first, the first of equal ones; then the next in what
+    is left, until that holds none within the budget.
+    """
+    size = len(item.words)
+    # The edits at an end only grow as places before it are taken: those listed are the fewest.
+    open_ends = [(n, end) for end, n in enumerate(myers(item.forward, size, stretch)) if n <= item.edits]
+    heapq.heapify(open_ends)
+    taken: list[tuple[int, int, int]] = []
+    while open_ends:
+        listed, end = heapq.heappop(open_ends)
+        at = bisect.bisect_left(taken, (end + 1,))
+        free = taken[at - 1][1] + 1 if at else 0
+        if end < free:
+            continue
+        low = max(free, end - size - item.edits + 1)
+        back = myers(item.backward, size, stretch[low : end + 1][::-1])
+        least = min(back)
+        if least == listed:
+            taken.insert(at, (end - back.index(least), end, least))
+        elif least <= item.edits:
+            heapq.heappush(open_ends, (least, end))
+    return taken
+
+
 def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """Places in documents within ``rate`` edits per word of a benchmark item.
 
@@ -184,7 +208,8 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
     item of m words with a budget of k = floor(rate m) edits is cut into k + 1 pieces; any place
     within the budget holds one of them unchanged. All exact hits of pieces are found by hash, and
     each stretch they point to is verified by Myers' bit-parallel distance, so no place is lost.
-    From a stretch the place with the fewest edits is reported, the first of equal ones.
+    Places of one item that are reported do not overlap: of those that do, the one with the fewest
+    edits counts, the first of equal ones.
 
     Items of fewer than five words, null ones among them, are no passages; of items with the same
     words the smallest item_id is reported. Null texts hold nothing. Rows that repeat a document
@@ -196,14 +221,23 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
     items = items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_CHARACTERS) or 1
+    # Items of the same words go to one block, which merges them.
+    keyed = items.mapInArrow(_with_key, "item_id long, text string, words_key long")
     found = None
     for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
+        rows = keyed.where(F.pmod("words_key", F.lit(blocks)) == block).collect()
         part = _block_passages(docs, Passages([(r["item_id"], r["text"]) for r in rows], rate))
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def _with_key(batches):
+    for batch in batches:
+        keys = [xxhash.xxh64_intdigest(" ".join(words_of(t))) >> 1 for t in batch.column("text").to_pylist()]
+        columns = [batch.column("item_id"), batch.column("text"), pa.array(keys, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["item_id", "text", "words_key"])
+
+
 def _block_passages(docs: DataFrame, passages: Passages) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(passages)
 

@@ -416,3 +416,20 @@ def test_runs_reach_the_recall_at_the_deepest_level(recall, threshold):
     runs = ngram_join.runs_for(recall, threshold)
     assert 1 - (1 - threshold**ngram_join.LEVELS) ** runs >= recall
     assert runs * ngram_join.LEVELS <= ngram_join.SKETCH
+
+
+def test_each_place_of_a_repeated_item_is_found(spark, monkeypatch):
+    item = "a quick brown fox jumps over the lazy dog today"
+    near = item.replace("brown", "red")
+    texts = [f"{item} {item}", f"{near} so {item} {near} and {item}", " ".join([item] * 50), near]
+    found = decontaminate.Passages([(1, item)]).matches(texts)
+    assert [(d, a, b) for t, _, d, a, b in found if t == 0] == [(0, 0, 9), (0, 10, 19)]
+    assert [(d, a, b) for t, _, d, a, b in found if t == 1] == [(1, 0, 9), (0, 11, 20), (1, 21, 30), (0, 32, 41)]
+    assert [(d, a, b) for t, _, d, a, b in found if t == 2] == [(0, 10 * i, 10 * i + 9) for i in range(50)]
+    assert [(d, a, b) for t, _, d, a, b in found if t == 3] == [(1, 0, 9)]
+    # Items of the same words are one, however many blocks there are.
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", 20)
+    items = [(i, t) for i, t in enumerate([item, item.upper(), item.replace(" ", ", "), f"{item}!", f"({item})"], 1)]
+    docs = spark.createDataFrame([(7, f"so {item} then")], "doc_id long, text string")
+    rows = decontaminate.find_passages(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"], r["distance"]) for r in rows] == [(7, 1, 0)]
