@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import documents, shared_table, table, text_pieces
+from gridloom.llm.common import documents, table, text_pieces
 from gridloom.llm.language_id import HashArray, mixed
 
 # Edits allowed per word of an item.
@@ -218,17 +218,22 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
 
     Result: doc_id, item_id, distance, item_words, start and end (code points, end exclusive).
     """
+    found = None
+    for passages in _blocks(items, rate):
+        part = _block_passages(docs, passages)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _blocks(items: DataFrame, rate: float):
+    """The items in blocks of bounded size; those of the same words go to one block, which merges them."""
     items = items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_CHARACTERS) or 1
-    # Items of the same words go to one block, which merges them.
     keyed = items.mapInArrow(_with_key, "item_id long, text string, words_key long")
-    found = None
     for block in range(blocks):
         rows = keyed.where(F.pmod("words_key", F.lit(blocks)) == block).collect()
-        part = _block_passages(docs, Passages([(r["item_id"], r["text"]) for r in rows], rate))
-        found = part if found is None else found.unionByName(part)
-    return found
+        yield Passages([(r["item_id"], r["text"]) for r in rows], rate)
 
 
 def _with_key(batches):
@@ -266,6 +271,25 @@ def passages_query(spark, sf_dir) -> DataFrame:
 
 
 def without_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
-    """The documents that hold no benchmark passage, in their own columns."""
-    leaks = shared_table(find_passages(docs, items, rate).select(F.col("doc_id").alias("__leak_id")).distinct(), "leaks")
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("__leak_id")), "left_anti")
+    """The documents that hold no benchmark passage, in their own columns.
+
+    Each row is judged by its own text, whether its id is null or repeated or not.
+    """
+    for passages in _blocks(items, rate):
+        docs = _block_free(docs, passages)
+    return docs
+
+
+def _block_free(docs: DataFrame, passages: Passages) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(passages)
+
+    def keep(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            clean = np.ones(len(texts), bool)
+            for start, end in text_pieces(texts):
+                for text, *_ in held.value.matches(texts[start:end]):
+                    clean[start + text] = False
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(keep, docs.schema)

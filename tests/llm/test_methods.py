@@ -433,3 +433,15 @@ def test_each_place_of_a_repeated_item_is_found(spark, monkeypatch):
     docs = spark.createDataFrame([(7, f"so {item} then")], "doc_id long, text string")
     rows = decontaminate.find_passages(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert [(r["doc_id"], r["item_id"], r["distance"]) for r in rows] == [(7, 1, 0)]
+
+
+def test_leaks_take_no_clean_document_along(spark, monkeypatch):
+    item = "a quick brown fox jumps over the lazy dog today"
+    other = "nine other words that stand in another block alone"
+    rows = [(None, f"so {item} then"), (None, "clean and whole"), (1, item), (1, "clean as well"), (2, other), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    for size in (8_000_000, 20):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", size)
+        left = decontaminate.without_passages(docs, items).collect()
+        assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left) == [(0, "clean and whole"), (1, "clean as well"), (3, "")]
