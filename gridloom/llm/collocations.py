@@ -21,7 +21,7 @@ UNKNOWN_LANGUAGE = "und"
 
 # Bound of the ids that are ranked and sent to all tasks, for words and for the phrases of each
 # length. All others are counted as well, under hashes (words) or as lists of words (phrases).
-RANKED = 1 << 20
+RANKED = 1 << 19
 # Side of the tile of the most frequent ids; the sides double from one band of ranks to the next.
 TILE = 1024
 # Tiles of at most so many cells are counted in dense arrays, where a task has a pair for every
@@ -134,32 +134,38 @@ class Vocabulary(dict):
 
 
 class Ranks:
-    """What all tasks know: ranked words and, for each length, ranked phrases of each language."""
+    """What all tasks know: ranked words and, for each length, ranked phrases of each language.
 
-    def __init__(self, words: dict[str, list[bytes]], complete: bool, seed: int):
+    All of it is arrays, so that the driver holds some bytes for each; tasks make what they look up.
+    """
+
+    def __init__(self, words: dict[str, pa.Array], complete: bool, seed: int):
         self.words, self.complete, self.seed = words, complete, seed
-        # By length: language to sorted keys and the rank of each, and whether these are all there are.
+        # By length: language to sorted keys, their ranks, and (first part, last word) by rank; and
+        # whether these are all phrases that may be part of a longer one.
         self.phrases: list[tuple[dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]], bool]] = []
         self._vocabularies: dict[str, Vocabulary] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"_vocabularies": {}}
 
-    def ids(self, lang: str, listed: list[bytes]) -> np.ndarray:
+    def vocabulary(self, lang: str) -> Vocabulary:
         known = self._vocabularies.get(lang)
         if known is None:
-            ranked = {w: i for i, w in enumerate(self.words.get(lang, ()))}
+            ranked = {w.as_py(): i for i, w in enumerate(self.words.get(lang, pa.array([], pa.binary())))}
             known = self._vocabularies[lang] = Vocabulary(ranked, self.complete, self.seed)
-        return np.fromiter(map(known.__getitem__, listed), np.int64, len(listed))
+        return known
 
-    def rank_phrases(self, found: dict[str, list[tuple[int, int, int]]], complete: bool) -> None:
-        """Take phrases (rank of the first part, id of the last word, n) as ranked, most frequent first."""
+    def ids(self, lang: str, listed: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.vocabulary(lang).__getitem__, listed), np.int64, len(listed))
+
+    def rank_phrases(self, found: dict[str, tuple[np.ndarray, np.ndarray]], complete: bool) -> None:
+        """Take phrases (ranks of the first parts, ids of the last words), most frequent first, as ranked."""
         tables = {}
-        for lang, rows in found.items():
-            rows = np.array(sorted(rows, key=lambda r: (-r[2], r[0], r[1])), np.int64).reshape(-1, 3)
-            keys = rows[:, 0] << 32 | rows[:, 1]
+        for lang, (first, last) in found.items():
+            keys = first << 32 | last
             order = np.argsort(keys, kind="stable")
-            tables[lang] = keys[order], order, rows[:, :2]
+            tables[lang] = keys[order], order, np.stack([first, last], axis=1)
         self.phrases.append((tables, complete))
 
     def words_of(self, lang: str, length: int, ranks: np.ndarray) -> list[np.ndarray]:
@@ -428,48 +434,63 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, ranked: int) -> tup
     frequent = every.where(F.col("n") >= least)
     counts = frequent.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).first()
     shards = max(1, (counts["n"] or 0) // WORDS_PER_SHARD)
-    top = most_frequent(frequent, ranked).collect()
-    words: dict[str, list[bytes]] = {}
-    for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
-        words.setdefault(row["lang"], []).append(row["word"].encode())
-    ranks = Ranks(words, len(top) == counts["words"], seed)
-    spark = docs.sparkSession
+    words = {
+        lang: part.column("word").cast(pa.binary()).combine_chunks()
+        for lang, part in by_language(most_frequent(frequent, ranked).orderBy("lang", F.desc("n"), "word"))
+    }
+    ranks = Ranks(words, sum(map(len, words.values())) == counts["words"], seed)
     # Ids of ranked words in place of their hashes.
-    placed = [(lang, w.decode(), i) for lang, own in words.items() for i, w in enumerate(own)]
-    table = pa.table(
-        [pa.array([p[0] for p in placed], pa.string()), pa.array([p[1] for p in placed], pa.string()), pa.array([p[2] for p in placed], pa.int64())],
-        ["lang", "word", "rank"],
-    )
-    known = spark.createDataFrame(table)
-    single = frequent.join(known, ["lang", "word"], "left")
-    single = shared_table(single.select("lang", F.coalesce("rank", "key").alias("key_1"), "word", "n"), "frequent")
+    single = shared_table(with_ids(frequent, ranks), "frequent")
     found = [single]
     for length in range(2, longest + 1):
         phrases = shared_table(count_phrases(docs, ranks, length, least, shards), f"phrases_{length}")
         found.append(phrases)
         if length == longest:
             break
-        total = phrases.count()
-        # Only phrases whose first part is ranked can be.
-        limits = F.lit(_HASHED)
-        rankable = phrases.where(F.greatest(*[F.col(f"key_{i + 1}") for i in range(length)], F.lit(0)) < limits)
-        top = most_frequent(rankable, ranked).toArrow()
-        of_lang: dict[str, list[tuple[int, int, int]]] = {}
-        columns = [top.column(f"key_{i + 1}").to_numpy() for i in range(length)]
-        for at, lang in enumerate(top.column("lang").to_pylist()):
-            of_lang.setdefault(lang, []).append(at)
-        n, taken, ranked_rows = top.column("n").to_numpy(), 0, {}
-        for lang, places in of_lang.items():
-            places = np.array(places)
-            first = ranked_prefix(ranks, lang, [c[places] for c in columns[:-1]])
+        keys = [f"key_{i + 1}" for i in range(length)]
+        # Only phrases whose words and first part are ranked can be.
+        rankable = phrases.where(F.greatest(*keys) < _HASHED) 
+        taken, of_lang = 0, {}
+        for lang, part in by_language(most_frequent(rankable, ranked).orderBy("lang", F.desc("n"), *keys)):
+            columns = [part.column(k).to_numpy() for k in keys]
+            first = ranked_prefix(ranks, lang, columns[:-1])
             whole = first >= 0
-            rows = np.stack([first[whole], columns[-1][places][whole], n[places][whole]], axis=1)
-            ranked_rows[lang] = [tuple(r) for r in rows.tolist()]
-            taken += len(rows)
-        ranks.rank_phrases(ranked_rows, taken == total)
+            of_lang[lang] = first[whole], columns[-1][whole]
+            taken += int(whole.sum())
+        ranks.rank_phrases(of_lang, taken == phrases.count())
     return every, found
 
 
+def by_language(ordered: DataFrame) -> Iterator[tuple[str, pa.Table]]:
+    """The rows of each language of a frame of bounded size that is in their order."""
+    table = ordered.toArrow()
+    if not table.num_rows:
+        return
+    langs = table.column("lang").combine_chunks().dictionary_encode()
+    codes = langs.indices.to_numpy()
+    cuts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    for start, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(codes)], strict=True):
+        yield langs.dictionary[codes[start]].as_py(), table.slice(start, end - start)
+
+
+def with_ids(words: DataFrame, ranks: Ranks) -> DataFrame:
+    """Words with their ids as key_1: the rank where there is one, else the hash."""
+    held = words.sparkSession.sparkContext.broadcast(ranks)
+
+    def place(batches):
+        for batch in batches:
+            keys = batch.column("key").to_pylist()
+            for i, (lang, word) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("word").to_pylist(), strict=True)):
+                known = held.value.vocabulary(lang)
+                rank = dict.get(known, word.encode("utf-8", "surrogatepass"))
+                if rank is not None:
+                    keys[i] = rank
+            columns = [batch.column("lang"), pa.array(keys, pa.int64()), batch.column("word"), batch.column("n")]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "key_1", "word", "n"])
+
+    return words.select("lang", "key", "word", "n").mapInArrow(place, "lang string, key_1 long, word string, n long")
+
+
 def ranked_prefix(ranks: Ranks, lang: str, columns: list[np.ndarray]) -> np.ndarray:
     """Rank of the phrase with these words' ids, -1 where it has none."""
     unit = columns[0]
