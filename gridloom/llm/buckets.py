@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,8 @@ from gridloom.llm.common import shared_table
 
 # Members of a larger bucket are dealt over chunks of about this many; chunks meet two at a time.
 CHUNK = 512
-MOST_ROUNDS = 40
+
+LOG = logging.getLogger(__name__)
 
 
 def dealt_blocks(members: DataFrame, member: str, chunk: int = CHUNK) -> DataFrame:
@@ -95,36 +97,47 @@ def local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is hooked to the smallest node beside it, or to itself."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(F.col("u").alias("at")).agg(F.least(F.first("u"), F.min("v")).alias("least"))
+    hooked = both.join(least, both["u"] == least["at"]).where("v > u")
+    return hooked.select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours are hooked to the smallest of them."""
+    least = edges.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("least"))
+    hooked = edges.join(least, edges["u"] == least["at"]).where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    return hooked.unionByName(least.select(F.col("at").alias("u"), F.col("least").alias("v"))).distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node that has none itself."""
+    roles = edges.select(F.col("u").alias("node"), "v").unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("v"))
+    )
+    found = roles.groupBy("node").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count_if(F.col("v").isNull()).alias("above"))
+    return found.where("least <> most or (least is not null and above > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and component, the smallest node that the edges (u, v) reach; nodes of no edge are left out.
 
-    Each round every node takes the smallest label beside it, then the label of its label; the
-    labels are written to the shared folder after each round, so that lineage stays short. A
-    node with many edges is reduced before the shuffle, and its rows are split while they run.
+    Large stars and small stars in turn, until all edges lead from a node to the smallest of its
+    component: the number of rounds grows with the logarithm of a component's nodes, also where it
+    is one long chain, and there is no limit to it. The edges are written to the shared folder
+    after each half round, so that lineage stays short. Minima of a node with many edges are
+    reduced before the shuffle, and its rows in joins are split while they run.
     """
-    both = edges.select("u", "v").where("u <> v")
-    both = shared_table(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    labels = shared_table(both.groupBy(F.col("u").alias("node")).agg(F.least("node", F.min("v")).alias("component")), "labels")
-    for _ in range(MOST_ROUNDS):
-        beside = (
-            both.join(labels, both["v"] == labels["node"])
-            .groupBy(F.col("u").alias("at"))
-            .agg(F.min("component").alias("least"))
-        )
-        lower = shared_table(
-            labels.join(beside, labels["node"] == beside["at"], "left").select(
-                "node", F.least("component", "least").alias("component"), F.col("component").alias("before")
-            ),
-            "lower",
-        )
-        target = lower.select(F.col("node").alias("to"), F.col("component").alias("further"))
-        after = shared_table(
-            lower.join(target, lower["component"] == target["to"], "left").select(
-                "node", F.least("component", "further").alias("component"), "before"
-            ),
-            "labels",
-        )
-        labels = after.select("node", "component")
-        if after.where("component <> before").isEmpty():
-            return labels
-    raise RuntimeError("components did not settle")
+    larger, smaller = F.greatest("u", "v"), F.least("u", "v")
+    held = shared_table(edges.where("u <> v").select(larger.alias("u"), smaller.alias("v")).distinct(), "edges")
+    rounds = 0
+    while not _are_stars(held):
+        held = shared_table(_large_star(held), "large_star")
+        held = shared_table(_small_star(held), "small_star")
+        rounds += 1
+    LOG.info("components settled after %d rounds", rounds)
+    return held.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        held.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )

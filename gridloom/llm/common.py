@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.session import shared_folder
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -31,13 +30,34 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def row_per_document(frame: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of ``frame`` whose doc_id is in ``keep``, in the columns of ``frame``.
+def maybe_in(frame: DataFrame, column: str, bits: int = 26):
+    """A function of a column of longs: false for most values that ``column`` of the frame lacks, true for all it has.
 
-    A null id matches a null id. Rows that repeat an id stay repeated.
+    A bit for the hash of each value, in a field of fixed size (8 MB for 26) that goes to all
+    tasks. However many values there are, it only ever lets more through: an exact join follows.
     """
-    ids = keep.select(F.col("doc_id").alias("__keep_id")).distinct()
-    return frame.join(ids, F.col("doc_id").eqNullSafe(F.col("__keep_id")), "left_semi")
+    spread = np.uint64(0x9E3779B97F4A7C15)
+    slot = lambda values: ((values.astype(np.uint64) * spread) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def slots(batches):
+        for batch in batches:
+            own = slot(batch.column(0).to_numpy(zero_copy_only=False))
+            words, masks = own >> 6, np.left_shift(np.int64(1), own & 63)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(masks)], ["word", "mask"])
+
+    rows = frame.select(F.col(column).cast("long")).where(F.col(column).isNotNull()).mapInArrow(slots, "word long, mask long")
+    found = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    field = np.zeros(1 << (bits - 6), np.int64)
+    field[found.column("word").to_numpy()] = found.column("mask").to_numpy()
+    held = frame.sparkSession.sparkContext.broadcast(field)
+
+    @F.pandas_udf("boolean")
+    def maybe(values: pd.Series) -> pd.Series:
+        known = values.notna().to_numpy()
+        own = slot(values.fillna(0).to_numpy(np.int64))
+        return pd.Series(known & ((held.value[own >> 6] >> (own & 63)) & 1).astype(bool))
+
+    return maybe
 
 
 def text_pieces(texts: list, most: int = 1_000_000):

@@ -10,9 +10,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.llm.buckets import block_pairs, components, dealt_blocks, local_roots, together, whole_blocks
-from gridloom.llm.common import documents, shared_table, text_pieces
+from gridloom.llm.common import documents, maybe_in, shared_table, text_pieces
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -76,10 +77,11 @@ def shingle_sets(texts: list[str | None], words: int = SHINGLE) -> tuple[np.ndar
     # A word beyond a text's end counts as nothing, which only texts that are short ever hash.
     for i in range(words):
         part = np.zeros(len(flat), np.uint64)
-        part[: len(flat) - i] = flat[i:]
+        rest = max(len(flat) - i, 0)  # a piece may hold fewer words in all
+        part[:rest] = flat[i:]
         if i:
             inside = np.zeros(len(flat), bool)
-            inside[: len(flat) - i] = owner[i:] == owner[: len(flat) - i]
+            inside[:rest] = owner[i:] == owner[:rest]
             part[~inside] = 0
         keys = keys * np.uint64(0x9E3779B97F4A7C15) + part
     place = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
@@ -92,6 +94,17 @@ def shingle_sets(texts: list[str | None], words: int = SHINGLE) -> tuple[np.ndar
     return keys, np.searchsorted(owner, np.arange(len(listed) + 1))
 
 
+def set_names(keys: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Two numbers that name each set: sums of two hashes of its shingles."""
+    full = np.flatnonzero(np.diff(starts))
+    name = [np.zeros(len(starts) - 1, np.uint64) for _ in range(2)]
+    if len(full):
+        first = starts[:-1][full]
+        name[0][full] = np.add.reduceat(keys, first)
+        name[1][full] = np.add.reduceat(mixed(keys + np.uint64(1)), first)
+    return name
+
+
 def signatures(keys: np.ndarray, starts: np.ndarray, runs: int):
     """Per set: name (two numbers), size, sketch, and its sampled tokens, by level and run.
 
@@ -104,12 +117,10 @@ def signatures(keys: np.ndarray, starts: np.ndarray, runs: int):
     sizes = np.diff(starts)
     full = np.flatnonzero(sizes)
     first = starts[:-1][full]
-    name = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
+    name = set_names(keys, starts)
     sketch = np.zeros((len(sizes), SKETCH), np.uint8)
     tokens = np.zeros((LEVELS, len(sizes), runs), np.uint64)
     if len(full):
-        name[0][full] = np.add.reduceat(keys, first)
-        name[1][full] = np.add.reduceat(mixed(keys + np.uint64(1)), first)
         for i in range(SKETCH):
             least = np.minimum.reduceat(keys * _ODD[i], first)
             sketch[full, i] = (least >> np.uint64(13)).astype(np.uint8)
@@ -273,7 +284,8 @@ def shared_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.nd
     return product[np.searchsorted(rows, i), np.searchsorted(rows, j)].astype(np.int64)
 
 
-BLOCK_COLUMNS = "bucket long, a int, b int, chunk_of int, class_key long, class_id long, copies long, size long, sketch binary, paths array<long>"
+NAME = ["name_1", "name_2", "size"]
+BLOCK_COLUMNS = "bucket long, a int, b int, chunk_of int, class_key long, copies long, size long, sketch binary, paths array<long>"
 
 
 def join_documents(
@@ -291,29 +303,45 @@ def join_documents(
 
     Documents without words, null ones among them, and rows without doc_id link with nothing. Rows
     that repeat a doc_id count as copies where the texts agree, and each gets the values of its own
-    text; different texts of one doc_id are of one component if either links. Other columns are
-    ignored.
+    text; unlike texts of one doc_id are judged apart. Other columns are ignored.
 
     Result: doc_id, class_id, n_links (other rows that reach the threshold, copies included),
     component_id (smallest doc_id that links reach), kept (doc_id = component_id); one row per
     input row.
     """
+    own, of_class, _ = _joined(docs, threshold, recall, bucket)
+    compared = (F.col("size") > 0) & F.col("doc_id").isNotNull()
+    alone = own.where(~compared).select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
+    )
+    return (
+        own.where(compared)
+        .join(of_class, NAME)
+        .select("doc_id", "class_id", "n_links", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        .unionByName(alone)
+    )
+
+
+def _joined(docs: DataFrame, threshold: float, recall: float, bucket: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The set of each document, links and component of each class of sets, and the class each component keeps."""
     runs = runs_for(recall, threshold)
     sets = shared_table(document_sets(docs, runs), "sets")
-    name = ["name_1", "name_2", "size"]
     firsts = [F.first(c).alias(c) for c in ("sketch", *TOKENS)]
+    # A class has a number of its own, so that unlike texts of one doc_id stay apart. It is fixed
+    # once the table is written.
     classes = shared_table(
         sets.where("size > 0 and doc_id is not null")
-        .groupBy(*name)
+        .groupBy(*NAME)
         .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), *firsts)
-        .withColumn("class_key", F.col("name_1")),
+        .withColumn("class_key", F.monotonically_increasing_id()),
         "classes",
     )
     # Tables here grow with the documents, so that none is broadcast: joins are asked to merge.
     # Blocks are dealt on narrow rows; sketches and paths join them once.
     ends = chosen_paths(classes, bucket)
     paths = ends.groupBy("class_key").agg(F.collect_list("bucket").alias("paths"))
-    members = classes.select("class_key", "class_id", "copies", "size", "sketch").join(paths.hint("merge"), "class_key")
+    members = classes.select("class_key", "copies", "size", "sketch").join(paths.hint("merge"), "class_key")
     dealt = dealt_blocks(ends, "class_key").join(members.hint("merge"), "class_key")
     blocks = together(dealt).select(*[part.split()[0] for part in BLOCK_COLUMNS.split(", ")])
 
@@ -324,7 +352,8 @@ def join_documents(
                 yield from table.take(pa.array(np.unique(np.concatenate(live)))).to_batches()
 
     live = shared_table(blocks.mapInArrow(screen, BLOCK_COLUMNS), "live")
-    wanted = live.select("class_id").distinct()
+    wanted = classes.join(live.select("class_key").distinct(), "class_key", "left_semi")
+    wanted = shared_table(wanted.select("class_key", "class_id", *NAME), "wanted")
 
     def shingles(batches):
         for batch in batches:
@@ -332,23 +361,26 @@ def join_documents(
             for start, end in text_pieces(texts):
                 keys, starts = shingle_sets(texts[start:end])
                 part = [keys[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                names = np.array([x.sum(dtype=np.uint64) for x in part], np.uint64)
+                names = [x.view(np.int64) for x in set_names(keys, starts)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(names)), pa.array([x.tobytes() for x in part], pa.binary())],
-                    ["class_key", "shingles"],
+                    [batch.column("class_id")[start:end], *map(pa.array, names), pa.array(np.diff(starts)), pa.array([x.tobytes() for x in part], pa.binary())],
+                    ["class_id", *NAME, "shingles"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(wanted.hint("merge"), "class_id")
-    texts = texts.mapInArrow(shingles, "class_key long, shingles binary").dropDuplicates(["class_key"])
+    # Only texts that may be wanted leave their task.
+    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text")
+    texts = texts.where(maybe_in(wanted, "class_id")("class_id")).join(wanted.select("class_id").distinct().hint("merge"), "class_id")
+    texts = texts.mapInArrow(shingles, "class_id long, name_1 long, name_2 long, size long, shingles binary")
+    texts = texts.join(wanted.hint("merge"), ["class_id", *NAME]).select("class_key", "shingles").dropDuplicates(["class_key"])
     full = live.join(texts.hint("merge"), "class_key")
 
     def verify(batches):
         for table, starts in whole_blocks(batches, 256):
             keys = table.column("class_key").to_numpy()
-            ids, copies = table.column("class_id").to_numpy(), table.column("copies").to_numpy()
+            copies = table.column("copies").to_numpy()
             held = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
             size = np.array([len(x) for x in held])
-            links, near = [], np.zeros(len(ids), np.int64)
+            links, near = [], np.zeros(len(keys), np.int64)
             for i, j in owned_pairs(table, starts, threshold):
                 both = shared_counts(held, i, j)
                 linked = both >= threshold * (size[i] + size[j] - both) - 1e-9
@@ -358,57 +390,70 @@ def join_documents(
                 links.append(np.stack([i, j]))
             if links:
                 i, j = np.concatenate(links, axis=1)
-                root = local_roots(ids, i, j)
+                root = local_roots(keys, i, j)
                 hit = near > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[hit]) for x in (keys, ids, near, root)], ["class_key", "class_id", "near", "root"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (keys, near, root)], ["class_key", "near", "root"])
 
     columns = BLOCK_COLUMNS + ", shingles binary"
     found = together(full).select(*[part.split()[0] for part in columns.split(", ")])
-    found = shared_table(found.mapInArrow(verify, "class_key long, class_id long, near long, root long"), "found")
-    joined = components(found.select(F.col("class_id").alias("u"), F.col("root").alias("v")))
+    found = shared_table(found.mapInArrow(verify, "class_key long, near long, root long"), "found")
+    joined = components(found.select(F.col("class_key").alias("u"), F.col("root").alias("v")))
     near = found.groupBy("class_key").agg(F.sum("near").alias("near"))
     of_class = shared_table(
-        classes.select(*name, "class_key", "class_id", "copies")
+        classes.select(*NAME, "class_key", "class_id", "copies")
         .join(near, "class_key", "left")
-        .join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
+        .join(joined.withColumnRenamed("node", "class_key"), "class_key", "left")
         .select(
-            *name, "class_id",
+            *NAME, "class_id", F.coalesce("component", "class_key").alias("component"),
             (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component_id"),
         ),
         "of_class",
     )
-    own = sets.select("doc_id", *name)
-    compared = (F.col("size") > 0) & F.col("doc_id").isNotNull()
-    alone = own.where(~compared).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
-    )
-    return (
-        own.where(compared)
-        .join(of_class, name)
-        .select("doc_id", "class_id", "n_links", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
-        .unionByName(alone)
-    )
+    first = F.min(F.struct("class_id", *NAME))
+    kept = shared_table(of_class.groupBy("component").agg(first.alias("first")).select("component", "first.*"), "components")
+    smallest = kept.select("component", F.col("class_id").alias("component_id"))
+    return sets.select("doc_id", *NAME), of_class.join(smallest, "component"), kept
 
 
 def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The documents with one of each component of near copies left, in their own columns.
 
-    Of rows with the id that stays, one stays: the first by text. Rows without an id all stay.
+    Of a component the row with the smallest doc_id stays; of rows that repeat that id, the one
+    whose set comes first by its name, and of equal sets the first text. Unlike texts of one id are
+    judged apart. Rows without an id or without words all stay.
+
+    Most documents stay as they are: they are recognised by a bit per hash of their id and never
+    leave their task. Only what may go is shuffled, once, to be judged by its id and set.
     """
-    joined = join_documents(docs, threshold, recall)
-    ids = shared_table(joined.where("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct(), "kept")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return (
-        docs.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
-        .withColumn("__place", F.row_number().over(first))
-        .where("__place = 1")
-        .drop("__place")
-        .unionByName(docs.where("doc_id is null"))
-    )
+    own, of_class, kept = _joined(docs, threshold, recall, BUCKET)
+    compared = own.where("size > 0 and doc_id is not null")
+    rows = compared.groupBy("doc_id", *NAME).agg(F.count(F.lit(1)).alias("n"))
+    survivors = kept.select(F.col("class_id").alias("doc_id"), *NAME, F.lit(True).alias("stays"))
+    judged = rows.join(survivors, ["doc_id", *NAME], "left").select("doc_id", *NAME, "n", F.coalesce("stays", F.lit(False)).alias("stays"))
+    touched = shared_table(judged.where("not stays or n > 1"), "touched")
+
+    maybe = maybe_in(touched, "doc_id")(F.col("doc_id").cast("long"))
+    names = [f"__{c}" for c in NAME]
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
+
+    def named(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for start, end in text_pieces(texts):
+                keys, starts = shingle_sets(texts[start:end])
+                columns = [*(x.view(np.int64) for x in set_names(keys, starts)), np.diff(starts)]
+                part = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, columns)], [*batch.schema.names, *names])
+
+    asked = docs.where(maybe).mapInArrow(named, schema)
+    of_row = touched.select(*[F.col(c).alias(f"__of_{c}") for c in ("doc_id", *NAME)], F.col("stays").alias("__stays"))
+    same = F.col("doc_id").cast("long") == F.col("__of_doc_id")
+    for c in NAME:
+        same = same & (F.col(f"__{c}") == F.col(f"__of_{c}"))
+    found = asked.join(of_row, same, "left")
+    first = Window.partitionBy("__of_doc_id", *[f"__of_{c}" for c in NAME]).orderBy("text")
+    doubled = found.where("__stays").withColumn("__place", F.row_number().over(first)).where("__place = 1")
+    return docs.where(~maybe).unionByName(found.where("__stays is null").select(docs.columns)).unionByName(doubled.select(docs.columns))
 
 
 def ngram_query(spark, sf_dir) -> DataFrame:
