@@ -22,13 +22,18 @@ DATE = "2024-01-01T00:00:00Z"
 # A payload of at least so many bytes is stored once.
 LEAST_PAYLOAD = 0
 RECORDS_PER_FILE = 2000
-HEADER_LIMIT = 1 << 20
+# Records of up to so many bytes, and how many of them a file holds at most: a file is read whole
+# by one task, so that its size is bounded by bytes too. Longer records have a file each.
+SIZE_CLASSES = [(1 << 16, 2000), (1 << 20, 128), (1 << 24, 8)]
 PIECE = 1 << 14
 # A whole compressed member that holds nothing: it ends a record in Spark's text writer, which
 # puts a separator after each row.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000030300" + "00" * 8)
 
 _VERSION_LINE = re.compile(rb"WARC/[0-9]+\.[0-9]+\r\n")
+# Headers end before a line that holds nothing but a version.
+_NEXT_VERSION = re.compile(rb"\r\nWARC/[0-9]+\.[0-9]+\r\n")
+_LENGTH_LINE = re.compile(rb"\r\nContent-Length[ \t]*:", re.IGNORECASE)
 _MEMBER = b"\x1f\x8b\x08"
 
 RECORD_SCHEMA = (
@@ -102,9 +107,18 @@ def write_archives(
     page_id is written as response, the others as revisits of it; where all of their ids are null,
     all are responses, as are rows that repeat the page_id of the response. A null html is an
     empty payload, a null url has no target. Compressed records are a gzip member each. A file
-    holds at most ``records_per_file`` records of one task.
+    holds at most ``records_per_file`` records of one task, and fewer of longer ones: records are
+    written by classes of size, so that no file outgrows what a task can read.
     """
     rows = dealt_payloads(pages, least_payload).select("page_id", "url", "payload", "response_id")
+    size = F.length("payload") + 3 * F.coalesce(F.octet_length("url"), F.lit(0))
+    place = F.lit(len(SIZE_CLASSES))
+    for i, (bytes_, _) in reversed(list(enumerate(SIZE_CLASSES))):
+        place = F.when(size <= bytes_, i).otherwise(place)
+    html = 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + F.coalesce(F.octet_length("html"), F.lit(0))
+    longest = pages.agg(F.max(html)).first()[0] or 0
+    limits = [*(n for _, n in SIZE_CLASSES), 1]
+    held = [i for i in range(len(limits)) if i == 0 or longest > SIZE_CLASSES[i - 1][0]]
 
     def records(batches):
         for batch in batches:
@@ -121,14 +135,17 @@ def write_archives(
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     separator = EMPTY_MEMBER.decode("latin-1") if compress else "\r\n\r\n"
-    (
-        rows.mapInArrow(records, "record binary")
-        .select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", separator)
-        .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", records_per_file)
-        .text(path)
-    )
+    for i in held:
+        own = rows if len(held) == 1 else rows.where(place == i)
+        (
+            own.mapInArrow(records, "record binary")
+            .select(F.col("record").cast("string").alias("value"))
+            .write.mode("append" if i else "errorifexists")
+            .option("lineSep", separator)
+            .option("encoding", "ISO-8859-1")
+            .option("maxRecordsPerFile", min(records_per_file, limits[i]))
+            .text(path)
+        )
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -140,18 +157,49 @@ def _headers(block: bytes) -> dict[str, str]:
     return found
 
 
-def parse_record(data: bytes, start: int) -> tuple[int, dict] | str:
+class Finder:
+    """The next place of a pattern at or behind a place. Asked from left to right, it reads the data once."""
+
+    def __init__(self, data: bytes, pattern: re.Pattern):
+        self.data, self.pattern = data, pattern
+        self.asked, self.found = 0, -1
+
+    def __call__(self, start: int) -> int:
+        """Its place, or the end of the data."""
+        if not self.asked <= start <= self.found:
+            hit = self.pattern.search(self.data, start)
+            self.asked, self.found = start, hit.start() if hit else len(self.data)
+        return self.found
+
+
+class Places:
+    """Where the parts of records may be in some data."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.member = Finder(data, re.compile(re.escape(_MEMBER)))
+        self.version = Finder(data, _VERSION_LINE)
+        self.next_version = Finder(data, _NEXT_VERSION)
+        self.headers_end = Finder(data, re.compile(rb"\r\n\r\n"))
+        self.length = Finder(data, _LENGTH_LINE)
+
+
+def parse_record(places: Places, start: int) -> tuple[int, dict] | str:
     """The record at a place and where it ends, or why there is none.
 
     A record is whole when its lengths fit, it ends in two line ends, and the digests it names are
     those of its block and, for a response, of its payload. Nothing guards the other header lines
-    of an archive that is not compressed.
+    of an archive that is not compressed. Headers may have any length; they end before the next
+    version line, so that what is no record is left after a look at its own lines.
     """
+    data = places.data
     if not _VERSION_LINE.match(data, start):
         return "no version line"
-    stop = data.find(b"\r\n\r\n", start, start + HEADER_LIMIT)
-    if stop < 0:
+    stop = places.headers_end(start)
+    if stop >= len(data) or places.next_version(start) < stop:
         return "headers without end"
+    if places.length(start) > stop:
+        return "no length"
     headers = _headers(data[start:stop])
     length = headers.get("content-length", "")
     if not length.isascii() or not length.isdigit():
@@ -182,18 +230,55 @@ def parse_record(data: bytes, start: int) -> tuple[int, dict] | str:
     }
 
 
-def _member(data: bytes, start: int) -> tuple[int, bytes] | str:
-    """The gzip member at a place, unpacked, and where it ends; its checksum is tested."""
-    unpacker, parts, at = zlib.decompressobj(31), [], start
-    try:
-        while not unpacker.eof and at < len(data):
-            parts.append(unpacker.decompress(data[at : at + PIECE]))
-            at = min(at + PIECE, len(data))
-    except zlib.error as fault:
-        return f"bad member: {str(fault)[:60]}"
-    if not unpacker.eof:
-        return "member without end"
-    return at - len(unpacker.unused_data), b"".join(parts)
+class Members:
+    """The gzip members of some data. A stretch of packed data that is broken is unpacked once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.zero = data, Finder(data, re.compile(rb"\0"))
+        self.broken: dict[int, str] = {}
+
+    def packed_at(self, start: int) -> int | None:
+        """Where the packed data of a member begins, behind its header; nothing where it has no end."""
+        data, at = self.data, start + 10
+        if at > len(data):
+            return None
+        flags = data[start + 3]
+        if flags & 0xE0:
+            return None
+        if flags & 4:
+            at += 2 + int.from_bytes(data[at : at + 2], "little")
+        for flag in (8, 16):  # a name and a comment end in a zero
+            if flags & flag:
+                at = (self.zero(at) if at < len(data) else len(data)) + 1
+        if flags & 2:
+            at += 2
+        return at if at < len(data) else None
+
+    def read(self, start: int) -> tuple[int, bytes] | str:
+        """The member at a place, unpacked, and where it ends; its checksum is tested."""
+        data, first = self.data, self.packed_at(start)
+        if first is None:
+            return "bad member: header"
+        if first in self.broken:
+            return self.broken[first]
+        unpacker, parts, at = zlib.decompressobj(-15), [], first
+        try:
+            while not unpacker.eof and at < len(data):
+                parts.append(unpacker.decompress(data[at : at + PIECE]))
+                at = min(at + PIECE, len(data))
+        except zlib.error as fault:
+            self.broken[first] = f"bad member: {str(fault)[:60]}"
+            return self.broken[first]
+        end = at - len(unpacker.unused_data) + 8
+        if not unpacker.eof or end > len(data):
+            self.broken[first] = "member without end"
+            return self.broken[first]
+        inner = b"".join(parts)
+        if zlib.crc32(inner) != int.from_bytes(data[end - 8 : end - 4], "little"):
+            return "bad member: checksum"
+        if len(inner) & 0xFFFFFFFF != int.from_bytes(data[end - 4 : end], "little"):
+            return "bad member: length"
+        return end, inner
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str, str | None, dict]]:
@@ -205,27 +290,27 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str, str | None, dict]]:
     inside it is a gap of the member's bytes.
     """
     at, gap, why = 0, None, None
+    places, members = Places(data), Members(data)
     while at < len(data):
         records: list[dict] = []
         fault, end = None, at
         if data.startswith(_MEMBER, at):
-            member = _member(data, at)
+            member = members.read(at)
             if isinstance(member, str):
                 fault = member
             else:
                 end, inner = member
-                place = 0
+                place, inside = 0, Places(inner)
                 while place < len(inner):
-                    found = parse_record(inner, place)
+                    found = parse_record(inside, place)
                     if isinstance(found, str):
                         fault = fault or found
-                        following = _VERSION_LINE.search(inner, place + 1)
-                        place = following.start() if following else len(inner)
+                        place = inside.version(place + 1)
                     else:
                         place = found[0]
                         records.append(found[1])
         else:
-            found = parse_record(data, at)
+            found = parse_record(places, at)
             if isinstance(found, str):
                 fault = found
             else:
@@ -234,9 +319,7 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str, str | None, dict]]:
         if fault and end == at:  # nothing whole begins here
             if gap is None:
                 gap, why = at, fault
-            member_at = data.find(_MEMBER, at + 1)
-            line = _VERSION_LINE.search(data, at + 1)
-            at = min([x for x in (member_at, line.start() if line else -1) if x >= 0], default=len(data))
+            at = min(places.member(at + 1), places.version(at + 1))
             continue
         if gap is not None:
             yield gap, at - gap, "gap", why, {}
@@ -256,7 +339,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ``kind`` is record or gap; a gap has only file, start, length and reason. ``payload_length`` is
     that of the full payload, also for a revisit, whose payload is null. Each file is read as a
     whole by one task, so that archives should be of bounded size, as ``write_archives`` makes
-    them. An empty file has no rows.
+    them. The search past damage reads a file once, whatever it holds. An empty file has no rows.
     """
     names = [part.split()[0] for part in RECORD_SCHEMA.split(", ") for part in [part.strip()]]
 
