@@ -18,7 +18,7 @@ from gridloom.llm.language_id import HashArray, mixed
 
 # Edits allowed per word of an item.
 RATE = 0.2
-# Shorter items are no passages: their words stand anywhere by chance.
+# Items of fewer words are no passages unless asked for: their words stand anywhere by chance.
 LEAST_WORDS = 5
 # Items are looked for in blocks of about so many characters; a block goes to every task.
 BLOCK_CHARACTERS = 8_000_000
@@ -28,7 +28,11 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Words in lower case, each for itself, so that they are as many as in the text as it stands."""
+    lower = (text or "").lower()
+    if len(lower) == len(text or ""):
+        return _WORD.findall(lower)
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 def budget(n_words: int, rate: float = RATE) -> int:
@@ -86,14 +90,14 @@ class Item:
 class Passages:
     """The items of a block: their words, and their pieces in one sorted hash array per length."""
 
-    def __init__(self, rows: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, rows: list[tuple[int, str]], rate: float = RATE, least_words: int = LEAST_WORDS):
         self.vocabulary: dict[str, int] = {}
         self.items: list[Item] = []
         known: dict[tuple[int, ...], int] = {}
         found: dict[int, list[tuple[int, int, int]]] = {}
         for item_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
             words = words_of(text)
-            if len(words) < LEAST_WORDS:
+            if len(words) < max(least_words, 1):
                 continue
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
             if tuple(ids) in known:  # the smallest id stands for items of the same words
@@ -122,7 +126,11 @@ class Passages:
         return mixed(out)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, distance, first word, last word) of every place that holds an item."""
+        """(text, item_id, distance, first word, last word) of every place that holds an item."""
+        return [(text, item.item_id, *place) for text, item, *place in self.places(texts)]
+
+    def places(self, texts: list[str]) -> list[tuple[int, Item, int, int, int]]:
+        """The same with the item itself."""
         get = self.vocabulary.get
         listed = [words_of(t) for t in texts]
         # A zero after each text, and for each word of no item: no piece holds one.
@@ -170,7 +178,7 @@ class Passages:
             if low >= high:
                 continue
             for start, end, distance in apart(item, ids[low:high].tolist()):
-                found.append((text, item.item_id, distance, low + start - begin, low + end - begin))
+                found.append((text, item, distance, low + start - begin, low + end - begin))
         return found
 
 
@@ -201,7 +209,7 @@ def apart(item: Item, stretch: list[int]) -> list[tuple[int, int, int]]:
     return taken
 
 
-def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE, least_words: int = LEAST_WORDS) -> DataFrame:
     """Places in documents within ``rate`` edits per word of a benchmark item.
 
     Edits insert, drop or replace whole words; words are compared in lower case without marks. An
@@ -211,21 +219,22 @@ def find_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Data
     Places of one item that are reported do not overlap: of those that do, the one with the fewest
     edits counts, the first of equal ones.
 
-    Items of fewer than five words, null ones among them, are no passages; of items with the same
-    words the smallest item_id is reported. Null texts hold nothing. Rows that repeat a document
+    Items of fewer than ``least_words`` words are no passages (``left_out_items`` lists them), nor
+    are null ones; with fewer than five words an item is found unchanged, as its budget is 0. Of
+    items with the same words the smallest item_id is reported. Null texts hold nothing. Rows that repeat a document
     give repeated rows. Items go to the tasks in blocks of bounded size, one pass over the
     documents for each; other columns are ignored.
 
     Result: doc_id, item_id, distance, item_words, start and end (code points, end exclusive).
     """
     found = None
-    for passages in _blocks(items, rate):
+    for passages in _blocks(items, rate, least_words):
         part = _block_passages(docs, passages)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _blocks(items: DataFrame, rate: float):
+def _blocks(items: DataFrame, rate: float, least_words: int):
     """The items in blocks of bounded size; those of the same words go to one block, which merges them."""
     items = items.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -233,7 +242,19 @@ def _blocks(items: DataFrame, rate: float):
     keyed = items.mapInArrow(_with_key, "item_id long, text string, words_key long")
     for block in range(blocks):
         rows = keyed.where(F.pmod("words_key", F.lit(blocks)) == block).collect()
-        yield Passages([(r["item_id"], r["text"]) for r in rows], rate)
+        yield Passages([(r["item_id"], r["text"]) for r in rows], rate, least_words)
+
+
+def left_out_items(items: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """item_id and item_words of the items that are too short to be looked for, null texts included."""
+
+    def short(batches):
+        for batch in batches:
+            sizes = [len(words_of(t)) for t in batch.column("text").to_pylist()]
+            out = pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(sizes, pa.int64())], ["item_id", "item_words"])
+            yield out.filter(pa.array([n < max(least_words, 1) for n in sizes]))
+
+    return items.select(F.col("item_id").cast("long"), "text").mapInArrow(short, "item_id long, item_words long")
 
 
 def _with_key(batches):
@@ -251,10 +272,14 @@ def _block_passages(docs: DataFrame, passages: Passages) -> DataFrame:
             ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
             for start, end in text_pieces(texts):
                 part = texts[start:end]
-                rows, sizes = [], {i.item_id: len(i.words) for i in held.value.items}
-                for text, item, distance, first, last in held.value.matches(part):
-                    spans = [m.span() for m in _WORD.finditer(part[text].lower())]
-                    rows.append((ids[start + text].as_py(), item, distance, sizes[item], spans[first][0], spans[last][1]))
+                rows, spans = [], {}
+                for text, item, distance, first, last in held.value.places(part):
+                    if text not in spans:  # places are those of the text as it stands
+                        spans[text] = [m.span() for m in _WORD.finditer(part[text])]
+                        if len(part[text].lower()) == len(part[text]):
+                            spans[text] = [m.span() for m in _WORD.finditer(part[text].lower())]
+                    own = spans[text]
+                    rows.append((ids[start + text].as_py(), item.item_id, distance, len(item.words), own[first][0], own[last][1]))
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(columns[0], ids.type)] + [pa.array(c, pa.int64()) for c in columns[1:]],
@@ -270,12 +295,12 @@ def passages_query(spark, sf_dir) -> DataFrame:
     return find_passages(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
-def without_passages(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+def without_passages(docs: DataFrame, items: DataFrame, rate: float = RATE, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents that hold no benchmark passage, in their own columns.
 
     Each row is judged by its own text, whether its id is null or repeated or not.
     """
-    for passages in _blocks(items, rate):
+    for passages in _blocks(items, rate, least_words):
         docs = _block_free(docs, passages)
     return docs
 
