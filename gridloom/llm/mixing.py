@@ -10,7 +10,9 @@ from gridloom.llm.common import shared_table
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 SEED = "mix-1"
-# Ranks are counted in so many bins per source before any row is sorted.
+# A table of so many sources, a row each, is sent to all tasks; a larger one is joined by source.
+MOST_SOURCES_SENT = 100_000
+# Ranks are counted in so many bins per source, and again in the bin of the cut, before any row is sorted.
 BINS = 4096
 
 
@@ -55,6 +57,99 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS)
     )
 
 
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    """Documents with their size, their random number and a hash of the text that parts equal ids."""
+    return docs.withColumns(
+        {"__size": word_count(F.col("text")), "__u": uniform(F.col("doc_id"), seed), "__text": F.xxhash64("text")}
+    )
+
+
+def _beside(rows: DataFrame, of_source: DataFrame) -> DataFrame:
+    """Rows with what is known of their source. That table has a row per source: counted, then sent to all tasks."""
+    known = of_source.withColumnRenamed("source", "__source")
+    if known.count() <= MOST_SOURCES_SENT:
+        known = F.broadcast(known)
+    return rows.join(known, rows["source"].eqNullSafe(F.col("__source"))).drop("__source")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """The rank of each row between 0 and 1, and its bins: null where no copy beside the whole ones is drawn."""
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    mean = F.col("source_size") / F.col("filled")
+    part = F.col("__ratio") - F.col("__whole")
+    odds = part / (F.lit(1.0) - part) * F.sqrt(mean / F.col("__size"))
+    rank = (F.col("__u") / (F.lit(1.0) - F.col("__u"))) / odds
+    return (
+        rows.withColumn("__ratio", ratio)
+        .withColumn("__whole", F.floor("__ratio"))
+        .withColumn("__rank", F.when((F.col("__size") > 0) & (part > 0), rank))
+        .withColumn("__rank", F.col("__rank") / (F.col("__rank") + 1))
+        .withColumn("__bin", F.floor(F.col("__rank") * BINS))
+        .withColumn("__bin_2", F.floor((F.col("__rank") * BINS - F.col("__bin")) * BINS))
+        .withColumn("__key", F.struct("__rank", "doc_id", "__size", "__text"))
+    )
+
+
+def _cut(rows: DataFrame, bin_: str, rest: str) -> DataFrame:
+    """For each source the bin in which its words reach ``rest``, and the words before it."""
+    bins = rows.where(F.col(bin_).isNotNull()).groupBy("source", bin_).agg(
+        F.sum("__size").alias("words"), F.first(rest).alias("rest")
+    )
+    running = Window.partitionBy("source").orderBy(bin_)
+    return (
+        bins.withColumn("words_to", F.sum("words").over(running))
+        .where(F.col("words_to") >= F.col("rest"))
+        .groupBy("source")
+        .agg(F.min_by(F.struct(bin_, (F.col("words_to") - F.col("words")).alias("before")), bin_).alias("cut"))
+        .select("source", F.col(f"cut.{bin_}").alias(f"cut{bin_}"), F.col("cut.before").alias(f"before{bin_}"))
+    )
+
+
+def source_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per source: its sizes, its target, and up to which row in the order of ranks one more copy is taken.
+
+    No source is sorted as a whole: ranks are counted in bins, the bin in which the target falls
+    in bins again, and only the rows of that one are put in order. Equal rows (id and text) are taken
+    or left together.
+    """
+    rest = F.col("target") - F.col("__whole") * F.col("source_size")
+    ranked = _ranked(_beside(sized, targets)).withColumn("__rest", rest)
+    first = shared_table(_cut(ranked, "__bin", "__rest"), "cuts")
+    inside = _beside(ranked, first).where("__bin = cut__bin").withColumn("__rest_2", F.col("__rest") - F.col("before__bin"))
+    inside = shared_table(inside, "edge")
+    second = shared_table(_cut(inside, "__bin_2", "__rest_2"), "cuts")
+    edge = _beside(inside, second).where("__bin_2 = cut__bin_2")
+    edge = edge.groupBy("source", "__key").agg(
+        F.sum("__size").alias("words"), F.first(F.col("__rest_2") - F.col("before__bin_2")).alias("rest")
+    )
+    order = Window.partitionBy("source").orderBy("__key").rowsBetween(Window.unboundedPreceding, 0)
+    last = (
+        edge.withColumn("to_here", F.sum("words").over(order))
+        .where(F.col("to_here") - F.col("words") / 2 <= F.col("rest"))
+        .groupBy("source")
+        .agg(F.max("__key").alias("last"))
+    )
+    cuts = targets
+    for part in (first.drop("before__bin"), second.drop("before__bin_2"), last):
+        part = part.withColumnRenamed("source", "of_source")
+        cuts = cuts.join(part, cuts["source"].eqNullSafe(part["of_source"]), "left").drop("of_source")
+    return shared_table(cuts, "cuts")
+
+
+def _taken(sized: DataFrame, cuts: DataFrame) -> DataFrame:
+    ranked = _ranked(_beside(sized, cuts))
+    in_bin = (F.col("__bin_2") < F.col("cut__bin_2")) | (
+        (F.col("__bin_2") == F.col("cut__bin_2")) & F.coalesce(F.col("__key") <= F.col("last"), F.lit(False))
+    )
+    # Without a cut the words of all bins do not reach the rest: everything is taken once more.
+    more = F.col("cut__bin").isNull() | (F.col("__bin") < F.col("cut__bin")) | ((F.col("__bin") == F.col("cut__bin")) & in_bin)
+    copies = F.col("__whole") + F.coalesce(F.col("__rank").isNotNull() & more, F.lit(False)).cast("long")
+    return ranked.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("__size"))
+
+
+MIX_COLUMNS = ["size", "source_size", "target", "copies", "taken"]
+
+
 def mix_sources(
     docs: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED
 ) -> DataFrame:
@@ -68,68 +163,32 @@ def mix_sources(
     the words land near the target. Random numbers come from the id and the seed alone.
 
     Result: source, doc_id, size, source_size, target, copies, taken; one row per input row.
-    Empty or null texts have size 0 and are taken 0 times. Rows that repeat an id rank by text
-    size, equal rows are interchangeable. Other columns of ``docs`` are ignored.
-
-    No source is sorted as a whole: ranks are counted in bins, and only the bin in which the
-    target falls is put in order.
+    Empty or null texts have size 0 and are taken 0 times. Rows that repeat an id rank by size and
+    text; those that repeat the text as well are taken or left together. Other columns of ``docs``
+    are ignored.
     """
-    sized = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), uniform(F.col("doc_id"), seed).alias("u")
-    )
-    sized = shared_table(sized, "sized")
-    targets = shared_table(source_targets(sized, weights, most), "targets")
+    sized = shared_table(_sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "sized")
+    targets = sized.select("source", F.col("__size").alias("size"))
+    targets = shared_table(source_targets(targets, weights, most), "targets")
+    rows = _taken(sized, source_cuts(sized, targets))
+    return rows.select("source", "doc_id", F.col("__size").alias("size"), *MIX_COLUMNS[1:])
 
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    mean = F.col("source_size") / F.col("filled")
-    part = F.col("ratio") - F.col("whole")
-    odds = part / (F.lit(1.0) - part) * F.sqrt(mean / F.col("size"))
-    rank = (F.col("u") / (F.lit(1.0) - F.col("u"))) / odds
-    same = sized["source"].eqNullSafe(targets["source"])
-    ranked = (
-        sized.join(targets, same)
-        .drop(targets["source"])
-        .withColumn("ratio", ratio)
-        .withColumn("whole", F.floor("ratio"))
-        .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("rank", F.when((F.col("size") > 0) & (part > 0), rank))
-        .withColumn("rank", F.col("rank") / (F.col("rank") + 1))
-        .withColumn("bin", F.floor(F.col("rank") * BINS))
-        .drop("u", "ratio", "filled")
-    )
-    ranked = shared_table(ranked, "ranked")
 
-    bins = ranked.where("bin is not null").groupBy("source", "bin").agg(
-        F.sum("size").alias("words"), F.first("rest").alias("rest")
-    )
-    running = Window.partitionBy("source").orderBy("bin")
-    cuts = (
-        bins.withColumn("words_to", F.sum("words").over(running))
-        .where(F.col("words_to") >= F.col("rest"))
-        .groupBy(F.col("source").alias("cut_source"))
-        .agg(F.min_by(F.struct("bin", (F.col("words_to") - F.col("words")).alias("before")), "bin").alias("cut"))
-    )
-    placed = ranked.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
-    # Without a cut the words of all bins do not reach the rest: everything is taken once more.
-    sure = F.col("bin").isNotNull() & (F.col("cut").isNull() | (F.col("bin") < F.col("cut.bin")))
-    at_cut = F.col("bin") == F.col("cut.bin")
-    in_order = Window.partitionBy("source", F.col("bin")).orderBy("rank", "doc_id", "size")
-    edge = (
-        placed.where(at_cut)
-        .withColumn("to_here", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("more", F.col("cut.before") + F.col("to_here") - F.col("size") / 2 <= F.col("rest"))
-        .drop("to_here")
-    )
-    rest = placed.where(~F.coalesce(at_cut, F.lit(False))).withColumn("more", sure)
-    copies = F.col("whole") + F.col("more").cast("long")
-    return (
-        rest.unionByName(edge)
-        .withColumn("copies", copies)
-        .select(
-            "source", "doc_id", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
-    )
+def mixed_documents(
+    docs: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED
+) -> DataFrame:
+    """The documents of the mix in their own columns, with size, source_size, target, copies and taken.
+
+    Decided as in ``mix_sources``. Texts are not shuffled: each row is judged by the cut of its
+    source. Documents that are not taken are left out. A column of ``docs`` with one of the five
+    names gives way.
+    """
+    own = docs.drop(*MIX_COLUMNS)
+    sized = shared_table(_sized(own.select("doc_id", "source", "text"), seed).drop("text"), "sized")
+    targets = sized.select("source", F.col("__size").alias("size"))
+    targets = shared_table(source_targets(targets, weights, most), "targets")
+    rows = _taken(_sized(own, seed), source_cuts(sized, targets)).where("copies > 0")
+    return rows.select(*own.columns, F.col("__size").alias("size"), *MIX_COLUMNS[1:])
 
 
 def mix_query(spark, sf_dir) -> DataFrame:
