@@ -100,7 +100,11 @@ class Subspaces:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; the largest component is divided out first, so that no square leaves the range."""
     x = x.astype(np.float64)
+    # In two steps, as the inverse of a tiny number has no place in the range either.
+    _, power = np.frexp(np.abs(x).max(axis=1))
+    x = np.ldexp(x, -power[:, None])
     return x / np.sqrt((x**2).sum(axis=1))[:, None]
 
 
