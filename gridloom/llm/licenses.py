@@ -56,16 +56,28 @@ TEMPLATES = [
 
 CONTAINMENT = 0.8
 # Blocks are windows of twice a template's class of length, a class apart, so that any run of
-# words as long as a template lies whole in some block.
-LENGTHS = (16, 128)
+# words as long as a template lies whole in some block. Longer templates get doubled classes.
+LENGTHS = (16, 32, 128)
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PHRASE = "(?<![^ ])(?:" + "|".join(PHRASES) + ")(?![^ ])"
 
 
+def _listed_words(text: str) -> list[str]:
+    return "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in text).split()
+
+
 def template_words(text: str) -> list[str]:
-    words = "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in text).split()
-    return sorted(set(words))
+    return sorted(set(_listed_words(text)))
+
+
+def length_class(text: str) -> int:
+    """The smallest class that holds all words of a template, repeated ones included."""
+    words = len(_listed_words(text))
+    found = next((n for n in LENGTHS if n >= words), LENGTHS[-1])
+    while found < words:
+        found *= 2
+    return found
 
 
 def spaced_words(text: Column) -> Column:
@@ -131,17 +143,16 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CON
     phrase, else the largest containment that reached the threshold, else 0), n_blocks (matching
     blocks).
     """
-    sets = [(label, template_words(text)) for label, text in templates]
-    vocabulary = sorted({w for _, words in sets for w in words})
+    sets = [(label, template_words(text), length_class(text)) for label, text in templates]
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
     documents_of = word_documents(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (documents_of[w], w))
     rank = {w: i for i, w in enumerate(order)}
 
     index = []
-    for number, (label, words) in enumerate(sets):
+    for number, (label, words, length) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         least = math.ceil(containment * len(ranks) - 1e-9)
-        length = next(n for n in LENGTHS if n >= len(ranks))
         for place in range(len(ranks) - least + 1):
             index.append((ranks[place], number, label, len(ranks) - place, least, length, ranks))
     prefix = sorted({order[entry[0]] for entry in index})
@@ -161,7 +172,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CON
     )
 
     words = F.split("norm", " ")
-    windows = [_windows(length, order) for length in LENGTHS]
+    windows = [_windows(length, order) for length in sorted({length for _, _, length in sets})]
     base = F.when(
         F.col("norm").contains("license") | F.col("norm").contains("cc by"),
         F.regexp_extract_all("norm", F.lit(_PHRASE), F.lit(0)),
@@ -235,9 +246,7 @@ def _sql_list(values) -> str:
 def _template_rows() -> str:
     rows = []
     for number, (label, text) in enumerate(TEMPLATES):
-        words = template_words(text)
-        length = next(n for n in LENGTHS if n >= len(words))
-        rows.append(f"({number}, '{label}', {length}, {_sql_list(words)})")
+        rows.append(f"({number}, '{label}', {length_class(text)}, {_sql_list(template_words(text))})")
     return ",\n".join(rows)
 
 
