@@ -1,19 +1,18 @@
 """The corpus pipeline: documents through five operators of gridloom.llm, stage by stage.
 
 Each stage takes the documents its predecessor kept and returns them in the columns of documents;
-the last returns the mix. Sampling, classifiers and joins without a SQL form are tested against
+the last adds how often each goes into the mix. Sampling, classifiers and joins without a SQL form are tested against
 brute force in ``tests/llm``, so there is no ``ORACLE_SQL``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridloom.llm.common import documents, shared_table, table
 from gridloom.llm.decontaminate import without_passages
 from gridloom.llm.language_id import known_languages
-from gridloom.llm.mixing import mix_sources
+from gridloom.llm.mixing import mixed_documents
 from gridloom.llm.ngram_join import one_of_each_group
 from gridloom.llm.personal_data import without_personal_data
 
@@ -41,8 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents that are taken, with their copies and words."""
-    return mix_sources(docs).where(F.col("copies") > 0)
+    """The mix: documents that are taken, texts included, with their copies and words."""
+    return mixed_documents(docs)
 
 
 STAGES = [
