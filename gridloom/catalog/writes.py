@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.catalog.quality import DOCUMENTS_SQL, KPIS, TEXTS, described_jobs, kpi_cells
 from gridloom.catalog.registry import query, r6, rounded, sql_means
-from gridloom.constants import FORECAST_HORIZONS, WEATHER_HORIZONS
+from gridloom.constants import FORECAST_HORIZONS, PROFILE_FIELDS, WEATHER_HORIZONS
 from gridloom.functions.timeops import as_utc
 from gridloom.operators import quality
 from gridloom.session import shared_folder
@@ -237,6 +237,17 @@ def write_kpi(t):
     return _stored(t, path)
 
 
+@query(
+    "unknown_kpis",
+    """select pid, horizon, date, kpi, case when isnan(value) then null else value end as value from kpis
+    where pid is null or pid not in (select id from predictions where id % 3 <> 0)""",
+)
+def unknown_kpis(t):
+    """The report of KPIs that none of some jobs takes."""
+    _, unknown = writers.unknown_kpis(t.kpis, t.predictions.where("id % 3 <> 0"))
+    return unknown.select("pid", "horizon", "date", "kpi", F.nanvl("value", F.lit(None).cast("double")).alias("value"))
+
+
 @query("write_prices", "select Name, time, max(Price) as Price from marketprices_hourly group by Name, time")
 def write_prices(t):
     path = shared_folder(t.spark)
@@ -244,11 +255,17 @@ def write_prices(t):
     return _stored(t, path)
 
 
-@query("write_load_profiles", f"""select time, year_created, max(E1A_AMI_A) as E1A_AMI_A, max(E1A_AMI_I) as E1A_AMI_I
-    from {_seconds('profile_batch')} group by time, year_created""")
+_BATCH_CELLS = ", ".join(f"max({f}) as {f}" for f in PROFILE_FIELDS)
+
+
+@query(
+    "write_load_profiles",
+    f"select time, year_created, {_BATCH_CELLS} from {_seconds('profile_batch')} group by time, year_created",
+)
 def write_load_profiles(t):
+    """All thirty profile fields."""
     path = shared_folder(t.spark)
-    writers.write_load_profiles(t.profile_batch, ["E1A_AMI_A", "E1A_AMI_I"], path)
+    writers.write_load_profiles(t.profile_batch, PROFILE_FIELDS, path)
     return _stored(t, path)
 
 

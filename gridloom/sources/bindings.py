@@ -46,6 +46,10 @@ _PROFILE_NAME = (
     + " ".join(f"when user_id % {len(PROFILE_FIELDS)} = {i} then '{name}'" for i, name in enumerate(PROFILE_FIELDS))
     + " end"
 )
+# Every profile has a value in each row, so that a batch passes the check for missing ones.
+_BATCH_PROFILES = ", ".join(
+    f"value + {i} * cast(regexp_extract(props, '([0-9]+)', 1) as double) as {name}" for i, name in enumerate(PROFILE_FIELDS)
+)
 _LAT = "50 + ({k} * 37 % 350) / 100.0e0"
 _LON = "3 + ({k} * 53 % 400) / 100.0e0"
 _FORECAST = """
@@ -165,8 +169,8 @@ BINDINGS: dict[str, str | tuple[str, str]] = {
     "profile_points": f"""select ts as time, 'y' || cast(user_id % 2 as string) as year_created,
         {_PROFILE_NAME} as field, value from events""",
     "sjv": f"select ts as time, 'y2024' as year_created, {_PROFILE_CELLS} from events",
-    "profile_batch": """select ts as time, 'y' || cast(user_id % 2 as string) as year_created, value as E1A_AMI_A,
-        cast(regexp_extract(props, '([0-9]+)', 1) as double) as E1A_AMI_I from events""",
+    "profile_batch": f"""select ts as time, 'y' || cast(user_id % 2 as string) as year_created, {_BATCH_PROFILES}
+        from events""",
     # A feed with corrections: every third reading is sent again later with another value.
     "power_feed": """select time, system, type, output, created from power union all
         select time, system, type, output * 2.0e0 + 1.0e0 as output, created + 1000000000 as created from power

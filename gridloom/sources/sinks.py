@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.operators.quality import guard_values
-from gridloom.sources.tables import FIELD_CREATED, PARTITIONS, stored_layout
+from gridloom.sources import snapshots
+from gridloom.sources.snapshots import PARTITIONS
+from gridloom.sources.tables import FIELD_CREATED
 
 # Parts of a day, by hash of the tags: a corrected point rewrites one of them. The setting counts
-# when a table is first written, and is noted beside it; large tables want more.
+# when a table is first written, and stays with it; large tables want more.
 BUCKETS_SETTING, BUCKETS = "spark.gridloom.buckets", 4
+# Row groups are small, so that a scan for one series of a partition reads few rows besides.
+ROW_GROUP_BYTES = 16 << 20
+# The folder of rows without a time.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -47,22 +53,6 @@ def _placed(batch: DataFrame, tags: Sequence[str], time: str, buckets: int) -> D
     return batch.withColumn(time, cut).withColumn("date", F.to_date(time)).withColumn("bucket", _bucket(tags, buckets))
 
 
-def newest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: of every other column the newest value that is not null.
-
-    Columns are decided one by one, as fields of a point are stored one by one. Equal
-    positions in the order are settled by the larger value, so the result does not
-    depend on the order of rows. ``max_by`` combines before the shuffle.
-    """
-    fields = [c for c in df.columns if c not in keys]
-
-    def newest(c: str) -> Column:
-        position = F.struct(*[F.col(o) for o in order], F.col(c))
-        return F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c)
-
-    return df.groupBy(*keys).agg(*[newest(c) for c in fields])
-
-
 def _merged(rows: DataFrame, keys: Sequence[str], by_created: bool) -> DataFrame:
     """One row per key; each field has its newest value, and ``__created`` when that was created.
 
@@ -84,21 +74,8 @@ def _merged(rows: DataFrame, keys: Sequence[str], by_created: bool) -> DataFrame
     return rows.groupBy(*keys).agg(*cells, created.alias(FIELD_CREATED), F.max("created").alias("created"))
 
 
-def _buckets(spark: SparkSession, layout) -> int:
-    return layout[1] if layout else int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
-
-
-def _existing(spark: SparkSession, folders: Sequence[str]) -> list[str]:
-    """Those of the folders that are there; only these are looked at."""
-    hadoop = spark._jsc.hadoopConfiguration()
-    paths = [(f, spark._jvm.org.apache.hadoop.fs.Path(f)) for f in folders]
-    return [f for f, p in paths if p.getFileSystem(hadoop).exists(p)]
-
-
-def _keep_layout(spark: SparkSession, path: str, schema: T.StructType, buckets: int) -> None:
-    """Note the columns and the number of buckets beside the table, where readers find them."""
-    text = json.dumps({"schema": schema.jsonValue(), "buckets": buckets})
-    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}/_layout")
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
 
 
 def upsert_last_write_wins(
@@ -109,52 +86,53 @@ def upsert_last_write_wins(
     Newest is by ``created`` where the batch carries it, then the batch over the table. Each field
     keeps the moment its value was created, so that the order in which batches arrive does not
     count; ``created`` of a row is that of its newest batch. The table has a partition per day and
-    hash bucket of the tags. Only those the batch touches are read, by path and with the columns
-    noted beside the table, and replaced, in dynamic mode stated on the writer. Writing the same
-    batch again changes nothing. Concurrent writers of one partition need a lock outside: plain
-    Parquet has none.
+    hash bucket of the tags. Only those the batch touches are read, and written anew beside the old
+    ones; one new version then puts them in their place (``snapshots``). A writer that dies leaves
+    the old table. Of two writers that touch one partition, the later gets ``WriteConflict`` and
+    may try again; writers of different partitions do not disturb each other. Writing the same
+    batch again changes nothing. A folder with data but without versions is refused.
+
+    Rows of a partition are in the order of tags and time, and the file tells which tags a row
+    group holds, so that a scan for one of many series reads few of them.
     """
     spark = batch.sparkSession
     keys = [*_check_tags(tags), time]
-    layout = stored_layout(spark, path)
-    buckets = _buckets(spark, layout)
-    placed = _placed(batch, tags, time, buckets)
+    held = snapshots.begin(spark, path, _buckets(spark))
+    placed = _placed(batch, tags, time, held.buckets)
     by_created = "created" in batch.columns
     rows = placed.withColumn("__table", F.lit(False))
     if not by_created:
         rows = rows.withColumn("created", F.lit(None).cast("bigint"))
-    if layout:
-        if touched is None:
-            # At most one row per day of the batch and bucket.
-            touched = [tuple(r) for r in placed.select("date", "bucket").distinct().collect()]
-        folders = _existing(spark, [f"{path}/date={d}/bucket={b}" for d, b in touched])
-        if folders:
-            stored = spark.read.schema(layout[0]).option("basePath", path).parquet(*folders)
-            if "created" not in stored.columns:
-                stored = stored.withColumn("created", F.lit(None).cast("bigint"))
-            rows = stored.withColumn("__table", F.lit(True)).unionByName(rows, allowMissingColumns=True)
+    if touched is None:
+        # At most one row per day of the batch and bucket.
+        touched = [tuple(r) for r in placed.select("date", "bucket").distinct().collect()]
+    partitions = [(NO_DAY if day is None else str(day), bucket) for day, bucket in touched]
+    if not partitions:
+        return
+    if any(p in held.folders for p in partitions):
+        stored = snapshots.read(spark, path, held, partitions)
+        if "created" not in stored.columns:
+            stored = stored.withColumn("created", F.lit(None).cast("bigint"))
+        rows = stored.withColumn("__table", F.lit(True)).unionByName(rows, allowMissingColumns=True)
     merged = _merged(rows, [*keys, *PARTITIONS], by_created)
-    if not by_created and not (layout and "created" in layout[0].names):
+    if not by_created and "created" not in held.schema.names:
         merged = merged.drop("created", FIELD_CREATED)
-    known = T.StructType([*layout[0].fields]) if layout else T.StructType()
-    added = [f for f in merged.schema.fields if f.name not in known.names]
-    if added:
-        known = T.StructType([*known.fields, *[T.StructField(f.name, f.dataType) for f in added]])
-        _keep_layout(spark, path, known, buckets)
+    snapshots.with_columns(held.schema, merged.schema)  # refuses a type that changed before anything is written
+    write = f"w{uuid.uuid4().hex}"
     # Rows of a partition go together, so that tasks do not open a file for each; a partition too
     # large for one task is split again at run time.
-    (
-        merged.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    writer = merged.hint("rebalance", *[F.col(c) for c in PARTITIONS]).sortWithinPartitions(*PARTITIONS, *sorted(tags), time).write
+    writer = writer.option("parquet.block.size", ROW_GROUP_BYTES)
+    for tag in tags:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{tag}", "true")
+    writer.partitionBy(*PARTITIONS).parquet(f"{path}/{snapshots.WRITE}={write}")
+    snapshots.commit(spark, path, held, merged.schema, write, partitions)
 
 
 def check_batch(batch: DataFrame, path: str, tags: Sequence[str], time: str = "time") -> tuple[int, list]:
     """Number of rows and the (date, bucket) partitions of a batch; refuses missing or infinite values."""
-    buckets = _buckets(batch.sparkSession, stored_layout(batch.sparkSession, path))
+    held = snapshots.load(batch.sparkSession, path)
+    buckets = held.buckets if held else _buckets(batch.sparkSession)
     place = F.struct(F.to_date(F.date_trunc("second", time)).alias("date"), _bucket(tags, buckets).alias("bucket"))
     row = guard_values(batch, [F.collect_set(place).alias("__touched")])
     return row["rows"], [tuple(r) for r in row["__touched"]]

@@ -2,43 +2,39 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridloom.functions.timeops import as_utc
+from gridloom.sources import snapshots
 
-PARTITIONS = ["date", "bucket"]
 # Of each field of a stored point, when its value was created.
 FIELD_CREATED = "__created"
 
 
-def stored_layout(spark: SparkSession, path: str) -> tuple[T.StructType, int] | None:
-    """Columns and number of buckets of a table the library wrote, noted beside it; nothing where none is."""
-    try:
-        text = spark.read.text(f"{path}/_layout").first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    noted = json.loads(text["value"])
-    return T.StructType.fromJson(noted["schema"]), noted["buckets"]
-
-
-def read_series(spark: SparkSession, path: str) -> DataFrame:
+def read_series(
+    spark: SparkSession,
+    path: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    version: int | None = None,
+) -> DataFrame:
     """A measurement the library wrote, with all fields any batch brought, and its ``date`` partition.
 
-    The columns are those noted beside the table, so that no file is opened to learn them.
+    The newest version counts, or the one asked for. Columns and folders are those the version
+    names, so that no file is opened to learn them; with a range, only its days are listed.
     """
-    layout = stored_layout(spark, path)
-    if layout is None:
+    held = snapshots.load(spark, path, version)
+    if held is None:
         raise ValueError(f"no stored series at {path}")
-    return spark.read.schema(layout[0]).parquet(path).drop("bucket", FIELD_CREATED)
+    first = "" if start is None else as_utc(start).date().isoformat()
+    last = "9999-12-31" if end is None else as_utc(end).date().isoformat()
+    days = None if start is None and end is None else [p for p in held.folders if first <= p[0] <= last]
+    rows = snapshots.read(spark, path, held, days).drop("bucket", FIELD_CREATED)
+    return rows if start is None and end is None else scan_series(rows, start, end)
 
 
 def scan_series(

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import math
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gridloom.functions import timeops
 from gridloom.operators.grids import bucket_mean
 from gridloom.operators.quality import RejectedBatch
-from gridloom.session import apply_settings
+from gridloom.session import SETTINGS, apply_settings
 from gridloom.sources.sinks import append_series, upsert_last_write_wins
 from gridloom.sources.tables import read_series
 
@@ -42,23 +47,25 @@ def read_stream(
 
 def _start(
     stream: DataFrame,
-    handle: Callable[[DataFrame], None],
+    handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     mode: str = "append",
     rejects: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that hands every micro-batch, kept while it is used, to ``handle``.
+    """Start a query that hands every micro-batch, kept while it is used, and its number to ``handle``.
 
     A batch is read several times; without keeping it, each time would run its plan,
     state included, again. A batch that the checks refuse is written whole below ``rejects``, with
     the reason, in a folder of its own number, and the stream goes on; a replay writes it again.
+    The query ends with the data there is, or looks for more ``every`` so often until it is stopped.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
             if not batch.isEmpty():
-                handle(batch)
+                handle(batch, number)
         except RejectedBatch as refused:
             if rejects is None:
                 raise
@@ -71,7 +78,7 @@ def _start(
         stream.writeStream.outputMode(mode)
         .foreachBatch(each)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 
@@ -84,7 +91,7 @@ def stream_realised(readings: DataFrame, path: str, checkpoint: str, rejects: st
     Refused micro-batches go to ``rejects``, by default beside the table's files.
     """
     return _start(
-        readings, lambda batch: append_series(batch, path, TAGS), checkpoint, rejects=rejects or f"{path}/_rejected"
+        readings, lambda batch, _: append_series(batch, path, TAGS), checkpoint, rejects=rejects or f"{path}/_rejected"
     )
 
 
@@ -103,29 +110,140 @@ def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str
         .select(F.col("window.start").alias("time"), "system", "output", "points")
     )
 
-    return _start(means, lambda batch: upsert_last_write_wins(batch, path, ["system"]), checkpoint, "update")
+    return _start(means, lambda batch, _: upsert_last_write_wins(batch, path, ["system"]), checkpoint, "update")
+
+
+OUTCOME = "kind string, system string, type string, time timestamp, output double, created bigint, reason string"
+# What the state of a bucket holds: its points as text (type, second, output, created), and whether it is closed.
+STATE = "points string, closed boolean"
+
+
+def bucket_points(keep_ms: int | None) -> Callable:
+    """Keep the points of one system and bucket, so that a correction replaces the old value in the mean.
+
+    Of a point the value created last counts, of those the one that came last, of one batch the
+    largest. With ``keep_ms``, the points go so long after the bucket was last touched, and a
+    mark stays: what comes later is passed on as of a closed bucket.
+    """
+
+    def update(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        system, start = key
+        if state.hasTimedOut:
+            state.update(("[]", True))
+            return
+        # Plain lists: most groups are small, and a frame's own operations would take longer than the work.
+        rows: dict[str, list] = {}
+        for frame in frames:
+            for name in _ROW:
+                rows.setdefault(name, []).extend(frame[name].tolist())
+        refused = [reason is not None for reason in rows["reason"]]
+        out = [["refused" if bad else "point" for bad in refused], [system] * len(refused), *(rows[c] for c in _CARRIED)]
+        newest = _newest(rows, refused)
+        if newest:
+            points, closed = state.get if state.exists else ("[]", False)
+            mean = math.nan
+            if not closed:
+                held = {(kind, at): (output, created) for kind, at, output, created in json.loads(points)}
+                for place, (created, output) in newest.items():
+                    if place not in held or created >= held[place][1]:
+                        held[place] = output, created
+                state.update((json.dumps([[*place, *value] for place, value in held.items()]), False))
+                if keep_ms is not None:
+                    state.setTimeoutDuration(keep_ms)
+                mean = math.fsum(v for v, _ in held.values()) / len(held)
+            for column, value in zip(out, ("closed" if closed else "mean", system, None, start, mean, None, None), strict=True):
+                column.append(value)
+        yield pd.DataFrame(dict(zip(_OUTCOMES, out, strict=True)))
+
+    return update
+
+
+_OUTCOMES = [part.split()[0] for part in OUTCOME.split(", ")]
+_CARRIED = _OUTCOMES[2:]
+_ROW = [*_CARRIED, "second"]
+
+
+def _newest(rows: dict[str, list], refused: list[bool]) -> dict[tuple, tuple]:
+    """For each point (type, second) of a batch when its newest value was created, and that value."""
+    newest: dict[tuple, tuple] = {}
+    columns = (rows[c] for c in ("type", "second", "created", "output"))
+    for bad, kind, at, created, output in zip(refused, *columns, strict=True):
+        if not bad:
+            value = int(created), output
+            newest[kind, at] = max(newest.get((kind, at), value), value)
+    return newest
+
+
+def _reason() -> Column:
+    """Why a reading cannot count; null where it can."""
+    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in ("time", "system", "type", "output", "created")]
+    wild = F.when(F.isnan("output") | (F.abs("output") == float("inf")), F.lit("output"))
+    named = F.array_compact(F.array(*missing, wild))
+    return F.when(F.size(named) > 0, F.concat(F.lit("missing or infinite: "), F.array_join(named, ", ")))
 
 
 def stream_corrected_buckets(
-    readings: DataFrame, minutes: int, table: str, buckets: str, checkpoint: str, rejects: str | None = None
+    readings: DataFrame,
+    minutes: int,
+    table: str | None,
+    buckets: str,
+    checkpoint: str,
+    rejects: str | None = None,
+    keep: timedelta | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Upsert readings, then recompute the (system, bucket) means the batch touched.
+    """Mean per (system, bucket), kept right under late and corrected points; readings go to ``table``.
 
-    The recomputation reads only the touched days and only touched buckets, and ends in an
-    upsert, so a replay or a correction leaves the right mean.
-    """
+    The points of a bucket are state (``bucket_points``): a corrected point replaces its old value,
+    and no stored reading is read again. Readings with missing or infinite values are set aside
+    below ``rejects``, with the reason, and the others of their batch count. Everything written is
+    an upsert, so a replayed micro-batch changes nothing. Without ``table`` the readings themselves
+    are not stored.
 
-    def write(batch: DataFrame) -> None:
-        spark = batch.sparkSession
-        append_series(batch, table, TAGS)
-        cut = F.date_trunc("second", "time")
-        touched = batch.select("system", timeops.bucket(cut, minutes).alias("__bucket")).distinct()
-        # Days on which a touched bucket can have points: at most two for each of the batch's days.
-        ends = F.explode(F.array(F.to_date("__bucket"), F.to_date(timeops.shift(F.col("__bucket"), minutes))))
-        days = [r["day"] for r in touched.select(ends.alias("day")).distinct().collect()]
-        stored = read_series(spark, table).where(F.col("date").isin(*days))
-        stored = stored.withColumn("__bucket", timeops.bucket(F.col("time"), minutes))
-        means = bucket_mean(stored.join(touched, ["system", "__bucket"], "left_semi"), ["system"], ["output"], minutes)
-        upsert_last_write_wins(means.withColumnRenamed("datetime", "time"), buckets, ["system"])
-
-    return _start(readings, write, checkpoint, rejects=rejects or f"{table}/_rejected")
+    State grows with the points. With ``keep``, a bucket's points are dropped so long after it was
+    last touched; a later point makes its mean be taken from ``table`` once more, so none is lost.
+    Timers run as long as the query does, so such a one looks for data ``every`` so often.
+    """
+    if keep is not None and (table is None or every is None):
+        raise ValueError("buckets can only be closed where the readings are stored and the query goes on")
+    rejects = rejects or f"{table or buckets}/_rejected"
+    spark = readings.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", SETTINGS["spark.sql.streaming.stateStore.providerClass"])
+    keyed = readings.select(
+        F.col("time").cast("timestamp").alias("time"),
+        F.col("system").cast("string").alias("system"),
+        F.col("type").cast("string").alias("type"),
+        F.col("output").cast("double").alias("output"),
+        F.col("created").cast("bigint").alias("created"),
+    ).withColumns({"second": F.unix_seconds("time"), "reason": _reason()})
+    keyed = keyed.withColumn("bucket", timeops.bucket(F.col("time"), minutes))
+    outcomes = keyed.groupBy("system", "bucket").applyInPandasWithState(
+        bucket_points(None if keep is None else int(keep.total_seconds() * 1000)), OUTCOME, STATE, "update",
+        GroupStateTimeout.NoTimeout if keep is None else GroupStateTimeout.ProcessingTimeTimeout,
+    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        points = batch.where("kind = 'point'").select("time", *TAGS, "output", "created")
+        if table is not None and not points.isEmpty():
+            append_series(points, table, TAGS)
+        means = batch.where("kind = 'mean'").select("time", "system", "output")
+        closed = batch.where("kind = 'closed'").select("system", F.col("time").alias("__bucket"))
+        if not closed.isEmpty():
+            means = means.unionByName(_stored_means(closed, table, minutes))
+        upsert_last_write_wins(means, buckets, ["system"])
+        refused = batch.where("kind = 'refused'")
+        if not refused.isEmpty():
+            refused.drop("kind").write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+
+    return _start(outcomes, write, checkpoint, "update", every=every)
+
+
+def _stored_means(touched: DataFrame, table: str, minutes: int) -> DataFrame:
+    """Means of some buckets from the stored readings, of which only their days are read."""
+    ends = touched.agg(F.min("__bucket"), F.max(timeops.shift(F.col("__bucket"), minutes))).first()
+    days = [r["day"] for r in touched.select(F.to_date("__bucket").alias("day")).distinct().collect()]
+    days += [d + timedelta(days=1) for d in days]  # a bucket may reach into the next one
+    stored = read_series(touched.sparkSession, table, ends[0], ends[1]).where(F.col("date").isin(*set(days)))
+    stored = stored.withColumn("__bucket", timeops.bucket(F.col("time"), minutes))
+    means = bucket_mean(stored.join(touched, ["system", "__bucket"], "left_semi"), ["system"], ["output"], minutes)
+    return means.select(F.col("datetime").alias("time"), "system", "output")

@@ -1,14 +1,17 @@
 import itertools
+import random
+import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import quality
 from gridloom.operators.quality import RejectedBatch
 from gridloom.plans import forecasts
-from gridloom.sources import sinks, tables, writers
+from gridloom.sources import sinks, snapshots, tables, writers
 from gridloom.streaming import readings as streams
 
 DAY = datetime(2022, 1, 1)
@@ -39,7 +42,7 @@ def write(spark, path, df, created=DAY):
 
 
 def read_back(spark, path, days=5):
-    found = forecasts.predicted_load(spark.read.parquet(path), DAY, DAY + timedelta(days=days), 15)
+    found = forecasts.predicted_load(tables.read_series(spark, path), DAY, DAY + timedelta(days=days), 15)
     return [(r["datetime"], r["forecast"], r["stdev"]) for r in found.orderBy("datetime").collect()]
 
 
@@ -102,7 +105,7 @@ def test_unknown_column_is_refused(spark, path):
 def test_horizons_use_the_largest_option_below(spark, path):
     long = batch(spark, timedelta(hours=4))
     writers.write_forecast(long, path + "/latest", DAY, tahead_path=path + "/ahead")
-    rows = spark.read.parquet(path + "/ahead").orderBy("time").collect()
+    rows = tables.read_series(spark, path + "/ahead").orderBy("time").collect()
     # Exactly 4 hours ahead is not beyond 4 hours.
     assert [r["tAhead"] for r in rows] == [1.0, 4.0, 4.0, 4.0]
     assert "algtype" not in rows[0].asDict()
@@ -118,8 +121,8 @@ def test_weather_goes_to_two_tables(spark, path):
     rows = [(datetime(2023, 1, 1, 10, 0), "x", 1.0, 2.0), (datetime(2023, 1, 1, 10, 15), "x", 1.5, 2.5)]
     data = spark.createDataFrame(rows, "datetime timestamp, input_city string, temp double, windspeed double")
     writers.write_weather(data, path, "harm_arome", datetime(2023, 1, 1, 9))
-    assert spark.read.parquet(path).count() == 2
-    ahead = spark.read.parquet(path + "_tAhead").collect()
+    assert tables.read_series(spark, path).count() == 2
+    ahead = tables.read_series(spark, path + "_tAhead").collect()
     assert [(r["tAhead"], r["temp"]) for r in ahead] == [(1.0, 1.5)]
 
 
@@ -152,13 +155,13 @@ def test_replay_changes_nothing_and_other_days_stay(spark, path):
     sinks.append_series(df, path, ["system"])
     for _ in range(2):
         sinks.append_series(df.where("x = 1"), path, ["system"])
-    assert sorted(r["x"] for r in spark.read.parquet(path).collect()) == [0.0, 1.0, 2.0]
+    assert sorted(r["x"] for r in tables.read_series(spark, path).collect()) == [0.0, 1.0, 2.0]
 
 
 def test_stored_ranges_prune_partitions_and_push_filters(spark, path):
     rows = [(DAY + timedelta(days=d), "a", float(d)) for d in range(3)]
     sinks.append_series(spark.createDataFrame(rows, "time timestamp, system string, x double"), path, ["system"])
-    found = tables.scan_series(spark.read.parquet(path), DAY + timedelta(days=1), DAY + timedelta(days=2), system="a")
+    found = tables.scan_series(tables.read_series(spark, path), DAY + timedelta(days=1), DAY + timedelta(days=2), system="a")
     plan = found.select("x")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(time" in plan
     assert [r["x"] for r in found.collect()] == [1.0]
@@ -208,16 +211,85 @@ def test_stream_takes_late_and_corrected_points(spark, tmp_path):
     spark.createDataFrame(first, SCHEMA).coalesce(1).write.parquet(feed)
     run = lambda: streams.stream_corrected_buckets(streams.read_stream(spark, feed), 15, table, buckets, state).awaitTermination()
     run()
-    means = {r["time"]: r["output"] for r in spark.read.parquet(buckets).collect()}
+    means = {r["time"]: r["output"] for r in tables.read_series(spark, buckets).collect()}
     assert means == {DAY: 5.0, DAY + timedelta(minutes=15): 15.0}
     late = [(DAY, "a", "measurement", 30.0, 2), (DAY - timedelta(days=1), "a", "measurement", 1.0, 2)]
     spark.createDataFrame(late, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
     run()
-    means = {r["time"]: r["output"] for r in spark.read.parquet(buckets).collect()}
+    means = {r["time"]: r["output"] for r in tables.read_series(spark, buckets).collect()}
     assert means == {DAY: 15.0, DAY + timedelta(minutes=15): 15.0, DAY - timedelta(days=1): 1.0}
     assert tables.read_series(spark, table).count() == 5
 
 
+def corrected(spark, feed, tmp_path, **options):
+    table, buckets, state = (str(tmp_path / n) for n in ("table", "buckets", "state"))
+    stream = streams.read_stream(spark, feed, files_per_batch=1)
+    streams.stream_corrected_buckets(stream, 15, options.pop("table", table), buckets, state, **options).awaitTermination()
+    return {(r["system"], r["time"]): r["output"] for r in tables.read_series(spark, buckets).collect()}
+
+
+def feed_rows(spark, feed, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+
+
+def test_corrections_replace_in_state_without_a_table(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    at = lambda m: DAY + timedelta(minutes=m)
+    feed_rows(spark, feed, [(at(m), s, "measurement", float(m), 5) for m in (0, 5, 10) for s in "ab"])
+    assert corrected(spark, feed, tmp_path, table=None) == {("a", DAY): 5.0, ("b", DAY): 5.0}
+    # An older value does not count, one of the same moment does, and a point may have several types.
+    feed_rows(spark, feed, [(at(0), "a", "measurement", 99.0, 4), (at(5), "a", "measurement", 8.0, 5), (at(0), "b", "solar", 25.0, 1)])
+    assert corrected(spark, feed, tmp_path, table=None) == {("a", DAY): 6.0, ("b", DAY): 10.0}
+    feed_rows(spark, feed, [(at(10), "a", "measurement", None, 9), (at(10), "a", "measurement", float("inf"), 9), (at(20), "a", "measurement", 1.0, 9)])
+    assert corrected(spark, feed, tmp_path, table=None) == {("a", DAY): 6.0, ("b", DAY): 10.0, ("a", at(15)): 1.0}
+    refused = spark.read.parquet(str(tmp_path / "buckets" / "_rejected")).collect()
+    assert len(refused) == 2 and all("output" in r["reason"] for r in refused)
+
+
+def test_random_corrections_equal_the_table(spark, tmp_path):
+    rng, feed, newest = random.Random(4), str(tmp_path / "feed"), {}
+    for _ in range(2):
+        rows = []
+        for _ in range(60):
+            key = DAY + timedelta(minutes=rng.randrange(0, 120, 5)), rng.choice("abc"), "measurement"
+            row = (*key, float(rng.randrange(100)), rng.randrange(10_000))
+            rows.append(row)
+            newest[key] = max(newest.get(key, (0, 0.0)), row[:2:-1])
+        feed_rows(spark, feed, rows)
+    want = {}
+    for (time, system, _), (_, output) in newest.items():
+        want.setdefault((system, time - timedelta(minutes=time.minute % 15)), []).append(output)
+    assert corrected(spark, feed, tmp_path) == {k: pytest.approx(sum(v) / len(v)) for k, v in want.items()}
+
+
+def test_a_closed_bucket_is_read_from_the_table(spark, tmp_path):
+    feed, table, buckets, state = (str(tmp_path / n) for n in ("feed", "table", "buckets", "state"))
+    feed_rows(spark, feed, [(DAY, "a", "measurement", 1.0, 1)])
+    stream = streams.read_stream(spark, feed, files_per_batch=1)
+    with pytest.raises(ValueError):
+        streams.stream_corrected_buckets(stream, 15, table, buckets, state, keep=timedelta(seconds=1))
+    query = streams.stream_corrected_buckets(stream, 15, table, buckets, state, keep=timedelta(milliseconds=1), every="1 second")
+
+    def wait_for(mean):
+        until = time.time() + 90
+        while time.time() < until:
+            held = snapshots.load(spark, buckets)
+            if held and [r["output"] for r in tables.read_series(spark, buckets).collect()] == [mean]:
+                return (query.lastProgress or {"batchId": 0})["batchId"]
+            time.sleep(0.5)
+        raise AssertionError(query.exception() or query.lastProgress)
+
+    try:
+        batch = wait_for(1.0)
+        until = time.time() + 60
+        while (query.lastProgress or {"batchId": -1})["batchId"] < batch + 2 and time.time() < until:
+            time.sleep(0.5)  # the timer runs off meanwhile
+        feed_rows(spark, feed, [(DAY + timedelta(minutes=5), "a", "measurement", 4.0, 1)])
+        wait_for(2.5)
+    finally:
+        query.stop()
+
+
 def test_stream_sets_a_bad_batch_aside_and_goes_on(spark, tmp_path):
     feed, table, state = (str(tmp_path / n) for n in ("feed", "table", "state"))
     values = [1.0, float("nan"), 3.0]
@@ -247,7 +319,7 @@ def test_a_broken_day_does_not_stop_another(spark, path):
     schema = "time timestamp, system string, x double"
     rows = [(DAY + timedelta(days=d), "a", float(d)) for d in range(2)]
     sinks.append_series(spark.createDataFrame(rows, schema), path, ["system"])
-    for file in Path(path).glob(f"date={DAY.date()}/*/*.parquet"):
+    for file in Path(path).glob(f"write=*/date={DAY.date()}/*/*.parquet"):
         file.write_bytes(b"broken")
         file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
     sinks.append_series(spark.createDataFrame([(DAY + timedelta(days=1), "a", 9.0)], schema), path, ["system"])
@@ -290,3 +362,149 @@ def test_kpis_of_unknown_jobs_are_reported(spark):
     known, unknown = writers.unknown_kpis(kpis, spark.createDataFrame([(1,), (1,)], "id int"))
     assert [r["pid"] for r in known.collect()] == [1]
     assert {r["pid"] for r in unknown.collect()} == {2, None}
+
+
+POINT = "time timestamp, system string, x double, created bigint"
+
+
+def point(spark, x, created=1, day=0, system="a"):
+    return spark.createDataFrame([(DAY + timedelta(days=day), system, x, created)], POINT)
+
+
+def values(spark, path):
+    return sorted(r["x"] for r in tables.read_series(spark, path).collect())
+
+
+def test_data_without_versions_is_refused(spark, path):
+    sinks.append_series(point(spark, 1.0), path, ["system"])
+    sinks.append_series(point(spark, 2.0, day=1), path, ["system"])
+    for file in Path(path, "_versions").iterdir():
+        file.unlink()
+    for attempt in (lambda: sinks.append_series(point(spark, 3.0), path, ["system"]), lambda: tables.read_series(spark, path)):
+        with pytest.raises(snapshots.DamagedTable):
+            attempt()
+    assert len(list(Path(path).glob("write=*/date=*/bucket=*/*.parquet"))) == 2
+
+
+def test_a_lost_version_in_between_is_refused(spark, path):
+    for n in range(4):
+        sinks.append_series(point(spark, float(n), day=n), path, ["system"])
+    Path(path, "_versions", "000000000002.json").unlink()
+    with pytest.raises(snapshots.DamagedTable):
+        tables.read_series(spark, path)
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["begin", "read", "write", "publish", "done"])
+def test_a_writer_that_dies_leaves_the_old_or_the_new_table(spark, path, monkeypatch, step):
+    sinks.append_series(point(spark, 1.0), path, ["system"])
+
+    def dies(*args, **kwargs):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        if step == "begin":
+            m.setattr(snapshots, "begin", dies)
+        elif step == "read":
+            m.setattr(snapshots, "read", dies)
+        elif step == "write":
+            m.setattr(snapshots, "commit", dies)  # all data files are there, no version names them
+        elif step == "publish":
+            m.setattr(snapshots._Files, "_publish", dies)  # the version is drafted, not yet there
+        else:
+            put = snapshots.commit
+            m.setattr(snapshots, "commit", lambda *a: (put(*a), dies()))
+        with pytest.raises(Killed):
+            sinks.append_series(point(spark, 2.0, created=2), path, ["system"])
+    assert values(spark, path) == [2.0 if step == "done" else 1.0]
+    sinks.append_series(point(spark, 3.0, created=3), path, ["system"])
+    assert values(spark, path) == [3.0]
+    removed = snapshots.expire(spark, path, 0)
+    assert removed >= 1 and values(spark, path) == [3.0]
+    assert len(list(Path(path).glob("write=*"))) == 1
+
+
+def test_a_first_writer_that_dies_leaves_an_empty_table(spark, path, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "commit", lambda *a: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            sinks.append_series(point(spark, 2.0), path, ["system"])
+    assert tables.read_series(spark, path).count() == 0
+    sinks.append_series(point(spark, 1.0), path, ["system"])
+    assert values(spark, path) == [1.0]
+
+
+def meanwhile(monkeypatch, action):
+    """Run ``action`` once, as another writer, before the next commit."""
+    put, todo = snapshots.commit, [action]
+
+    def commit(*args):
+        if todo:
+            todo.pop()()
+        return put(*args)
+
+    monkeypatch.setattr(snapshots, "commit", commit)
+
+
+def test_two_writers_of_one_partition(spark, path, monkeypatch):
+    sinks.append_series(point(spark, 1.0), path, ["system"])
+    meanwhile(monkeypatch, lambda: sinks.append_series(point(spark, 5.0, created=5), path, ["system"]))
+    with pytest.raises(snapshots.WriteConflict, match="2022-01-01"):
+        sinks.append_series(point(spark, 7.0, created=7), path, ["system"])
+    assert values(spark, path) == [5.0]
+    sinks.append_series(point(spark, 7.0, created=7), path, ["system"])
+    assert values(spark, path) == [7.0]
+
+
+def test_writers_of_different_days_do_not_disturb_each_other(spark, path, monkeypatch):
+    other = point(spark, 5.0, day=1).withColumnRenamed("x", "y")
+    meanwhile(monkeypatch, lambda: sinks.append_series(other, path, ["system"]))
+    sinks.append_series(point(spark, 7.0), path, ["system"])
+    rows = {r["date"].day: (r["x"], r["y"]) for r in tables.read_series(spark, path).collect()}
+    assert rows == {1: (7.0, None), 2: (None, 5.0)}
+
+
+def test_many_versions_and_older_ones(spark, path):
+    for n in range(12):
+        sinks.append_series(point(spark, float(n), created=n, day=n % 2), path, ["system"])
+    held = snapshots.load(spark, path)
+    assert held.version == 12 and len(held.folders) == 2
+    assert values(spark, path) == [10.0, 11.0]
+    assert sorted(r["x"] for r in tables.read_series(spark, path, version=3).collect()) == [1.0, 2.0]
+    one = tables.read_series(spark, path, DAY + timedelta(days=1), DAY + timedelta(days=2))
+    assert [r["x"] for r in one.collect()] == [11.0] and len(one.inputFiles()) == 1
+
+
+def test_a_column_keeps_its_type(spark, path):
+    sinks.append_series(point(spark, 1.0), path, ["system"])
+    with pytest.raises(ValueError, match="x is double"):
+        text = point(spark, 2.0, day=1).withColumn("x", F.lit("text"))
+        sinks.upsert_last_write_wins(text, path, ["system"])
+    assert values(spark, path) == [1.0]
+
+
+def test_one_series_of_many_opens_few_row_groups(spark, path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROW_GROUP_BYTES", 1 << 20)
+    spark.conf.set("spark.gridloom.buckets", "1")
+    try:
+        rows = spark.range(400_000).select(
+            (F.lit(DAY).cast("timestamp") + F.make_dt_interval(secs=(F.col("id") % 200).cast("decimal(18,6)"))).alias("time"),
+            F.concat(F.lit("s"), F.floor(F.col("id") / 200)).alias("system"), F.rand(1).alias("x"),
+        )
+        sinks.append_series(rows, path, ["system"])
+    finally:
+        spark.conf.unset("spark.gridloom.buckets")
+    (file,) = tables.read_series(spark, path).inputFiles()
+    meta = pq.ParquetFile(file.removeprefix("file://").removeprefix("file:")).metadata
+    names = [meta.row_group(g).column(c).path_in_schema for g in range(1) for c in range(meta.num_columns)]
+    at = names.index("system")
+    held = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+    assert len(held) > 1 and all(a.max <= b.min for a, b in zip(held, held[1:]))
+    found = tables.scan_series(tables.read_series(spark, path), system="s1234")
+    assert found.count() == 200
+    opened = found._jdf.queryExecution().executedPlan()
+    read = sum(meta.row_group(g).num_rows for g, s in enumerate(held) if s.min <= "s1234" <= s.max)
+    assert read <= meta.num_rows / 2, opened.toString()
