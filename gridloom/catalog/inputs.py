@@ -13,6 +13,7 @@ from gridloom.catalog.registry import (
     query,
     r6,
     rounded,
+    sql_cubic,
     sql_fill,
     sql_great_circle,
     sql_means,
@@ -20,10 +21,10 @@ from gridloom.catalog.registry import (
     sql_present,
     sql_span,
 )
-from gridloom.catalog.weather import EVENT_FIELDS, EVENT_ORDER, sql_event_weather
+from gridloom.catalog.weather import EVENT_FIELDS, EVENT_ORDER, NAMED_SITES, sql_event_weather
 from gridloom.constants import PROFILE_FIELDS
 from gridloom.functions.numeric import wind_at_height
-from gridloom.operators import grids
+from gridloom.operators import grids, places
 from gridloom.plans import model_input as model
 from gridloom.plans import predictors, splitting
 
@@ -112,10 +113,10 @@ def _job_load(minutes: int) -> str:
 _LOAD = sql_fill(_job_load(15), ["pid"], ["load"], 15, 3)
 
 
-def model_input_of(t, **options):
+def model_input_of(t, sites=None, **options):
     """The flagship: load and predictors of every job over the whole month."""
     return model.model_input(
-        t.sites,
+        t.sites if sites is None else sites,
         t.power,
         t.systems,
         t.predictions_systems,
@@ -129,11 +130,11 @@ def model_input_of(t, **options):
     )
 
 
-def _model_sql(weather: str) -> str:
+def _model_sql(weather: str, sites: str = "sites") -> str:
     return f"""select s.site as pid, g.datetime, {r6('load')} as load, {_columns(EVENT_FIELDS)}, {r6('Price')} as {PRICE},
-    {_columns(PROFILE_FIELDS)} from sites s cross join {_STEPS} g
+    {_columns(PROFILE_FIELDS)} from {sites} s cross join {_STEPS} g
     left join {_LOAD} l on l.pid = s.site and l.datetime = g.datetime
-    left join {sql_nearest('sites', 1)} c on c.site = s.site
+    left join {sql_nearest(sites, 1)} c on c.site = s.site
     left join {weather} w on w.input_city = c.input_city and w.datetime = g.datetime
     left join {_NL} n on n.datetime = g.datetime
     left join {_profiles(PROFILE_FIELDS, 15)} p on p.datetime = g.datetime"""
@@ -144,6 +145,18 @@ def model_input(t):
     return rounded(model_input_of(t, source_order=EVENT_ORDER), "load", *EVENT_FIELDS, PRICE, *PROFILE_FIELDS)
 
 
+def _named(t):
+    """Jobs given by the name of their place; some names are not in the gazetteer."""
+    names = t.raw("nation").select(F.col("n_nationkey").cast("long").alias("site"), F.col("n_name").alias("name"))
+    return places.named_sites(names, t.NameToLatLon)
+
+
+@query("model_input_by_name", _model_sql(sql_event_weather(EVENT_FIELDS, 15), NAMED_SITES))
+def model_input_by_name(t):
+    found = model_input_of(t, _named(t), source_order=EVENT_ORDER)
+    return rounded(found, "load", *EVENT_FIELDS, PRICE, *PROFILE_FIELDS)
+
+
 _TWO = ["view", "click"]
 
 
@@ -205,14 +218,6 @@ def solar_input_radius(t):
     return _solar(t, 25.0)
 
 
-# Ends in a spline, which has no SQL form; tests compare it with a dense solution.
-@query("wind_input")
-def wind_input(t):
-    return model.wind_input(
-        t.sites, t.weather, t.nl_locations, datetime(2024, 1, 1), 30 * 1440, 60, source_order=EVENT_ORDER
-    )
-
-
 @query(
     "wind_at_height",
     f"select l_orderkey, l_linenumber, l_partkey, l_quantity, {r6('l_quantity * pow(l_linenumber * 20.0e0 / 10.0e0, 0.143e0)')} as speed from lineitem",
@@ -223,12 +228,36 @@ def wind_at_height_of(t):
     return rounded(found, "speed")
 
 
-_WIND = f"""(select site, datetime, windspeed_100m as windspeed from {sql_nearest('sites', 1)} n
+def _wind(sites: str) -> str:
+    return f"""(select site, datetime, windspeed_100m as windspeed from {sql_nearest(sites, 1)} n
     join {sql_event_weather(['windspeed_100m'], 60)} w using (input_city))"""
+
+
+_WIND = _wind("sites")
 _WIND_REF = f"""(select site, datetime, windspeed / nullif(abs(max(windspeed) over (partition by site)), 0) as windspeed
     from {_WIND})"""
 
 
+def _wind_input_sql(sites: str) -> str:
+    return f"select site, datetime, {r6('windspeed')} as windspeed_100m from {sql_cubic(_wind(sites), 'site', 'windspeed', 60)}"
+
+
+def _wind_input(t, sites):
+    month = datetime(2024, 1, 1), 30 * 1440
+    found = model.wind_input(sites, t.weather, t.nl_locations, *month, 60, source_order=EVENT_ORDER)
+    return rounded(found, "windspeed_100m")
+
+
+@query("wind_input", _wind_input_sql("sites"))
+def wind_input(t):
+    return _wind_input(t, t.sites)
+
+
+@query("wind_input_by_name", _wind_input_sql(NAMED_SITES))
+def wind_input_by_name(t):
+    return _wind_input(t, _named(t))
+
+
 @query("wind_ref", f"select site, datetime, {r6('windspeed')} as windspeed from {_WIND_REF}")
 def wind_ref(t):
     found = splitting.wind_ref(t.weather, t.sites, t.nl_locations, *EVENTS, minutes=60, source_order=EVENT_ORDER)

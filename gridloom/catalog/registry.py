@@ -150,3 +150,61 @@ def sql_nearest(sites: str, number: int) -> str:
                 min(distance) over (partition by site) as closest
             from (select s.site, l.city as input_city, round({distance}, 1) as distance
                 from {sites} s, nl_locations l)) where "rank" <= {number} and closest < 150) n on n.site = s.site)"""
+
+
+def sql_cubic(source: str, key: str, column: str, minutes: int) -> str:
+    """Not-a-knot splines inside the known values of a relation on its grid.
+
+    The tridiagonal system of all series at once: forward elimination and back substitution are
+    two recursions along the numbers of the knots.
+    """
+    return f"""(
+        with recursive given as (select {key}, datetime, {column} as y, cast(epoch(datetime) as bigint) // {minutes * 60} as x from {source}),
+        knots as (
+            select {key}, cast(x as double) as x, y, row_number() over along - 1 as i, count(*) over (partition by {key}) as n,
+                cast(x - lag(x) over along as double) as hl, cast(lead(x) over along - x as double) as hr,
+                lag(y) over along as yl, lead(y) over along as yr
+            from given where y is not null window along as (partition by {key} order by x)),
+        system as (
+            select {key}, i, n,
+                case when i = 1 then 0e0 when i = n - 2 then hl - hr * hr / hl else hl end as a,
+                2e0 * (hl + hr) + case when i = 1 then hl * (hl + hr) / hr else 0e0 end
+                    + case when i = n - 2 then hr * (hl + hr) / hl else 0e0 end as b,
+                case when i = n - 2 then 0e0 when i = 1 then hr - hl * hl / hr else hr end as c,
+                6e0 * ((yr - y) / hr - (y - yl) / hl) as d
+            from knots where n >= 4 and i between 1 and n - 2),
+        forward as (
+            select {key}, i, n, c / b as cp, d / b as dp from system where i = 1
+            union all
+            select s.{key}, s.i, s.n, s.c / (s.b - s.a * f.cp), (s.d - s.a * f.dp) / (s.b - s.a * f.cp)
+            from forward f join system s on s.{key} = f.{key} and s.i = f.i + 1),
+        back as (
+            select {key}, i, dp as m from forward where i = n - 2
+            union all
+            select f.{key}, f.i, f.dp - f.cp * b.m from back b join forward f on f.{key} = b.{key} and f.i = b.i - 1),
+        steps as (
+            select k.{key}, k.i, k.n, k.hl, k.hr, b.m, lag(b.m) over along as ml, lead(b.m) over along as mr
+            from knots k left join back b on b.{key} = k.{key} and b.i = k.i where n >= 4
+            window along as (partition by k.{key} order by k.i)),
+        bends as (
+            select {key}, i, m from steps where i between 1 and n - 2
+            union all select {key}, 0, ((hl + hr) * m - hl * mr) / hr from steps where i = 1
+            union all select {key}, n - 1, ((hl + hr) * m - hr * ml) / hl from steps where i = n - 2),
+        pieces as (
+            select k.{key}, k.i, k.n, k.x, k.y, k.hr, k.yr, b.m, lead(b.m) over along as mr,
+                first_value(k.x) over whole as x0, first_value(k.y) over whole as y0,
+                nth_value(k.x, 2) over whole as x1, nth_value(k.y, 2) over whole as y1,
+                nth_value(k.x, 3) over whole as x2, nth_value(k.y, 3) over whole as y2
+            from knots k left join bends b on b.{key} = k.{key} and b.i = k.i
+            window along as (partition by k.{key} order by k.i),
+                whole as (partition by k.{key} order by k.i rows between unbounded preceding and unbounded following))
+        select g.{key}, g.datetime, case
+            when g.y is not null then g.y
+            when p.hr is null then null
+            when p.n = 2 then p.y + (p.yr - p.y) * (g.x - p.x) / p.hr
+            when p.n = 3 then y0 * (g.x - x1) * (g.x - x2) / ((x0 - x1) * (x0 - x2))
+                + y1 * (g.x - x0) * (g.x - x2) / ((x1 - x0) * (x1 - x2)) + y2 * (g.x - x0) * (g.x - x1) / ((x2 - x0) * (x2 - x1))
+            else p.y * (p.x + p.hr - g.x) / p.hr + p.yr * (g.x - p.x) / p.hr
+                + ((power((p.x + p.hr - g.x) / p.hr, 3) - (p.x + p.hr - g.x) / p.hr) * p.m
+                + (power((g.x - p.x) / p.hr, 3) - (g.x - p.x) / p.hr) * p.mr) * p.hr * p.hr / 6e0 end as {column}
+        from given g asof left join pieces p on p.{key} = g.{key} and p.x <= g.x)"""

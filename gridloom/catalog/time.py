@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.registry import EVENTS, ORDERS, query, r6, rounded, sql_fill, sql_means
+from gridloom.catalog.registry import EVENTS, ORDERS, query, r6, rounded, sql_cubic, sql_fill, sql_means
 from gridloom.functions import timeops
 from gridloom.operators import grids, reshape
 from gridloom.plans.weather import with_source_run
@@ -62,11 +62,13 @@ def interpolate_inside(t):
     return rounded(grids.interpolate_inside(means, _CITY, _FIELDS, 1440, span=ORDERS), *_FIELDS)
 
 
-# A spline has no SQL form; its tests compare it with polynomials and a dense solution.
-@query("interpolate_cubic")
+_HOURLY = sql_fill(sql_means("power", ["system"], ["output"], 60), ["system"], ["output"], 60, limit=0)
+
+
+@query("interpolate_cubic", f"select system, datetime, {r6('output')} as output from {sql_cubic(_HOURLY, 'system', 'output', 60)}")
 def interpolate_cubic(t):
     filled = grids.resample_mean(t.power, ["system"], ["output"], 60, span=EVENTS)
-    return grids.interpolate_cubic(filled, ["system"], "output", 60)
+    return rounded(grids.interpolate_cubic(filled, ["system"], "output", 60), "output")
 
 
 _PRICES = sql_means("marketprices", ["Name"], ["Price"], 480)

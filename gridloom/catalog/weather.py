@@ -61,13 +61,13 @@ def weather_latest(t):
     return rounded(found, *DAILY)
 
 
-_NAMED = """(select n_nationkey as site, lat, lon from nation left join NameToLatLon on n_name = regionInput)"""
+NAMED_SITES = """(select n_nationkey as site, lat, lon from nation left join NameToLatLon on n_name = regionInput)"""
 
 
 @query(
     "weather_latest_by_name",
     f"""select site, 'optimum' as source, datetime, {_columns(DAILY)}
-    from {sql_nearest(_NAMED, 1)} n join {_FILLED} w using (input_city)""",
+    from {sql_nearest(NAMED_SITES, 1)} n join {_FILLED} w using (input_city)""",
 )
 def weather_latest_by_name(t):
     names = t.raw("nation").select(F.col("n_nationkey").alias("site"), F.col("n_name").alias("name"))

@@ -21,10 +21,8 @@ from gridloom.operators.reshape import pivot_values
 ROWS_PER_SERIES = 200_000
 CHUNK_STEPS = 16_384
 
-# Knots per spline task, and knots shared with the neighbours. The influence of a
-# knot fades by a factor of about 0.27 per knot, so 64 of them reach double precision.
-SPLINE_KNOTS = 512
-SPLINE_HALO = 64
+# Grid steps of the stretch of a series that one task of a spline holds.
+SPLINE_STEPS = 4096
 
 
 def time_grid(spark: SparkSession, start: datetime, end: datetime, minutes: int) -> DataFrame:
@@ -235,99 +233,270 @@ def resample_interpolate(
     return fill_gaps(means, series, values, minutes, limit=limit, span=span)
 
 
-def _spline_second_derivatives(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Second derivatives of the not-a-knot cubic spline at its knots (at least 4)."""
-    n = len(x)
+def _eliminated(x: np.ndarray, y: np.ndarray, first: int, total: int) -> tuple[int, np.ndarray]:
+    """Second derivatives at the knots of a piece, as sums of those beside it.
+
+    ``x`` and ``y`` hold the piece's knots and the one before and the one behind them, where there
+    are; ``first`` is the number of x[0] in its series of ``total`` knots. The not-a-knot ends are
+    put into the rows beside them, so that the unknowns are those of the knots 1 to total - 2, and
+    each row outweighs its neighbours. Returns the place of the first unknown in x, and a row for
+    each: the constant, the part of the unknown before the piece and of the one behind it.
+    """
     h = np.diff(x)
     slope = np.diff(y) / h
-    a = np.zeros((n, n))
-    b = np.zeros(n)
-    rows = np.arange(1, n - 1)
-    a[rows, rows - 1] = h[:-1]
-    a[rows, rows] = 2.0 * (h[:-1] + h[1:])
-    a[rows, rows + 1] = h[1:]
-    b[rows] = 6.0 * np.diff(slope)
-    a[0, :3] = [h[1], -(h[0] + h[1]), h[0]]
-    a[-1, -3:] = [h[-1], -(h[-2] + h[-1]), h[-2]]
-    return np.linalg.solve(a, b)
-
-
-def cubic_at(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Not-a-knot cubic spline through (x, y); fewer than 4 knots give the polynomial through them."""
-    if len(x) < 4:
-        return np.polynomial.Polynomial.fit(x, y, len(x) - 1)(at) if len(x) > 1 else np.full(len(at), np.nan)
-    m = _spline_second_derivatives(x, y)
+    number = first + np.arange(1, len(x) - 1)
+    left, right = h[:-1], h[1:]
+    lower, upper, middle = left.copy(), right.copy(), 2.0 * (left + right)
+    start, end = number == 1, number == total - 2
+    middle[start] += left[start] * (left[start] + right[start]) / right[start]
+    upper[start] -= left[start] ** 2 / right[start]
+    middle[end] += right[end] * (left[end] + right[end]) / left[end]
+    lower[end] -= right[end] ** 2 / left[end]
+    lower[start], upper[end] = 0.0, 0.0
+    known = np.zeros((len(number), 3))
+    known[:, 0] = 6.0 * np.diff(slope)
+    if len(number):
+        known[0, 1], known[-1, 2] = -lower[0], -upper[-1]
+    # Forward and back once through the rows; three right sides at a time.
+    rows, ups = known.tolist(), upper.tolist()
+    for i, (a, b) in enumerate(zip(lower.tolist(), middle.tolist(), strict=True)):
+        if i:
+            before = rows[i - 1]
+            b -= a * ups[i - 1]
+            rows[i] = [v - a * w for v, w in zip(rows[i], before, strict=True)]
+        ups[i] = ups[i] / b if i + 1 < len(rows) else 0.0
+        rows[i] = [v / b for v in rows[i]]
+    for i in range(len(rows) - 2, -1, -1):
+        rows[i] = [v - ups[i] * w for v, w in zip(rows[i], rows[i + 1], strict=True)]
+    return 1, np.array(rows).reshape(-1, 3)
+
+
+def _cubic(x: np.ndarray, y: np.ndarray, m: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The cubic pieces with second derivatives ``m`` at the knots."""
     k = np.clip(np.searchsorted(x, at, side="right") - 1, 0, len(x) - 2)
     h = x[k + 1] - x[k]
     left, right = (x[k + 1] - at) / h, (at - x[k]) / h
     return left * y[k] + right * y[k + 1] + ((left**3 - left) * m[k] + (right**3 - right) * m[k + 1]) * h * h / 6.0
 
 
+# What a piece tells of itself: its knots, those beside it, and what its elimination leaves.
+_PIECE = (
+    "__chunk long, __first long, __total long, __own long, __x array<double>, __y array<double>, "
+    "__rows array<array<double>>"
+)
+_BOUNDS = "__chunk long, __total long, __before array<double>, __behind array<double>, __short array<double>"
+_NUMBERS = pa.list_(pa.float64())
+_PIECE_TYPES = dict.fromkeys(["__chunk", "__first", "__total", "__own"], pa.int64()) | {
+    "__x": _NUMBERS, "__y": _NUMBERS, "__rows": pa.list_(_NUMBERS),
+}
+_BOUND_TYPES = dict.fromkeys(["__chunk", "__total"], pa.int64()) | dict.fromkeys(["__before", "__behind", "__short"], _NUMBERS)
+
+
+def _with_neighbours(piece: dict, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The knots of a piece between the one before and the one behind it, and the number of the first."""
+    first = piece["__from"]
+    if piece["__last_before"]:
+        x, y, first = np.insert(x, 0, piece["__last_before"]["__i"]), np.insert(y, 0, piece["__last_before"]["__v"]), first - 1
+    if piece["__first_behind"]:
+        x, y = np.append(x, piece["__first_behind"]["__i"]), np.append(y, piece["__first_behind"]["__v"])
+    return x, y, first
+
+
+def _sorted_knots(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    at = rows["__i"].to_numpy().astype("float64")
+    order = np.argsort(at, kind="stable")
+    value = rows["__v"].to_numpy(zero_copy_only=False).astype("float64")[order]
+    return order, at[order], value, ~np.isnan(value)
+
+
+def _reduced(pieces: list[dict]) -> list[dict]:
+    """Second derivatives at the knots beside each piece of a series, from what the eliminations left.
+
+    Pieces come in order. Each row says that an unknown is a constant, a part of the last unknown
+    before the piece and a part of the first one behind it; the pieces are gone through once
+    forward and once back. Where a series has too few knots for a spline, all of them go to each piece.
+    """
+    total = pieces[0]["__total"]
+    knots = {}  # number: x, y; the first and last three of each piece
+    for p in pieces:
+        for j, (x, y) in enumerate(zip(p["__x"], p["__y"], strict=True)):
+            knots[p["__first"] + (j if j < 3 else p["__own"] - len(p["__x"]) + j)] = (x, y)
+    if total < 4:
+        short = [v for k in sorted(knots) for v in knots[k]]
+        return [{"before": None, "behind": None, "short": short} for _ in pieces]
+    solved = [p for p in pieces if p["__rows"]]
+    forward, u, v = [], 0.0, 0.0
+    for p in solved:
+        head, tail = p["__rows"][0], p["__rows"][-1]
+        scale = 1.0 - head[1] * v
+        f0, f1 = (head[0] + head[1] * u) / scale, head[2] / scale
+        forward.append((f0, f1))
+        u, v = tail[0] + tail[1] * (u + v * f0), tail[1] * v * f1 + tail[2]
+    m: dict[int, float] = {}
+    behind = 0.0
+    ends = []
+    for p, (f0, f1) in zip(reversed(solved), reversed(forward), strict=True):
+        first = f0 + f1 * behind
+        ends.append((p, first, behind))
+        behind = first
+    ends.reverse()
+    before = 0.0
+    for p, _, behind in ends:
+        low = max(p["__first"], 1)
+        count = min(p["__first"] + p["__own"] - 1, total - 2) - low + 1
+        for j, row in enumerate(p["__rows"]):
+            place = j if j < 3 else count - len(p["__rows"]) + j
+            m[low + place] = row[0] + row[1] * before + row[2] * behind
+        before = m[low + count - 1]
+    x = lambda k: knots[k][0]
+    h = x(1) - x(0), x(2) - x(1)
+    m[0] = ((h[0] + h[1]) * m[1] - h[0] * m[2]) / h[1]
+    n = total - 1
+    h = x(n) - x(n - 1), x(n - 1) - x(n - 2)
+    m[n] = ((h[0] + h[1]) * m[n - 1] - h[0] * m[n - 2]) / h[1]
+    found = []
+    for p in pieces:
+        one, other = p["__first"] - 1, p["__first"] + p["__own"]
+        found.append(
+            {
+                "before": [*knots[one], m[one]] if one in m else None,
+                "behind": [*knots[other], m[other]] if other in m else None,
+                "short": [m[0], m[n]],
+            }
+        )
+    return found
+
+
 def interpolate_cubic(
     points: DataFrame,
     series: Sequence[str],
     column: str,
     minutes: int,
-    knots: int = SPLINE_KNOTS,
-    halo: int = SPLINE_HALO,
+    steps: int = SPLINE_STEPS,
 ) -> DataFrame:
-    """Fill the gaps of one column by a cubic spline per series, inside its known values.
-
-    A spline is the one filling that columns cannot express. Its knots are numbered per
-    series and cut into overlapping pieces, so no task holds more than
-    ``knots + 2 * halo`` of them however long the series is.
+    """Fill the gaps of one column by a not-a-knot cubic spline per series, inside its known values.
+
+    The spline is that of the whole series, whatever its length. A series is cut into stretches of
+    ``steps`` grid steps. Their counts and outermost knots say which knots each holds and which lie
+    beside it; each stretch eliminates its own unknowns, which leaves a few rows of it; those of a
+    series, two unknowns a stretch, are solved in one go, and each stretch fills its gaps. A task
+    holds one stretch, or the few rows of all stretches of a series. Fewer than four known values
+    give the polynomial through them. Rows without a series or a time go.
     """
     series = list(series)
     grid = (
         points.dropna(how="any", subset=[*series, "datetime"])
         .withColumn("__i", F.floor(F.unix_seconds("datetime") / F.lit(minutes * 60)))
-        .select(*series, column, "__i")
-    )
-    # Every row takes the number of the last known value at or before it.
-    numbered = grid.withColumn(
-        "__n",
-        F.count(column).over(Window.partitionBy(*series).orderBy("__i").rowsBetween(Window.unboundedPreceding, 0)) - 1,
+        .select(*series, "__i", F.nanvl(F.col(column).cast("double"), F.lit(None)).alias("__v"))
+        .withColumn("__chunk", F.floor(F.col("__i") / F.lit(steps)))
     )
-    home = F.floor(F.col("__n") / F.lit(knots))
-    position = F.pmod(F.col("__n"), F.lit(knots))
-    neighbours = F.when(
-        F.col(column).isNotNull(),
-        F.array_compact(
-            F.array(
-                F.when(position <= halo, home - 1),
-                home,
-                F.when(position >= knots - halo, home + 1),
-            )
-        ),
-    ).otherwise(F.array(home))
-    # Rows before the first known value have no home; they ride along with the first piece.
-    home = F.greatest(home, F.lit(0))
-    pieces = numbered.withColumn("__home", home).withColumn("__piece", F.explode(neighbours))
-    pieces = pieces.where((F.col("__piece") >= 0) | (F.col("__n") < 0))
-    pieces = pieces.withColumn("__piece", F.greatest("__piece", F.lit(0)))
-
+    key = [*series, "__chunk"]
+    knot = F.when(F.col("__v").isNotNull(), F.struct("__i", "__v"))
+    counted = grid.groupBy(*key).agg(F.count("__v").alias("__own"), F.min(knot).alias("__head"), F.max(knot).alias("__tail"))
+    # One row per stretch.
+    along = Window.partitionBy(*series).orderBy("__chunk")
+    before, behind = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    pieces = counted.select(
+        *key, "__own",
+        F.coalesce(F.sum("__own").over(before), F.lit(0)).alias("__from"),
+        F.sum("__own").over(Window.partitionBy(*series)).alias("__total"),
+        F.last("__tail", ignorenulls=True).over(before).alias("__last_before"),
+        F.first("__head", ignorenulls=True).over(behind).alias("__first_behind"),
+    )
     fields = {f.name: f for f in grid.schema.fields}
-    schema = T.StructType([fields[s] for s in series] + [fields["__i"], T.StructField(column, T.DoubleType())])
-
-    def fill(piece: pa.Table) -> pa.Table:
-        at = piece["__i"].to_numpy().astype("float64")
-        order = np.argsort(at)
-        at = at[order]
-        value = piece[column].to_numpy().astype("float64")[order]
-        knot = ~np.isnan(value)
-        x = at[knot]
-        if len(x) > 1:
-            inside = ~knot & (at >= x[0]) & (at <= x[-1])
+    parts = [fields[s] for s in series]
+
+    def schema(text: str) -> T.StructType:
+        return T.StructType([*parts, *T.StructType.fromDDL(text).fields])
+
+    def eliminate(rows: pa.Table, piece: pa.Table) -> pa.Table:
+        (info,) = piece.to_pylist()
+        _, at, value, known = _sorted_knots(rows)
+        own_x, own_y = at[known], value[known]
+        x, y, first = _with_neighbours(info, own_x, own_y)
+        kept = []
+        if info["__total"] >= 4 and len(x) >= 3:
+            kept = _eliminated(x, y, first, info["__total"])[1]
+            kept = (kept if len(kept) <= 6 else np.concatenate([kept[:3], kept[-3:]])).tolist()
+        ends = np.arange(len(own_x)) if len(own_x) <= 6 else np.r_[0:3, len(own_x) - 3 : len(own_x)]
+        return pa.Table.from_pylist(
+            [
+                {s: info[s] for s in key}
+                | {
+                    "__first": info["__from"], "__total": info["__total"], "__own": info["__own"],
+                    "__x": own_x[ends].tolist(), "__y": own_y[ends].tolist(), "__rows": kept,
+                }
+            ],
+            schema=typed(piece, _PIECE_TYPES),
+        )
+
+    def reduce(of_series: pa.Table) -> pa.Table:
+        listed = sorted(of_series.to_pylist(), key=lambda p: p["__chunk"])
+        return pa.Table.from_pylist(
+            [
+                {s: p[s] for s in key}
+                | {"__total": p["__total"], "__before": b["before"], "__behind": b["behind"], "__short": b["short"]}
+                for p, b in zip(listed, _reduced(listed), strict=True)
+            ],
+            schema=typed(of_series, _BOUND_TYPES),
+        )
+
+    def fill(rows: pa.Table, piece: pa.Table, bounds: pa.Table) -> pa.Table:
+        (info,), (ends,) = piece.to_pylist(), bounds.to_pylist()
+        order, at, value, known = _sorted_knots(rows)
+        x, y, first = _with_neighbours(info, at[known], value[known])
+        total = info["__total"]
+        inside = ~known
+        if total < 4:
+            whole = np.array(ends["__short"]).reshape(-1, 2)
+            inside &= (at >= whole[0, 0]) & (at <= whole[-1, 0]) if total > 1 else False
+            if inside.any():
+                shift = whole[0, 0]
+                value[inside] = np.polynomial.Polynomial.fit(whole[:, 0] - shift, whole[:, 1], total - 1)(at[inside] - shift)
+        elif len(x) > 1:
+            inside &= (at >= x[0]) & (at <= x[-1])
             if inside.any():
-                # Shifted to the first knot, to keep the powers small.
-                value[inside] = cubic_at(x - x[0], value[knot], at[inside] - x[0])
-        own = piece["__home"].to_numpy()[order] == piece["__piece"].to_numpy()[order]
-        kept = piece.select([*series, "__i"]).take(pa.array(order[own]))
-        return kept.append_column(column, pa.array(value[own], from_pandas=True))
+                m = np.empty(len(x))
+                low = int(info["__last_before"] is not None)
+                if ends["__before"]:
+                    m[0] = ends["__before"][2]
+                if ends["__behind"]:
+                    m[-1] = ends["__behind"][2]
+                if len(x) >= 3:
+                    rows_ = _eliminated(x, y, first, total)[1]
+                    beside = np.array([1.0, m[0] if low else 0.0, m[-1] if info["__first_behind"] else 0.0])
+                    # The knots at the ends of the series are no unknowns of a row.
+                    beside[1] = 0.0 if first == 0 else beside[1]
+                    beside[2] = 0.0 if first + len(x) == total else beside[2]
+                    m[1:-1] = rows_ @ beside
+                if first == 0:
+                    m[0] = ends["__short"][0]
+                if first + len(x) == total:
+                    m[-1] = ends["__short"][1]
+                value[inside] = _cubic(x, y, m, at[inside])
+        back = rows.select([*series, "__i"]).take(pa.array(order))
+        return back.append_column("__v", pa.array(value, pa.float64(), from_pandas=True))
+
+    def typed(table: pa.Table, types: dict) -> pa.Schema:
+        return pa.schema([*[table.schema.field(s) for s in series], *types.items()])
+
+    pieces = pieces.where("__total > 0")
+    pieces = pieces.toDF(*pieces.columns)  # columns of their own beside those of the grid
+    left = grid.groupBy(*key).cogroup(pieces.groupBy(*key)).applyInArrow(
+        lambda rows, piece: eliminate(rows, piece) if piece.num_rows else typed(rows, _PIECE_TYPES).empty_table(), schema(_PIECE)
+    )
+    bounds = left.groupBy(*series).applyInArrow(reduce, schema(_BOUNDS))
+    told = pieces.join(bounds.drop("__total"), key)
+    told = told.toDF(*told.columns)
+
+    def fill_or_leave(rows: pa.Table, piece: pa.Table) -> pa.Table:
+        if not piece.num_rows:  # nothing is known of the series
+            return rows.select([*series, "__i", "__v"])
+        return fill(rows, piece, piece)
 
-    filled = pieces.groupBy(*series, "__piece").applyInArrow(fill, schema)
+    filled = grid.groupBy(*key).cogroup(told.groupBy(*key)).applyInArrow(fill_or_leave, schema("__i long, __v double"))
     return filled.select(
         *series,
         F.timestamp_seconds(F.col("__i") * F.lit(minutes * 60)).alias("datetime"),
-        column,
+        F.col("__v").alias(column),
     )

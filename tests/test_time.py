@@ -180,13 +180,48 @@ def test_cubic_reproduces_a_cubic(spark):
     np.testing.assert_allclose(found, [f(i) for i in range(120)], rtol=1e-9, atol=1e-8)
 
 
-def test_cubic_in_pieces_equals_one_piece(spark):
+def dense_spline(x, y, at):
+    """The not-a-knot spline by one dense system over the coefficients' second derivatives."""
+    n, h = len(x), np.diff(x)
+    a, b = np.zeros((n, n)), np.zeros(n)
+    for i in range(1, n - 1):
+        a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
+        b[i] = 6 * ((y[i + 1] - y[i]) / h[i] - (y[i] - y[i - 1]) / h[i - 1])
+    a[0, :3] = h[1], -(h[0] + h[1]), h[0]
+    a[-1, -3:] = h[-1], -(h[-2] + h[-1]), h[-2]
+    m = np.linalg.solve(a, b)
+    k = np.clip(np.searchsorted(x, at, side="right") - 1, 0, n - 2)
+    u, v = (x[k + 1] - at) / h[k], (at - x[k]) / h[k]
+    return u * y[k] + v * y[k + 1] + ((u**3 - u) * m[k] + (v**3 - v) * m[k + 1]) * h[k] ** 2 / 6
+
+
+@pytest.mark.parametrize("steps", [100_000, 100, 7, 3, 1])
+def test_cubic_in_stretches_is_the_spline_of_the_whole_series(spark, steps):
+    n = 300 if steps < 7 else 1400
     f = lambda i: np.sin(i / 3.0) * 10 + (i * 7919 % 13)
-    gaps = lambda i: i < 4 or i > 1390 or i % 4 == 1 or 700 < i < 730
-    whole = spline_case(spark, f, 1400, gaps, knots=100_000)
-    pieces = spline_case(spark, f, 1400, gaps, knots=100, halo=64)
-    np.testing.assert_allclose(pieces, whole, rtol=1e-9, atol=1e-9)
-    assert np.isnan(whole[:4]).all() and np.isnan(whole[1392:]).all() and not np.isnan(whole[4:1390]).any()
+    gaps = lambda i: i < 4 or i > n - 10 or i % 4 == 1 or n // 2 < i < n // 2 + 30
+    found = spline_case(spark, f, n, gaps, steps=steps)
+    x = np.array([i for i in range(n) if not gaps(i)], float)
+    at = np.arange(x[0], x[-1] + 1)
+    np.testing.assert_allclose(found[~np.isnan(found)], dense_spline(x, f(x), at), rtol=1e-8, atol=1e-8)
+    assert np.isnan(found[: int(x[0])]).all() and np.isnan(found[int(x[-1]) + 1 :]).all()
+
+
+def test_cubic_of_every_number_of_knots(spark):
+    rows, f = [], lambda i: 0.1 * i**3 - i
+    for n in range(9):
+        rows += [(f"s{n}", T0 + timedelta(minutes=15 * i), float(f(i)) if i % 3 == 0 and i < 3 * n else None, None) for i in range(30)]
+    points = frame(spark, rows).drop("y")
+    for steps in (1, 4, 1000):
+        found = grids.interpolate_cubic(points, ["series"], "x", 15, steps=steps).toPandas().sort_values(["series", "datetime"])
+        for n in range(9):
+            got = found[found.series == f"s{n}"].x.to_numpy(float)
+            known = np.arange(n) * 3
+            want = np.full(30, np.nan)
+            if n:
+                inside = np.arange(known[-1] + 1)
+                want[inside] = np.polynomial.Polynomial.fit(known, f(known), min(n - 1, 3))(inside) if n > 1 else f(0)
+            np.testing.assert_allclose(got, want, atol=1e-7)
 
 
 def test_cubic_with_few_knots(spark):
