@@ -4,19 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARES = 16
+# Members of a key for each of its shares, and shares of a key at most: so many tasks it occupies,
+# and so often are its members repeated.
+PER_SHARE, MOST_SHARES = 16, 1024
+# Keys that can be hot in one join: as many are sent to all tasks at most. A sketch of TRACKED
+# counters per task finds them.
+HOT_KEYS, TRACKED = 1000, 10_000
 
 
-def fan_out_join(series: DataFrame, members: DataFrame, keys: Sequence[str], by: Sequence[str], shares: int = SHARES) -> DataFrame:
+def hot_keys(members: DataFrame, keys: Sequence[str], per_share: int = PER_SHARE) -> DataFrame:
+    """``__key`` (a hash) and ``__shares`` of the keys with more than ``per_share`` members, the hottest ones.
+
+    Counted by a sketch whose partial results are merged; it never says less than there are.
+    """
+    top = members.agg(
+        F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(HOT_KEYS), F.lit(TRACKED)).alias("top")
+    )
+    shares = F.least(F.ceil(F.col("count") / F.lit(per_share)), F.lit(MOST_SHARES)).cast("int")
+    return top.select(F.inline("top")).where(F.col("count") > per_share).select(F.col("item").alias("__key"), shares.alias("__shares"))
+
+
+def fan_out_join(
+    series: DataFrame, members: DataFrame, keys: Sequence[str], by: Sequence[str], per_share: int = PER_SHARE
+) -> DataFrame:
     """Inner join of rows with all members of their key, where one key may have most of either.
 
-    Such a key's output is large although its input may be small, which no skew handling
-    by input size notices. So the rows of a key are dealt into ``shares`` by a hash of
-    ``by``, and members, the short side, are repeated for every share.
+    The output of a key with many members is large although its input may be small, which no skew
+    handling by input size notices. So the rows of such a key are dealt by a hash of ``by`` over
+    shares in proportion to its members, and those are repeated for each share. All other keys
+    have one share and no copies; where one of them has most of the rows, its partition is split
+    by size while the join runs. Which keys are hot is measured on the members, the short side.
     """
-    dealt = series.withColumn("__share", F.pmod(F.xxhash64(*by), F.lit(shares)).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
-    return dealt.join(members.withColumn("__share", copies), [*keys, "__share"]).drop("__share")
+    hot = F.broadcast(hot_keys(members, keys, per_share))
+    shares = F.coalesce("__shares", F.lit(1))
+
+    def beside(rows: DataFrame, share: Column) -> DataFrame:
+        told = rows.withColumn("__key", F.xxhash64(*keys)).join(hot, "__key", "left")
+        return told.withColumn("__share", share).drop("__key", "__shares")
+
+    dealt = beside(series, F.pmod(F.xxhash64(*by), shares).cast("int"))
+    copied = beside(members, F.explode(F.sequence(F.lit(0), shares - 1)))
+    return dealt.join(copied, [*keys, "__share"]).drop("__share")

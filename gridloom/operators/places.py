@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geo
 from gridloom.functions.numeric import known
 from gridloom.operators.joins import fan_out_join
+from gridloom.operators.rings import RingIndex
 
 # Cell sizes in degrees, each half the one before; the first holds the globe, the last
 # is about 300 m high, little more than the slack below.
@@ -19,6 +23,9 @@ CELL_SIZES = [360.0 / 2**k for k in range(18)]
 # for the formula's error.
 ROUNDING_SLACK_KM = 0.2
 
+# Locations that go to all tasks as an index, some 10 MB; the table is counted first.
+MOST_INDEXED = 100_000
+
 
 def pv_with_missing_location(systems: DataFrame) -> DataFrame:
     """PV systems without coordinates. ``_`` is a wildcard here: ``pvx1`` matches too."""
@@ -178,15 +185,8 @@ def _nearest_in_cells(
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
 
 
-def nearest_locations(
-    sites: DataFrame, locations: DataFrame, number: int = 1, threshold: float = 150.0
-) -> DataFrame:
-    """The ``number`` nearest locations (``city, lat, lon``) of every site (``site, lat, lon``).
-
-    Distances are geodesic and rounded to 0.1 km; equal ones are ordered by city. A site whose
-    nearest location is not below ``threshold`` has one row, ``out_of_range``, without location; one
-    without coordinates (null or NaN) has such a row with ``out_of_range`` null. A location without
-    coordinates stops the job.
+def _nearest_by_cells(sites: DataFrame, locations: DataFrame, number: int, threshold: float) -> DataFrame:
+    """The same for locations of any number.
 
     No site meets every location. The search ends at the threshold: a site that has no cell of its
     own with enough locations looks at cells within the threshold only. Only sites that have some
@@ -222,6 +222,77 @@ def nearest_locations(
     )
 
 
+def candidate_locations(index: Broadcast, number: int, threshold: float) -> Callable:
+    """A function of lat and lon: the locations that can be among the nearest, as lists side by side."""
+
+    @F.pandas_udf("struct<city: array<string>, lat: array<double>, lon: array<double>>")
+    def near(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+        rings, cities, lats, lons = index.value
+        here = np.stack([lat.to_numpy(np.float64, na_value=np.nan), lon.to_numpy(np.float64, na_value=np.nan)], axis=1)
+        located = ~np.isnan(here).any(axis=1)
+        spots, of_row = np.unique(here[located], axis=0, return_inverse=True)
+        spot, place = rings.nearest(spots[:, 0], spots[:, 1], number, threshold)
+        cuts = np.searchsorted(spot, np.arange(len(spots) + 1))
+        parts = [np.zeros(0, np.int64)] * len(here)
+        for row, s in zip(np.flatnonzero(located).tolist(), of_row.ravel().tolist(), strict=True):
+            parts[row] = place[cuts[s] : cuts[s + 1]]
+        return pd.DataFrame({n: [v[p] for p in parts] for n, v in (("city", cities), ("lat", lats), ("lon", lons))})
+
+    return near
+
+
+def _indexed(locations: DataFrame, number: int) -> Broadcast | None:
+    """The locations as an index for all tasks; nothing where there are too many for one."""
+    held = locations.select("city", "lat", "lon").limit(MOST_INDEXED + 1).toPandas()
+    if len(held) > MOST_INDEXED:
+        return None
+    if held[["lat", "lon"]].isna().to_numpy().any():
+        raise ValueError("weather location without coordinates")
+    # Of locations at one spot only the first by name can be among the nearest.
+    held = held.sort_values(["lat", "lon", "city"])
+    held = held[held.groupby(["lat", "lon"]).cumcount() < number]
+    lat, lon = held["lat"].to_numpy(np.float64), held["lon"].to_numpy(np.float64)
+    index = RingIndex(lat, lon), held["city"].to_numpy(object), lat, lon
+    return locations.sparkSession.sparkContext.broadcast(index)
+
+
+def nearest_locations(
+    sites: DataFrame, locations: DataFrame, number: int = 1, threshold: float = 150.0
+) -> DataFrame:
+    """The ``number`` nearest locations (``city, lat, lon``) of every site (``site, lat, lon``).
+
+    Distances are geodesic and rounded to 0.1 km; equal ones are ordered by city. A site whose
+    nearest location is not below ``threshold`` has one row, ``out_of_range``, without location; one
+    without coordinates (null or NaN) has such a row with ``out_of_range`` null. A location without
+    coordinates stops the job.
+
+    Up to ``MOST_INDEXED`` locations go to all tasks as an index, and every site is answered where it
+    is, by a search in growing rings of cells (``rings``): nothing is shuffled, and a site meets about
+    as many locations as it asks for. More locations than that are joined by cells.
+    """
+    index = _indexed(locations, number)
+    if index is None:
+        return _nearest_by_cells(sites, locations, number, threshold)
+    lat, lon = known(F.col("lat")), known(F.col("lon"))
+    columns = [c for c in sites.columns if c not in ("lat", "lon")]
+    found = sites.select(*columns, lat.cast("double").alias("__lat"), lon.cast("double").alias("__lon"))
+    found = found.withColumn("__near", candidate_locations(index, number, threshold)("__lat", "__lon"))
+
+    def measured(place: Column) -> Column:
+        km = F.round(geo.geodesic_km(F.col("__lat"), F.col("__lon"), place["lat"], place["lon"]), 1)
+        return F.struct(km.alias("distance"), place["city"].alias("input_city"))
+
+    pairs = F.arrays_zip(F.col("__near.city").alias("city"), F.col("__near.lat").alias("lat"), F.col("__near.lon").alias("lon"))
+    found = found.withColumn("__ranked", F.slice(F.sort_array(F.transform(pairs, measured)), 1, number))
+    near = F.get("__ranked", F.lit(0))["distance"] < threshold
+    found = found.withColumn("__ranked", F.when(near, F.col("__ranked")))
+    located = F.col("__lat").isNotNull() & F.col("__lon").isNotNull()
+    return found.select(*columns, located.alias("__located"), F.posexplode_outer("__ranked").alias("__place", "__found")).select(
+        *columns, "__found.input_city", "__found.distance", (F.col("__place") + 1).alias("rank"),
+        F.when(F.col("__found").isNotNull(), F.lit(False)).when(F.col("__located"), F.lit(True)).alias("out_of_range"),
+    )
+
+
 def attach_distance(weather: DataFrame, nearest: DataFrame, number: int) -> DataFrame:
     """Give each site the series of its locations: with city and distance when there are several."""
     members = nearest.select("site", "input_city", "distance")

@@ -1,11 +1,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import geo
-from gridloom.operators import places
+from gridloom.operators import places, rings
 
 FR = [("A", 42.3, 2.2), ("B", 43.3, 2.6), ("C", 42.5, 2.6), ("D", 42.3, 2.6), ("E", 42.3, 2.8)]
 NL = [("Rotterdam", 51.926517, 4.462456), ("Amsterdam", 52.377956, 4.897070)]
@@ -57,7 +58,9 @@ def scattered(seed, n):
 
 @pytest.mark.parametrize("threshold", [150.0, 900.0, 25_000.0])
 @pytest.mark.parametrize("number", [1, 4])
-def test_nearest_equals_all_pairs(spark, number, threshold):
+@pytest.mark.parametrize("most_indexed", [places.MOST_INDEXED, 0])
+def test_nearest_equals_all_pairs(spark, monkeypatch, most_indexed, number, threshold):
+    monkeypatch.setattr(places, "MOST_INDEXED", most_indexed)
     locations = located(spark, [(f"c{i:04d}", *p) for i, p in enumerate(scattered(1, 150))])
     sites = site(spark, *scattered(2, 120))
     found = places.nearest_locations(sites, locations, number, threshold).select("site", "rank", "input_city", "distance")
@@ -87,6 +90,29 @@ def test_far_sites_meet_no_location(spark, sites_at):
     assert places.pairs_in_cells(inside, located(spark, near), 1, levels, 150.2).count() < 200 * 300 / 4
 
 
+def test_rings_meet_about_as_many_places_as_asked_for():
+    rng = np.random.default_rng(5)
+    towns = rng.normal(size=(40, 2)) * [8, 20] + [50, 10]
+    places_ = np.concatenate([t + rng.normal(size=(100, 2)) * 0.2 for t in towns] + [rng.uniform([-80, -180], [80, 180], (500, 2))])
+    index = rings.RingIndex(places_[:, 0], places_[:, 1])
+    spots = np.concatenate([places_[::7] + 0.01, rng.uniform([-89, -180], [89, 180], (500, 2))])
+    for number in (1, 3, 10):
+        spot, place = index.nearest(spots[:, 0], spots[:, 1], number, 25_000.0)
+        per_spot = np.bincount(spot, minlength=len(spots))
+        assert per_spot.min() >= number and per_spot.mean() <= 1.5 * number + 3
+        km = index.points @ np.stack(rings._on_sphere(spots[:, 0], spots[:, 1]), axis=0).T
+        best = np.argsort(-km, axis=0)[:number]
+        assert all(set(best[:, i]) <= set(place[spot == i]) for i in range(0, len(spots), 13))
+    # Nothing within the threshold: nothing is met.
+    assert len(index.nearest(np.array([-89.9]), np.array([0.0]), 3, 10.0)[0]) == 0
+    assert len(rings.RingIndex(np.zeros(0), np.zeros(0)).nearest(np.array([1.0]), np.array([1.0]), 3, 10.0)[0]) == 0
+
+
+def test_nearest_shuffles_nothing(spark):
+    found = places.nearest_locations(site(spark, *scattered(2, 20)), located(spark, NL), 2)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("radius", [15.0, 400.0])
 def test_systems_near_sites_equals_all_pairs(spark, radius):
     rows = [(f"s{i}", *p, "r", 0.9, 5, 1.0) for i, p in enumerate(scattered(3, 150))]
