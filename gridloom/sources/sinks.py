@@ -20,6 +20,8 @@ from gridloom.sources.tables import FIELD_CREATED
 BUCKETS_SETTING, BUCKETS = "spark.gridloom.buckets", 4
 # Row groups are small, so that a scan for one series of a partition reads few rows besides.
 ROW_GROUP_BYTES = 16 << 20
+# Of the filter on a tag of a row group, which takes all of it: enough for some 10,000 values.
+BLOOM_BYTES = 16 << 10
 # The folder of rows without a time.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -122,7 +124,7 @@ def upsert_last_write_wins(
     # Rows of a partition go together, so that tasks do not open a file for each; a partition too
     # large for one task is split again at run time.
     writer = merged.hint("rebalance", *[F.col(c) for c in PARTITIONS]).sortWithinPartitions(*PARTITIONS, *sorted(tags), time).write
-    writer = writer.option("parquet.block.size", ROW_GROUP_BYTES)
+    writer = writer.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.bloom.filter.max.bytes", BLOOM_BYTES)
     for tag in tags:
         writer = writer.option(f"parquet.bloom.filter.enabled#{tag}", "true")
     writer.partitionBy(*PARTITIONS).parquet(f"{path}/{snapshots.WRITE}={write}")
