@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,34 +29,42 @@ def id_remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def maybe_in(frame: DataFrame, column: str, bits: int = 26):
-    """A function of a column of longs: false for most values that ``column`` of the frame lacks, true for all it has.
+class FieldOfBits:
+    """Tells of longs that most of them are not in a set: a bit for the hash of each member."""
 
-    A bit for the hash of each value, in a field of fixed size (8 MB for 26) that goes to all
-    tasks. However many values there are, it only ever lets more through: an exact join follows.
+    def __init__(self, held, bits: int):
+        self.held, self.bits = held, bits
+
+    def __call__(self, values: pa.Array) -> np.ndarray:
+        """False for nulls and most values beside the set, true for all of its members."""
+        known = values.is_valid().to_numpy(zero_copy_only=False)
+        own = _bit_of(values.fill_null(0), self.bits)
+        return known & ((self.held.value[own >> 6] >> (own & 63)) & 1).astype(bool)
+
+
+def _bit_of(values: pa.Array, bits: int) -> np.ndarray:
+    hashed = values.cast(pa.int64()).to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (hashed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def maybe_in(frame: DataFrame, column: str, bits: int = 26) -> FieldOfBits:
+    """A field of bits of a column of longs, for use in tasks.
+
+    Its size is fixed (8 MB for 26 bits) and it goes to all tasks. However many values there are,
+    it only ever lets more through: an exact join follows.
     """
-    spread = np.uint64(0x9E3779B97F4A7C15)
-    slot = lambda values: ((values.astype(np.uint64) * spread) >> np.uint64(64 - bits)).astype(np.int64)
 
     def slots(batches):
         for batch in batches:
-            own = slot(batch.column(0).to_numpy(zero_copy_only=False))
-            words, masks = own >> 6, np.left_shift(np.int64(1), own & 63)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(masks)], ["word", "mask"])
+            own = _bit_of(batch.column(0), bits)
+            masks = np.left_shift(np.int64(1), own & 63)
+            yield pa.RecordBatch.from_arrays([pa.array(own >> 6), pa.array(masks)], ["word", "mask"])
 
     rows = frame.select(F.col(column).cast("long")).where(F.col(column).isNotNull()).mapInArrow(slots, "word long, mask long")
     found = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     field = np.zeros(1 << (bits - 6), np.int64)
     field[found.column("word").to_numpy()] = found.column("mask").to_numpy()
-    held = frame.sparkSession.sparkContext.broadcast(field)
-
-    @F.pandas_udf("boolean")
-    def maybe(values: pd.Series) -> pd.Series:
-        known = values.notna().to_numpy()
-        own = slot(values.fillna(0).to_numpy(np.int64))
-        return pd.Series(known & ((held.value[own >> 6] >> (own & 63)) & 1).astype(bool))
-
-    return maybe
+    return FieldOfBits(frame.sparkSession.sparkContext.broadcast(field), bits)
 
 
 def text_pieces(texts: list, most: int = 1_000_000):

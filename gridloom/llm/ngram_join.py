@@ -355,8 +355,11 @@ def _joined(docs: DataFrame, threshold: float, recall: float, bucket: int) -> tu
     wanted = classes.join(live.select("class_key").distinct(), "class_key", "left_semi")
     wanted = shared_table(wanted.select("class_key", "class_id", *NAME), "wanted")
 
+    maybe_wanted = maybe_in(wanted, "class_id")
+
     def shingles(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(maybe_wanted(batch.column("class_id"))))
             texts = batch.column("text").to_pylist()
             for start, end in text_pieces(texts):
                 keys, starts = shingle_sets(texts[start:end])
@@ -367,9 +370,8 @@ def _joined(docs: DataFrame, threshold: float, recall: float, bucket: int) -> tu
                     ["class_id", *NAME, "shingles"],
                 )
 
-    # Only texts that may be wanted leave their task.
+    # Only the sets of texts that may be wanted leave their task.
     texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text")
-    texts = texts.where(maybe_in(wanted, "class_id")("class_id")).join(wanted.select("class_id").distinct().hint("merge"), "class_id")
     texts = texts.mapInArrow(shingles, "class_id long, name_1 long, name_2 long, size long, shingles binary")
     texts = texts.join(wanted.hint("merge"), ["class_id", *NAME]).select("class_key", "shingles").dropDuplicates(["class_key"])
     full = live.join(texts.hint("merge"), "class_key")
@@ -432,12 +434,17 @@ def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     judged = rows.join(survivors, ["doc_id", *NAME], "left").select("doc_id", *NAME, "n", F.coalesce("stays", F.lit(False)).alias("stays"))
     touched = shared_table(judged.where("not stays or n > 1"), "touched")
 
-    maybe = maybe_in(touched, "doc_id")(F.col("doc_id").cast("long"))
+    maybe = maybe_in(touched, "doc_id")
     names = [f"__{c}" for c in NAME]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 
+    def untouched(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~maybe(batch.column("doc_id"))))
+
     def named(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(maybe(batch.column("doc_id"))))
             texts = batch.column("text").to_pylist()
             for start, end in text_pieces(texts):
                 keys, starts = shingle_sets(texts[start:end])
@@ -445,7 +452,7 @@ def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                 part = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, columns)], [*batch.schema.names, *names])
 
-    asked = docs.where(maybe).mapInArrow(named, schema)
+    asked = docs.mapInArrow(named, schema)
     of_row = touched.select(*[F.col(c).alias(f"__of_{c}") for c in ("doc_id", *NAME)], F.col("stays").alias("__stays"))
     same = F.col("doc_id").cast("long") == F.col("__of_doc_id")
     for c in NAME:
@@ -453,7 +460,8 @@ def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     found = asked.join(of_row, same, "left")
     first = Window.partitionBy("__of_doc_id", *[f"__of_{c}" for c in NAME]).orderBy("text")
     doubled = found.where("__stays").withColumn("__place", F.row_number().over(first)).where("__place = 1")
-    return docs.where(~maybe).unionByName(found.where("__stays is null").select(docs.columns)).unionByName(doubled.select(docs.columns))
+    left = docs.mapInArrow(untouched, docs.schema)
+    return left.unionByName(found.where("__stays is null").select(docs.columns)).unionByName(doubled.select(docs.columns))
 
 
 def ngram_query(spark, sf_dir) -> DataFrame:
