@@ -348,7 +348,9 @@ def count_phrases(docs: DataFrame, ranks: Ranks, length: int, least: int, shards
         counters: dict[str, TileCounter] = {}
 
         def rows(lang):
-            for width, tile, shard, columns, counts in counters.pop(lang).rows(shards):
+            counter = counters.pop(lang)
+            counter.count()  # pairs that are gathered go along
+            for width, tile, shard, columns, counts in counter.rows(shards):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang], pa.string()),
@@ -371,7 +373,6 @@ def count_phrases(docs: DataFrame, ranks: Ranks, length: int, least: int, shards
                 while sum(c.held_counts() for c in counters.values()) > HELD or sum(len(c.dense) for c in counters.values()) > DENSE_HELD:
                     yield from rows(max(counters, key=lambda k: counters[k].held_counts() + len(counters[k].dense)))
         for lang in list(counters):
-            counters[lang].count()
             yield from rows(lang)
 
     keys = [f"key_{i + 1}" for i in range(length)]

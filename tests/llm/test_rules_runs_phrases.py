@@ -261,6 +261,19 @@ def test_collocations_in_small_pieces(spark, monkeypatch):
     assert sorted(tuple(r) for r in found) == want
 
 
+def test_collocations_of_languages_that_alternate(spark, monkeypatch):
+    """Counts of a language that are sent on early take along what was gathered but not yet counted."""
+    rows = phrase_rows(8, 400)
+    for name, value in (("GATHERED", 100), ("HELD", 250)):
+        monkeypatch.setattr(collocations, name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = collocations.find_collocations(frame(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(tuple(r) for r in found) == plain_collocations(rows)
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.find_collocations(frame(spark, EDGES).limit(0)).count() == 0
     assert collocations.find_collocations(frame(spark, EDGES)).count() == 0
