@@ -243,14 +243,15 @@ def candidate_locations(index: Broadcast, number: int, threshold: float) -> Call
 
 def _indexed(locations: DataFrame, number: int) -> Broadcast | None:
     """The locations as an index for all tasks; nothing where there are too many for one."""
-    held = locations.select("city", "lat", "lon").limit(MOST_INDEXED + 1).toPandas()
+    # Of locations at one spot only the first by name can be among the nearest.
+    at_spot = Window.partitionBy("lat", "lon").orderBy(F.asc_nulls_last("city"))
+    first = locations.select("city", "lat", "lon", F.row_number().over(at_spot).alias("__n")).where(F.col("__n") <= number)
+    held = first.drop("__n").limit(MOST_INDEXED + 1).toPandas()
     if len(held) > MOST_INDEXED:
         return None
     if held[["lat", "lon"]].isna().to_numpy().any():
         raise ValueError("weather location without coordinates")
-    # Of locations at one spot only the first by name can be among the nearest.
     held = held.sort_values(["lat", "lon", "city"])
-    held = held[held.groupby(["lat", "lon"]).cumcount() < number]
     lat, lon = held["lat"].to_numpy(np.float64), held["lon"].to_numpy(np.float64)
     index = RingIndex(lat, lon), held["city"].to_numpy(object), lat, lon
     return locations.sparkSession.sparkContext.broadcast(index)
@@ -266,7 +267,7 @@ def nearest_locations(
     without coordinates (null or NaN) has such a row with ``out_of_range`` null. A location without
     coordinates stops the job.
 
-    Up to ``MOST_INDEXED`` locations go to all tasks as an index, and every site is answered where it
+    Up to ``MOST_INDEXED`` locations, ``number`` at one spot at most, go to all tasks as an index, and every site is answered where it
     is, by a search in growing rings of cells (``rings``): nothing is shuffled, and a site meets about
     as many locations as it asks for. More locations than that are joined by cells.
     """

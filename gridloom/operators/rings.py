@@ -8,8 +8,8 @@ EARTH_KM = 6371.0
 # Distances on the ellipsoid are from 0.994 to 1.0046 times those on the sphere of the index; what
 # may be as near as another place in rounded kilometres is within this factor and this much more.
 STRETCH, SLACK_KM = 1.011, 0.2
-# Places for each cell of the finest level, about.
-PER_CELL = 2
+# Places for each cell of the finest level, about; and its least size, some 60 m.
+PER_CELL, LEAST_SIZE = 2, 1e-5
 
 
 def _on_sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
@@ -31,7 +31,7 @@ class RingIndex:
 
     def __init__(self, lat: np.ndarray, lon: np.ndarray):
         self.points = _on_sphere(lat, lon)
-        finest = max(np.sqrt(4 * np.pi * PER_CELL / max(len(lat), 1)), 1e-5)
+        finest = self._finest()
         self.sizes = [finest * 2**k for k in range(max(1, int(np.ceil(np.log2(2 / finest))) + 1))]
         self.levels = []
         for size in self.sizes:
@@ -40,6 +40,18 @@ class RingIndex:
             cells, first = np.unique(keys[order], return_index=True)
             self.levels.append((cells, np.append(first, len(order)), order))
 
+    def _finest(self) -> float:
+        """Size of cells that hold about PER_CELL of the places around a place, however those crowd."""
+        places = np.unique(self.points, axis=0)
+        size = max(np.sqrt(4 * np.pi * PER_CELL / max(len(places), 1)), LEAST_SIZE)
+        while size / 2 >= LEAST_SIZE:
+            _, held = np.unique(self._keys(places, size), return_counts=True)
+            # The mean over places, not over cells: a crowd counts by its size.
+            if (held.astype(np.float64) ** 2).sum() <= PER_CELL * len(places):
+                break
+            size /= 2
+        return size
+
     @staticmethod
     def _keys(points: np.ndarray, size: float, shift=(0, 0, 0)) -> np.ndarray:
         cell = np.floor((points + 1) / size).astype(np.int64) + np.array(shift) + 1

@@ -108,6 +108,23 @@ def test_rings_meet_about_as_many_places_as_asked_for():
     assert len(rings.RingIndex(np.zeros(0), np.zeros(0)).nearest(np.array([1.0]), np.array([1.0]), 3, 10.0)[0]) == 0
 
 
+def test_rings_of_crowded_places():
+    """Cells are as small as places of one region ask for, not as if those were spread over the globe."""
+    k = np.arange(5000)
+    index = rings.RingIndex(50 + k * 37 % 350 / 100, 3 + k * 53 % 400 / 100)
+    spot, _ = index._ring(index.points, 0)
+    assert len(spot) < 100 * len(k)
+
+
+def test_locations_of_one_spot_count_once_for_the_index(spark, monkeypatch):
+    monkeypatch.setattr(places, "MOST_INDEXED", 4)
+    crowd = [("L%03d" % i, 52.0 + i % 2, 5.0) for i in range(60)]
+    held = spark.createDataFrame(crowd, "city string, lat double, lon double")
+    index = places._indexed(held, 2)
+    assert sorted(index.value[1]) == ["L000", "L001", "L002", "L003"]
+    assert places._indexed(held, 3) is None
+
+
 def test_nearest_shuffles_nothing(spark):
     found = places.nearest_locations(site(spark, *scattered(2, 20)), located(spark, NL), 2)
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
