@@ -72,26 +72,33 @@ def tag_constants(df: DataFrame, **values: object) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
-def kpi_rows(kpis: DataFrame, jobs: DataFrame) -> DataFrame:
-    """KPIs in long form (``pid, horizon, date, kpi, value``) cleaned, with the job's texts.
-
-    ``horizon`` is a text as ``47.0h``. Infinite values become +-9999.9, missing ones 0.
-    """
-    texts = jobs.select(F.col("id").alias("pid"), "description", F.col("name").alias("customer"))
+def _clean_kpis(kpis: DataFrame) -> DataFrame:
     return (
         kpis.withColumn("tAhead", F.replace(F.col("horizon"), F.lit("h"), F.lit("")).cast("double"))
         .withColumn("value", numeric.kpi_value(F.col("value")))
         .withColumn("pid", F.col("pid").cast("int"))
         .drop("horizon")
-        .join(texts, "pid", "left")
     )
 
 
+def kpi_rows(kpis: DataFrame, jobs: DataFrame) -> DataFrame:
+    """KPIs in long form (``pid, horizon, date, kpi, value``) cleaned, with the job's texts.
+
+    ``horizon`` is a text as ``47.0h``. Infinite values become +-9999.9, missing ones 0.
+    """
+    rows = _clean_kpis(kpis)
+    return rows.join(jobs.select(F.col("id").alias("pid"), "description", F.col("name").alias("customer")), "pid", "left")
+
+
 def kpi_wide(kpis: DataFrame, jobs: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per job, horizon and date with a column per KPI; an absent KPI is 0."""
-    rows = kpi_rows(kpis, jobs)
+    """One row per job, horizon and date with a column per KPI; an absent KPI is 0.
+
+    The texts, whose length has no bound, meet the rows that are left, not every KPI.
+    """
     cells = [F.coalesce(F.max(F.when(F.col("kpi") == n, F.col("value"))), F.lit(0.0)).alias(n) for n in names]
-    return rows.groupBy("pid", "tAhead", "description", "customer", "date").agg(*cells)
+    wide = _clean_kpis(kpis).groupBy("pid", "tAhead", "date").agg(*cells)
+    texts = jobs.select(F.col("id").alias("pid"), "description", F.col("name").alias("customer")).distinct()
+    return wide.join(texts, "pid", "left").select("pid", "tAhead", "description", "customer", "date", *[F.col(f"`{n}`") for n in names])
 
 
 def well_formed_measurements(df: DataFrame, column: str = "datetime") -> DataFrame:

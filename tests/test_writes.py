@@ -357,6 +357,22 @@ def test_zones_of_measurement_times(spark):
     assert {r["datetime"] for r in quality.malformed_measurements(df).collect()} == set(texts[3:])
 
 
+def test_texts_of_jobs_meet_kpis_that_are_brought_together(spark):
+    """Texts are joined to the rows of the answer; equal texts of a job are one, others each have their row."""
+    rows = [(1, "1h", "d", "a", 1.0), (1, "1h", "d", "b", 2.0), (None, "1h", "d", "a", 3.0), (9, None, None, "b", None)]
+    kpis = spark.createDataFrame(rows, "pid long, horizon string, date string, kpi string, value double")
+    jobs = spark.createDataFrame([(1, "x+y", "n"), (1, "x+y", "n"), (1, "z", None)], "id long, description string, name string")
+    wide = quality.kpi_wide(kpis, jobs, ["a", "b"])
+    found = {tuple(r) for r in wide.collect()}
+    assert found == {
+        (1, 1.0, "x+y", "n", "d", 1.0, 2.0), (1, 1.0, "z", None, "d", 1.0, 2.0),
+        (None, 1.0, None, None, "d", 3.0, 0.0), (9, None, None, None, None, 0.0, 0.0),
+    }
+    assert wide.count() == 4
+    grouped = [line for line in wide._jdf.queryExecution().optimizedPlan().toString().splitlines() if "tAhead" in line and "Aggregate" in line]
+    assert grouped and not any("description" in line for line in grouped)
+
+
 def test_kpis_of_unknown_jobs_are_reported(spark):
     kpis = spark.createDataFrame([(1, "47.0h", 1.0), (2, "47.0h", 2.0), (None, "47.0h", 3.0)], "pid int, horizon string, value double")
     known, unknown = writers.unknown_kpis(kpis, spark.createDataFrame([(1,), (1,)], "id int"))
