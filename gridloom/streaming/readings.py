@@ -114,20 +114,23 @@ def stream_bucket_means(readings: DataFrame, minutes: int, delay: str, path: str
 
 
 OUTCOME = "kind string, system string, type string, time timestamp, output double, created bigint, reason string"
-# What the state of a bucket holds: its points as text (type, second, output, created), and whether it is closed.
+# What a state holds: points as text (system, type, second, output, created), and whether it is closed.
 STATE = "points string, closed boolean"
+# A state has the points of one day and of one of so many shares of the systems. A state for each
+# system and bucket would have few points, and each costs milliseconds.
+SYSTEM_SHARES = 1024
 
 
-def bucket_points(keep_ms: int | None) -> Callable:
-    """Keep the points of one system and bucket, so that a correction replaces the old value in the mean.
+def bucket_points(minutes: int, keep_ms: int | None) -> Callable:
+    """Keep the points of the buckets of a day, so that a correction replaces the old value in the mean.
 
     Of a point the value created last counts, of those the one that came last, of one batch the
-    largest. With ``keep_ms``, the points go so long after the bucket was last touched, and a
-    mark stays: what comes later is passed on as of a closed bucket.
+    largest. With ``keep_ms``, the points go so long after the state was last touched, and a
+    mark stays: what comes later is passed on as of closed buckets.
     """
+    width = minutes * 60
 
     def update(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-        system, start = key
         if state.hasTimedOut:
             state.update(("[]", True))
             return
@@ -137,40 +140,47 @@ def bucket_points(keep_ms: int | None) -> Callable:
             for name in _ROW:
                 rows.setdefault(name, []).extend(frame[name].tolist())
         refused = [reason is not None for reason in rows["reason"]]
-        out = [["refused" if bad else "point" for bad in refused], [system] * len(refused), *(rows[c] for c in _CARRIED)]
+        out = [["refused" if bad else "point" for bad in refused], *(rows[c] for c in _CARRIED)]
         newest = _newest(rows, refused)
         if newest:
             points, closed = state.get if state.exists else ("[]", False)
-            mean = math.nan
+            # The values of each bucket that was touched.
+            touched: dict[tuple, list] = {(system, at - at % width): [] for system, _, at in newest}
             if not closed:
-                held = {(kind, at): (output, created) for kind, at, output, created in json.loads(points)}
+                held = {(system, kind, at): (output, created) for system, kind, at, output, created in json.loads(points)}
                 for place, (created, output) in newest.items():
                     if place not in held or created >= held[place][1]:
                         held[place] = output, created
                 state.update((json.dumps([[*place, *value] for place, value in held.items()]), False))
                 if keep_ms is not None:
                     state.setTimeoutDuration(keep_ms)
-                mean = math.fsum(v for v, _ in held.values()) / len(held)
-            for column, value in zip(out, ("closed" if closed else "mean", system, None, start, mean, None, None), strict=True):
-                column.append(value)
+                for (system, _, at), (output, _) in held.items():
+                    if (system, at - at % width) in touched:
+                        touched[system, at - at % width].append(output)
+            starts = {(s, int(at) - int(at) % width): b for bad, s, at, b in zip(refused, rows["system"], rows["second"], rows["bucket"], strict=True) if not bad}
+            for (system, start), values in touched.items():
+                mean = math.nan if closed else math.fsum(values) / len(values)
+                told = "closed" if closed else "mean", system, None, starts[system, start], mean, None, None
+                for column, value in zip(out, told, strict=True):
+                    column.append(value)
         yield pd.DataFrame(dict(zip(_OUTCOMES, out, strict=True)))
 
     return update
 
 
 _OUTCOMES = [part.split()[0] for part in OUTCOME.split(", ")]
-_CARRIED = _OUTCOMES[2:]
-_ROW = [*_CARRIED, "second"]
+_CARRIED = _OUTCOMES[1:]
+_ROW = [*_CARRIED, "second", "bucket"]
 
 
 def _newest(rows: dict[str, list], refused: list[bool]) -> dict[tuple, tuple]:
-    """For each point (type, second) of a batch when its newest value was created, and that value."""
+    """For each point (system, type, second) of a batch when its newest value was created, and that value."""
     newest: dict[tuple, tuple] = {}
-    columns = (rows[c] for c in ("type", "second", "created", "output"))
-    for bad, kind, at, created, output in zip(refused, *columns, strict=True):
+    columns = (rows[c] for c in ("system", "type", "second", "created", "output"))
+    for bad, system, kind, at, created, output in zip(refused, *columns, strict=True):
         if not bad:
-            value = int(created), output
-            newest[kind, at] = max(newest.get((kind, at), value), value)
+            value, place = (int(created), output), (system, kind, int(at))
+            newest[place] = max(newest.get(place, value), value)
     return newest
 
 
@@ -194,14 +204,14 @@ def stream_corrected_buckets(
 ) -> StreamingQuery:
     """Mean per (system, bucket), kept right under late and corrected points; readings go to ``table``.
 
-    The points of a bucket are state (``bucket_points``): a corrected point replaces its old value,
-    and no stored reading is read again. Readings with missing or infinite values are set aside
+    The points of a bucket are state (``bucket_points``), kept with those of its day and share of the
+    systems: a corrected point replaces its old value, and no stored reading is read again. Readings with missing or infinite values are set aside
     below ``rejects``, with the reason, and the others of their batch count. Everything written is
     an upsert, so a replayed micro-batch changes nothing. Without ``table`` the readings themselves
     are not stored.
 
-    State grows with the points. With ``keep``, a bucket's points are dropped so long after it was
-    last touched; a later point makes its mean be taken from ``table`` once more, so none is lost.
+    State grows with the points. With ``keep``, a state's points are dropped so long after it was
+    last touched; a later point makes a mean be taken from ``table`` once more, so none is lost.
     Timers run as long as the query does, so such a one looks for data ``every`` so often.
     """
     if keep is not None and (table is None or every is None):
@@ -216,9 +226,11 @@ def stream_corrected_buckets(
         F.col("output").cast("double").alias("output"),
         F.col("created").cast("bigint").alias("created"),
     ).withColumns({"second": F.unix_seconds("time"), "reason": _reason()})
-    keyed = keyed.withColumn("bucket", timeops.bucket(F.col("time"), minutes))
-    outcomes = keyed.groupBy("system", "bucket").applyInPandasWithState(
-        bucket_points(None if keep is None else int(keep.total_seconds() * 1000)), OUTCOME, STATE, "update",
+    keyed = keyed.withColumn("bucket", timeops.bucket(F.col("time"), minutes)).withColumns(
+        {"share": F.pmod(F.xxhash64("system"), F.lit(SYSTEM_SHARES)), "day": F.to_date("bucket")}
+    )
+    outcomes = keyed.groupBy("share", "day").applyInPandasWithState(
+        bucket_points(minutes, None if keep is None else int(keep.total_seconds() * 1000)), OUTCOME, STATE, "update",
         GroupStateTimeout.NoTimeout if keep is None else GroupStateTimeout.ProcessingTimeTimeout,
     )
 

@@ -232,6 +232,17 @@ def feed_rows(spark, feed, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
 
 
+def test_buckets_of_a_day_share_a_state(spark, tmp_path):
+    feed, buckets, state = (str(tmp_path / n) for n in ("feed", "buckets", "state"))
+    rows = [(DAY + timedelta(hours=h, minutes=m), f"s{k}", "t", float(h + m), 1) for h in range(24) for m in (0, 30) for k in range(2)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(feed)
+    query = streams.stream_corrected_buckets(streams.read_stream(spark, feed), 60, None, buckets, state)
+    query.awaitTermination()
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) <= 2
+    found = {(r["system"], r["time"]): r["output"] for r in tables.read_series(spark, buckets).collect()}
+    assert found == {(f"s{k}", DAY + timedelta(hours=h)): h + 15.0 for h in range(24) for k in range(2)}
+
+
 def test_corrections_replace_in_state_without_a_table(spark, tmp_path):
     feed = str(tmp_path / "feed")
     at = lambda m: DAY + timedelta(minutes=m)
