@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,9 @@ from gridloom.operators.reshape import pivot_values
 ROWS_PER_SERIES = 200_000
 CHUNK_STEPS = 16_384
 
+# Grid points that a task of ``refill_gaps`` holds at once, unless one series has more.
+REFILL_POINTS = 200_000
+
 # Grid steps of the stretch of a series that one task of a spline holds.
 SPLINE_STEPS = 4096
 
@@ -196,6 +200,139 @@ def fill_columns(
     return pivot_values(filled, ["datetime"], "__field", {c: c for c in columns}, "__value")
 
 
+# A column of a task: its values, and which of them are known.
+Cells = tuple[np.ndarray, np.ndarray]
+
+
+def _first_of_each(series: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.diff(series, prepend=-1))
+
+
+def _filled(
+    series: np.ndarray, at: np.ndarray, columns: list[Cells], limit: int | None
+) -> tuple[np.ndarray, np.ndarray, list[Cells]]:
+    """``fill_gaps``, linear and with a tail, for whole series that a task holds.
+
+    ``series`` numbers them from 0, ``at`` holds their steps in order. Returned are series, steps
+    and columns of all grid points.
+    """
+    cuts = _first_of_each(series)
+    sizes = at[np.append(cuts[1:], len(at)) - 1] - at[cuts] + 1
+    shift = np.cumsum(sizes) - sizes - at[cuts]
+    of_point = np.repeat(np.arange(len(cuts)), sizes)
+    point = np.arange(len(of_point))
+    place = at + shift[series]
+    filled = []
+    for value, known in columns:
+        # Known points between two that belong to no series.
+        spot = np.concatenate([[-1], place[known], [-1]])
+        owner = np.concatenate([[-1], series[known], [-1]])
+        v = np.concatenate([[0.0], value[known], [0.0]])
+        marks = np.zeros(len(point), np.int64)
+        marks[place[known]] = 1
+        before = np.cumsum(marks)
+        behind = before + 1
+        low, distance = v[before], point - spot[before]
+        with np.errstate(all="ignore"):
+            between = low + (v[behind] - low) * distance / (spot[behind] - spot[before])
+        inside = (owner[behind] == of_point) & (distance > 0)
+        near = owner[before] == of_point
+        filled.append((np.where(inside, between, low), near if limit is None else near & (distance <= limit)))
+    return of_point, point - shift[of_point], filled
+
+
+def _means_of_wider(
+    series: np.ndarray, bucket: np.ndarray, columns: list[Cells]
+) -> tuple[np.ndarray, np.ndarray, list[Cells]]:
+    """``bucket_mean`` of the points of a task, in order of series and bucket."""
+    first = np.flatnonzero((np.diff(series, prepend=-1) != 0) | (np.diff(bucket, prepend=bucket[0] - 1) != 0))
+    means = []
+    for value, known in columns:
+        known = known & ~np.isnan(value)
+        count = np.add.reduceat(known.astype(np.int64), first)
+        with np.errstate(all="ignore"):
+            means.append((np.add.reduceat(np.where(known, value, 0.0), first) / count, count > 0))
+    return series[first], bucket[first], means
+
+
+def refill_gaps(
+    points: DataFrame,
+    series: Sequence[str],
+    columns: Sequence[str],
+    minutes: int,
+    wider: int,
+    limit: int | None,
+    span: tuple[datetime, datetime],
+    rows_per_series: int = ROWS_PER_SERIES,
+) -> DataFrame:
+    """``fill_gaps``, then means of buckets of ``wider`` minutes, then ``fill_gaps`` on their grid.
+
+    The grids have far more rows than ``points``. So those are dealt by series (texts or whole
+    numbers) and sorted, and a task brings some series at a time, with all their columns, through
+    the three steps in arrays; only the answer becomes rows. Where a series may be too long for
+    that, the steps follow each other as queries. Columns are doubles.
+    """
+    series, columns = list(series), list(columns)
+    if timeops.grid_size(*span, min(minutes, wider)) > rows_per_series:
+        fine = fill_gaps(points, series, columns, minutes, limit, span=span, rows_per_series=rows_per_series)
+        means = bucket_mean(fine, series, columns, wider, time="datetime")
+        return fill_gaps(means, series, columns, wider, limit, span=span, rows_per_series=rows_per_series)
+    step, wide = minutes * 60, wider * 60
+
+    def numbered(rows: pa.Table) -> np.ndarray:
+        changed = np.zeros(rows.num_rows, bool)
+        for s in series:
+            changed[1:] |= pc.not_equal(rows[s].slice(1), rows[s].slice(0, rows.num_rows - 1)).to_numpy()
+        return np.cumsum(changed)
+
+    def answer(rows: pa.Table, number: np.ndarray) -> pa.RecordBatch:
+        number = number - number[0]
+        cells = [(rows[c].to_numpy(), rows[c].is_valid().to_numpy()) for c in columns]
+        of_point, at, cells = _filled(number, rows["__i"].to_numpy(), cells, limit)
+        of_point, at, cells = _filled(*_means_of_wider(of_point, at * step // wide, cells), limit)
+        keys = rows.select(series).take(pa.array(_first_of_each(number)[of_point])).combine_chunks()
+        arrays = [keys[s].combine_chunks() for s in series]
+        arrays += [pa.array(at), *[pa.array(value, mask=~known) for value, known in cells]]
+        return pa.RecordBatch.from_arrays(arrays, names=[*series, "__i", *columns])
+
+    def answers(rows: pa.Table, number: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not rows.num_rows:
+            return
+        cuts = np.append(_first_of_each(number - number[0]), rows.num_rows)
+        at = rows["__i"].to_numpy()
+        total = np.cumsum(at[cuts[1:] - 1] - at[cuts[:-1]] + 1)
+        done, first = 0, 0
+        while first < len(total):
+            last = max(int(np.searchsorted(total, done + REFILL_POINTS, side="right")), first + 1)
+            yield answer(rows.slice(cuts[first], cuts[last] - cuts[first]), number[cuts[first] : cuts[last]])
+            done, first = total[last - 1], last
+
+    def refill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+                number = numbered(rows)
+                # The last series may go on in the next batch.
+                cut = int(np.searchsorted(number, number[-1]))
+                held = rows.slice(cut)
+                yield from answers(rows.slice(0, cut), number[:cut])
+        if held is not None:
+            yield from answers(held, numbered(held))
+
+    points = (
+        points.dropna(how="any", subset=[*series, "datetime"])
+        .withColumn("__i", F.floor(F.unix_seconds("datetime") / F.lit(step)))
+        .select(*series, "__i", *columns)
+    )
+    # A number of its own: the few bytes of the points say little of the work.
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = points.repartition(parts, *series).sortWithinPartitions(*series, "__i")
+    filled = dealt.mapInArrow(refill, points.schema)
+    return filled.select(*series, F.timestamp_seconds(F.col("__i") * F.lit(wide)).alias("datetime"), *columns)
+
+
 def interpolate_inside(points: DataFrame, series: Sequence[str], columns: Sequence[str], minutes: int, **kw) -> DataFrame:
     """Linear, without limit, nothing outside the first and last known value."""
     return fill_gaps(points, series, columns, minutes, limit=None, tail=False, **kw)

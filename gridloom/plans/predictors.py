@@ -12,13 +12,12 @@ from gridloom.constants import (
     BLENDED_SOURCE,
     PROFILE_FIELDS,
     PROFILE_GAP_LIMIT,
-    WEATHER_GAP_LIMIT,
     WEATHER_PARAMS,
 )
 from gridloom.functions.timeops import grid_size
-from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, fill_gaps, forward_fill
+from gridloom.operators.grids import bucket_any, bucket_mean, fill_columns, forward_fill
 from gridloom.operators.places import nearest_locations
-from gridloom.plans.weather import preferred, weather_by_city
+from gridloom.plans.weather import preferred, weather_by_city, weather_on_wider_grid
 from gridloom.sources.tables import scan_series
 
 # Largest table by time that is broadcast, from its rows and columns.
@@ -80,11 +79,9 @@ def weather_predictors(
     """
     fields = [f for f in weather_fields(add_weather_params) if f in weather.columns]
     source, source_order = preferred(source, source_order)
-    quarter = weather_by_city(weather, fields, start, end, source, 15, source_order, cities=cities)
     if minutes == 15:
-        return quarter.drop("source")
-    means = bucket_mean(quarter, ["input_city"], fields, minutes, time="datetime")
-    return fill_gaps(means, ["input_city"], fields, minutes, limit=WEATHER_GAP_LIMIT, span=(start, end))
+        return weather_by_city(weather, fields, start, end, source, 15, source_order, cities=cities).drop("source")
+    return weather_on_wider_grid(weather, fields, start, end, source, 15, minutes, source_order, cities=cities)
 
 
 def with_city(sites: DataFrame, locations: DataFrame) -> DataFrame:

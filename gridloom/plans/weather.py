@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from gridloom.constants import BLENDED_SOURCE, WEATHER_GAP_LIMIT, WEATHER_SOURCES
 from gridloom.functions import timeops
 from gridloom.functions.numeric import known
-from gridloom.operators.grids import bucket_any, bucket_mean, fill_gaps
+from gridloom.operators.grids import bucket_any, bucket_mean, fill_gaps, refill_gaps
 from gridloom.operators.places import attach_distance, nearest_locations
 from gridloom.sources.tables import scan_series
 
@@ -104,6 +104,24 @@ def weather_by_city(
     return fill_gaps(means, ["source", "input_city"], fields, minutes, limit=limit, span=(start, end))
 
 
+def weather_on_wider_grid(
+    weather: DataFrame,
+    fields: Sequence[str],
+    start: datetime,
+    end: datetime,
+    source: str | Sequence[str] = BLENDED_SOURCE,
+    minutes: int = 15,
+    wider: int = 60,
+    source_order: Sequence[str] | None = None,
+    limit: int | None = WEATHER_GAP_LIMIT,
+    cities: DataFrame | None = None,
+) -> DataFrame:
+    """Weather of one source, or the blended one, filled on the grid of ``minutes``, then brought to
+    that of ``wider`` minutes and filled there again."""
+    means = _means(weather, ["input_city"], fields, minutes, start, end, source, source_order, cities)
+    return refill_gaps(means, ["input_city"], fields, minutes, wider, limit, span=(start, end))
+
+
 def weather_latest(
     weather: DataFrame,
     sites: DataFrame,

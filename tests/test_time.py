@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import timeops
 from gridloom.operators import grids
+from gridloom.plans import predictors
 from gridloom.plans.weather import with_source_run
 
 T0 = datetime(2022, 1, 1)
@@ -232,3 +233,42 @@ def test_cubic_with_few_knots(spark):
 def test_floor_value_and_size():
     assert timeops.floor_value(datetime(2022, 1, 1, 10, 44), 15) == datetime(2022, 1, 1, 10, 30, tzinfo=timezone.utc)
     assert timeops.grid_size(T0, T0 + timedelta(days=1), 15) == 97
+
+
+@pytest.mark.parametrize("wider, limit", [(30, 3), (60, None), (5, 2), (40, 11)])
+def test_refill_gaps_like_the_steps_one_by_one(spark, wider, limit, monkeypatch):
+    def written(df):
+        # Sums of more than two are added in another order.
+        return sorted(str([f"{v:.9g}" if isinstance(v, float) else str(v) for v in row]) for row in df.collect())
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for name, step in [("a", 1), ("b", 9), ("c", 40), ("d", 300), (None, 2)]:
+        for i in np.cumsum(rng.integers(1, step + 1, 60)).tolist():
+            cells = [None if rng.random() < 0.4 else float(rng.normal()) for _ in range(3)]
+            rows.append((name, T0 + timedelta(minutes=15 * i - 4000), *cells))
+    rows += [("lone", T0, 1.0, None, float("nan")), ("e", None, 1.0, 2.0, 3.0), ("far", T0 + timedelta(days=200), 1.0, 2.0, None)]
+    rows += [("far", T0, 5.0, None, float("inf")), ("far", T0 + timedelta(minutes=30), 7.0, None, 2.0)]
+    points = spark.createDataFrame(rows, "key string, datetime timestamp, x double, y double, z double").repartition(3)
+    span = T0 - timedelta(days=30), T0 + timedelta(days=300)
+    columns = ["x", "y", "z"]
+    monkeypatch.setattr(grids, "REFILL_POINTS", 500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        args = points, ["key"], columns, 15, wider, limit, span
+        found = written(grids.refill_gaps(*args))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == written(grids.refill_gaps(*args, rows_per_series=10))
+    fine = grids.fill_gaps(points, ["key"], columns, 15, limit, span=span)
+    means = grids.bucket_mean(fine, ["key"], columns, wider, time="datetime")
+    assert found == written(grids.fill_gaps(means, ["key"], columns, wider, limit, span=span))
+
+
+def test_refill_gaps_makes_no_row_before_the_answer(spark):
+    """The grids were rows that were aggregated and sorted, many for each point."""
+    points = spark.createDataFrame([("a", T0, 1.0), ("a", T0 + timedelta(days=9), 2.0)], "input_city string, time timestamp, temp double")
+    found = predictors.weather_predictors(points.withColumn("source", F.lit("s")), T0, T0 + timedelta(days=30), 60, "s")
+    assert found.count() == 9 * 24 + 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
