@@ -27,8 +27,20 @@ def hot_keys(members: DataFrame, keys: Sequence[str], per_share: int = PER_SHARE
     return top.select(F.inline("top")).where(F.col("count") > per_share).select(F.col("item").alias("__key"), shares.alias("__shares"))
 
 
+def _with_rows(hot: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The hot keys that some row has, none with more shares than rows."""
+    told = rows.select(F.xxhash64(*keys).alias("__key")).join(F.broadcast(hot), "__key")
+    counted = told.groupBy("__key").agg(F.first("__shares").alias("__shares"), F.count(F.lit(1)).alias("__rows"))
+    return counted.select("__key", F.least("__shares", "__rows").cast("int").alias("__shares"))
+
+
 def fan_out_join(
-    series: DataFrame, members: DataFrame, keys: Sequence[str], by: Sequence[str], per_share: int = PER_SHARE
+    series: DataFrame,
+    members: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    per_share: int = PER_SHARE,
+    count_rows: bool = False,
 ) -> DataFrame:
     """Inner join of rows with all members of their key, where one key may have most of either.
 
@@ -37,8 +49,12 @@ def fan_out_join(
     shares in proportion to its members, and those are repeated for each share. All other keys
     have one share and no copies; where one of them has most of the rows, its partition is split
     by size while the join runs. Which keys are hot is measured on the members, the short side.
+    Where they may be the long side, ``count_rows`` counts the rows of hot keys too (``series`` is
+    read once more for it): a key with few rows has as few shares, so that its members are copied
+    no more often than they are joined.
     """
-    hot = F.broadcast(hot_keys(members, keys, per_share))
+    hot = hot_keys(members, keys, per_share)
+    hot = F.broadcast(_with_rows(hot, series, keys) if count_rows else hot)
     shares = F.coalesce("__shares", F.lit(1))
 
     def beside(rows: DataFrame, share: Column) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import joins
+from gridloom.operators import joins, places
 
 
 @pytest.fixture(params=["4", "64"])
@@ -62,3 +62,34 @@ def test_keys_of_several_columns_and_nulls(spark):
     assert joined.count() == 401
     assert joins.fan_out_join(series.limit(0), members, ["k", "c"], by=["at"]).count() == 0
     assert joins.fan_out_join(series, members.limit(0), ["k", "c"], by=["at"]).count() == 0
+
+
+def test_members_are_copied_no_more_often_than_they_meet_rows(spark):
+    """Two rows near 4,000 members made 250 copies of each, and a key without rows as many."""
+    members = spark.range(8000).select((F.col("id") % 2).alias("k"), F.col("id").alias("m"))
+    series = spark.createDataFrame([(0, 1), (0, 2), (5, 3), (None, 4)], "k long, at int")
+    hot = joins._with_rows(joins.hot_keys(members, ["k"]), series, ["k"])
+    assert [r["__shares"] for r in hot.collect()] == [2]
+    joined = joins.fan_out_join(series, members, ["k"], by=["at"], count_rows=True)
+    assert joined.count() == 8000
+    assert joined.exceptAll(series.join(members, "k")).count() == 0
+    for rows, of in ((series.limit(0), members), (series, members.limit(0))):
+        assert joins.fan_out_join(rows, of, ["k"], by=["at"], count_rows=True).count() == 0
+
+
+def test_systems_near_a_site_are_copied_no_more_often_than_there_are_sites(spark, monkeypatch):
+    seen = {}
+    systems = spark.range(3000).selectExpr(
+        "concat('s', id) as sid", "52.0D as lat", "5.0D as lon", "'R' as region", "0.9D as qual", "0 as freq"
+    )
+    site = spark.createDataFrame([(1, 52.0, 5.0)], "site long, lat double, lon double")
+
+    def counted(series, members, keys, by, **options):
+        hot = joins.hot_keys(members, keys)
+        hot = joins._with_rows(hot, series, keys) if options.get("count_rows") else hot
+        seen["copies"] = hot.agg(F.max("__shares")).first()[0]
+        return joins.fan_out_join(series, members, keys, by, **options)
+
+    monkeypatch.setattr(places, "fan_out_join", counted)
+    assert places.systems_near_sites(site, systems).count() == 3000
+    assert seen["copies"] == 1
