@@ -104,7 +104,11 @@ def predicted_load_tahead(
     fields = ["forecast_solar" if component else "forecast", "stdev"]
     points = exclude_types(scan_series(predictions, start, end).where(F.col("tAhead").isin(*horizons)))
     series = bucket_mean(points, [*SERIES, "tAhead"], fields, minutes)
-    # The mean over series and the pivot are one aggregate.
+    # The mean over series and the pivot are one aggregate. Its rows are wide and most jobs and buckets
+    # have few series, so that aggregating them before they are dealt would only fill memory. The
+    # number of parts is given: the bytes that are dealt say little of what the wide rows take.
+    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    series = series.repartition(parts, "pid", "datetime")
     names = {(f, h): f"{f}_{h}h" for f in fields for h in horizons}
     cells = [F.avg(F.when(F.col("tAhead") == h, F.col(f))).alias(name) for (f, h), name in names.items()]
     result = series.groupBy("pid", "datetime").agg(*cells)
