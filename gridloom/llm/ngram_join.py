@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.buckets import block_pairs, components, dealt_blocks, local_roots, together, whole_blocks
-from gridloom.llm.common import documents, maybe_in, shared_table, text_pieces
+from gridloom.llm.common import documents, maybe_in, shared_table, small_batches, text_pieces
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -30,6 +30,9 @@ DENSE = 0.5
 SKETCH = 128
 SHORT = 0.15
 
+# Characters whose shingles a worker makes at once, and words whose hashes it remembers.
+PIECE, WORDS = 250_000, 100_000
+
 _WORD = re.compile(r"\w+")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.random.default_rng(17).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,7 +60,7 @@ def shingle_sets(texts: list[str | None], words: int = SHINGLE) -> tuple[np.ndar
     Words are runs of letters, digits and underscores in lower case. A text of fewer words is one
     shingle of all of them; a text without words has none.
     """
-    if len(_words) > 500_000:
+    if len(_words) > WORDS:
         _words.clear()
     listed = [_WORD.findall((t or "").lower()) for t in texts]
     known = _words
@@ -151,7 +154,7 @@ def document_sets(docs: DataFrame, runs: int) -> DataFrame:
     def build(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for start, end in text_pieces(texts):
+            for start, end in text_pieces(texts, PIECE):
                 keys, starts = shingle_sets(texts[start:end])
                 name, sizes, sketch, tokens = signatures(keys, starts, runs)
                 columns = [_first_paths(tokens), *tokens[FIRST:]]
@@ -325,6 +328,7 @@ def join_documents(
 
 def _joined(docs: DataFrame, threshold: float, recall: float, bucket: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The set of each document, links and component of each class of sets, and the class each component keeps."""
+    small_batches(docs.sparkSession)
     runs = runs_for(recall, threshold)
     sets = shared_table(document_sets(docs, runs), "sets")
     firsts = [F.first(c).alias(c) for c in ("sketch", *TOKENS)]
@@ -361,7 +365,7 @@ def _joined(docs: DataFrame, threshold: float, recall: float, bucket: int) -> tu
         for batch in batches:
             batch = batch.filter(pa.array(maybe_wanted(batch.column("class_id"))))
             texts = batch.column("text").to_pylist()
-            for start, end in text_pieces(texts):
+            for start, end in text_pieces(texts, PIECE):
                 keys, starts = shingle_sets(texts[start:end])
                 part = [keys[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
                 names = [x.view(np.int64) for x in set_names(keys, starts)]
@@ -446,7 +450,7 @@ def one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
         for batch in batches:
             batch = batch.filter(pa.array(maybe(batch.column("doc_id"))))
             texts = batch.column("text").to_pylist()
-            for start, end in text_pieces(texts):
+            for start, end in text_pieces(texts, PIECE):
                 keys, starts = shingle_sets(texts[start:end])
                 columns = [*(x.view(np.int64) for x in set_names(keys, starts)), np.diff(starts)]
                 part = batch.slice(start, end - start)

@@ -351,3 +351,27 @@ def test_documents_without_copies_are_not_shuffled(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(200))
     union = kept._jdf.queryExecution().optimizedPlan()
     assert union.nodeName() == "Union" and "Join" not in union.children().head().toString()
+
+
+def test_a_worker_holds_few_texts_and_words_at_once(spark, monkeypatch):
+    """Batches held 10,000 texts of any length, and half a million words stayed in each worker."""
+    from gridloom.llm import common, ngram_join
+
+    before = spark.conf.get(common.BATCH_ROWS)
+    try:
+        spark.conf.unset(common.BATCH_ROWS)
+        docs = spark.range(20).selectExpr("id as doc_id", "concat('some words of the text ', id % 10) as text")
+        assert ngram_join.one_of_each_group(docs).count() == 10
+        assert int(spark.conf.get(common.BATCH_ROWS)) == common.TEXTS_PER_BATCH
+        spark.conf.set(common.BATCH_ROWS, "7")
+        common.small_batches(spark)
+        assert spark.conf.get(common.BATCH_ROWS) == "7"
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
+    monkeypatch.setattr(ngram_join, "_words", {})
+    texts = [" ".join(f"w{i}" for i in range(k, k + 30_000)) for k in range(0, 240_000, 30_000)]
+    whole = ngram_join.shingle_sets(texts)[0]
+    parts = [ngram_join.shingle_sets([t])[0] for t in texts]
+    assert sum(map(len, parts)) == len(whole)
+    assert all((a == b).all() for a, b in zip(parts, [whole[i * len(parts[0]) :][: len(parts[0])] for i in range(8)], strict=True))
+    assert len(ngram_join._words) <= ngram_join.WORDS + 30_000
