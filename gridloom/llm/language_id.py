@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import documents, id_remainder, label_sample, text_pieces
+from gridloom.llm.common import documents, id_remainder, label_sample, small_batches, text_pieces
 
 ORDER = 4
 # Bound of the training sample, in documents of each language and characters of each document.
@@ -364,6 +364,7 @@ def known_languages(docs: DataFrame) -> DataFrame:
 
     Without any labelled row nothing can be judged, and all documents stay.
     """
+    small_batches(docs.sparkSession)
     identifier = trained(docs)
     if identifier is None:
         return docs

@@ -375,3 +375,17 @@ def test_a_worker_holds_few_texts_and_words_at_once(spark, monkeypatch):
     assert sum(map(len, parts)) == len(whole)
     assert all((a == b).all() for a, b in zip(parts, [whole[i * len(parts[0]) :][: len(parts[0])] for i in range(8)], strict=True))
     assert len(ngram_join._words) <= ngram_join.WORDS + 30_000
+
+
+def test_languages_are_told_from_small_batches(spark):
+    """The first stage of the pipeline took 10,000 texts of any length at once; only near copies bounded them."""
+    from gridloom.llm import common, language_id
+
+    before = spark.conf.get(common.BATCH_ROWS)
+    try:
+        spark.conf.unset(common.BATCH_ROWS)
+        docs = spark.range(3000).selectExpr("id as doc_id", "concat('some words of the text ', id) as text", "'en' as lang")
+        assert language_id.known_languages(docs).count() > 0
+        assert int(spark.conf.get(common.BATCH_ROWS)) == common.TEXTS_PER_BATCH
+    finally:
+        spark.conf.set(common.BATCH_ROWS, before)
