@@ -164,3 +164,35 @@ def test_locations_at_one_spot(spark):
     crowd = [(f"x{i:03d}", 52.0, 5.0) for i in range(200)] + [("a", 52.1, 5.0)]
     found = places.nearest_locations(site(spark, (52.0, 5.0)), located(spark, crowd), 3).orderBy("rank").collect()
     assert [(r["input_city"], r["distance"]) for r in found] == [("x000", 0.0), ("x001", 0.0), ("x002", 0.0)]
+
+
+def test_pairs_take_no_sines_of_their_points(spark):
+    """Every pair of a site and a system in its cells took five sines and cosines, though most were out of reach."""
+    sites = spark.createDataFrame([(1, 52.0, 5.0), (2, float("nan"), 5.0)], "site int, lat double, lon double")
+    systems = spark.createDataFrame([("a", 52.0, 5.1, "R", 0.9)], "sid string, lat double, lon double, region string, qual double")
+    found = places.systems_near_sites(sites, systems, 15.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join Inner" in line and "ACOS" in line]
+    assert joins and not any("RADIANS" in line or "SIN(" in line.replace("ASIN(", "") for line in joins)
+    near = found.where("site = 1").collect()
+    assert [r["sid"] for r in near] == ["a"]
+    km = spark.range(1).select(geo.great_circle_km(F.lit(52.0), F.lit(5.0), F.lit(52.0), F.lit(5.1)).alias("km")).first()["km"]
+    assert near[0]["distance"] == km
+
+
+@pytest.mark.parametrize("radius", [-1.0, 0.0, 1e-4, 0.5, 15.0, 6000.0, 20_015.0, 20_016.0, 30_000.0])
+def test_judged_by_vectors_as_by_distance(spark, radius):
+    draw = random.Random(3)
+    rows = [(52.0, 5.0, 52.0, 5.0), (0.0, 0.0, 0.0, 180.0), (90.0, 0.0, -90.0, 7.0), (float("nan"), 1.0, 2.0, 3.0)]
+    for _ in range(500):
+        lat, lon = draw.uniform(-89, 89), draw.uniform(-180, 180)
+        # Systems about as far north of the site as the radius is long.
+        rows.append((lat, lon, lat + math.degrees(radius / 6371.0) * draw.choice([1 - 1e-9, 1.0, 1 + 1e-9, 0.7, 1.3]), lon))
+        rows.append((lat, lon, draw.uniform(-90, 90), draw.uniform(-180, 180)))
+    points = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    first, second = geo.turned("p", F.col("a"), F.col("b")), geo.turned("q", F.col("c"), F.col("d"))
+    told = points.select(
+        geo.turned_below(first, second, radius).alias("below"),
+        (geo.great_circle_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")) < radius).alias("near"),
+    )
+    assert told.where("not (below <=> near)").count() == 0
