@@ -9,6 +9,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridloom.llm import buckets, common, decontaminate, embedding_join, mixing, ngram_join, warc
@@ -389,3 +390,31 @@ def test_languages_are_told_from_small_batches(spark):
         assert int(spark.conf.get(common.BATCH_ROWS)) == common.TEXTS_PER_BATCH
     finally:
         spark.conf.set(common.BATCH_ROWS, before)
+
+
+def test_embeddings_are_written_a_few_times_only(spark, tmp_path, monkeypatch):
+    """Vectors that fill their dimensions evenly visit many cells; what is written does not grow with these."""
+    monkeypatch.setattr(embedding_join, "LEAST_CHUNK", 300)
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    x[:40] = x[40:80] * 2 + 0.02 * rng.normal(size=(40, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(common, "shared_folder", lambda _: f"{tmp_path}/{len(list(tmp_path.iterdir()))}")
+    rows = embedding_join.join_embeddings(frame).collect()
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 4 * x.nbytes
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows} == {
+        i: (1, i % 40) if i < 80 else (0, i) for i in range(3000)
+    }
+
+
+def test_embeddings_that_share_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "vector_key", lambda: F.size("vector") % 1)
+    rows = [(1, [0.0, 1.0]), (2, [-0.0, 1.0]), (3, [1.0, 0.0]), (4, [0.0, 3.0])]
+    found = embedding_join.join_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in found} == {(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 2, 1)}
+
+
+def test_embeddings_of_either_zero(spark):
+    rows = [(1, [-0.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, -0.0])]
+    found = embedding_join.join_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in found} == {(1, 1, 1), (2, 1, 1), (3, 0, 3)}
