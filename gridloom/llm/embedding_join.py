@@ -23,7 +23,7 @@ BLOCKS = 4
 # Vectors of a chunk: so many chunks at least are aimed at, within these bounds and this many bytes.
 CHUNKS, LEAST_CHUNK, MOST_CHUNK, CHUNK_BYTES = 24, 1024, 16_384, 8 << 20
 # Cells per block: about one for so many vectors of a chunk, within these bounds.
-VECTORS_PER_CELL = 32
+VECTORS_PER_CELL = 128
 LEAST_CELLS, MOST_CELLS = 16, 512
 # Bound of the sample from which the cells' centers come, in vectors.
 SAMPLE_VECTORS = 20_000
@@ -135,8 +135,8 @@ def _packed(space: Subspaces, number: int, ids: np.ndarray, copies: np.ndarray,
         x = rotated(unit(whole[begin : begin + 2048]), space.signs)
         for block, seen in enumerate(visits):
             home[block, begin : begin + 2048], reach = space.cells(x, block)
-            seen.append(np.packbits(reach, axis=1))
-    bits = b"".join(part.tobytes() for seen in visits for part in seen)
+            seen.append(np.packbits(reach.T, axis=1))
+    bits = b"".join(np.concatenate(seen, axis=1).tobytes() for seen in visits)
     return {
         "chunk": number, "class_id": ids.tobytes(), "copies": copies.tobytes(), "vectors": whole.astype(kind).tobytes(),
         "home": home.tobytes(), "visits": zlib.compress(bits, 1),
@@ -174,14 +174,19 @@ class Chunk:
         n, blocks = len(self.ids), len(space.cuts)
         self.unit = unit(np.frombuffer(row["vectors"], kind).reshape(n, size))
         self.home = np.frombuffer(row["home"], np.int16).reshape(blocks, n)
-        # A row for each vector: its cells of a block by bits, whose number may differ by block.
-        bits, at, self.seen = np.frombuffer(zlib.decompress(row["visits"]), np.uint8), 0, []
+        # By block a row for each cell: which vectors live in it or visit it, in bits.
+        bits, at, self.guests = np.frombuffer(zlib.decompress(row["visits"]), np.uint8), 0, []
         for c in space.centers:
-            width = (len(c) + 7) // 8
-            own = bits[at : at + n * width].reshape(n, width)
-            at += n * width
-            # Turned around, a row for each cell.
-            self.seen.append(np.ascontiguousarray(np.unpackbits(own, axis=1, count=len(c)).T).view(bool))
+            width = (n + 7) // 8
+            self.guests.append(bits[at : at + len(c) * width].reshape(len(c), width))
+            at += len(c) * width
+
+    def rows_in(self, block: int, cell: int) -> np.ndarray:
+        return np.flatnonzero(np.unpackbits(self.guests[block][cell], count=len(self.ids)))
+
+    def is_in(self, block: int, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Whether each row lives in the cell beside it or visits it."""
+        return (self.guests[block][cells, rows >> 3] >> (7 - (rows & 7)).astype(np.uint8) & 1).astype(bool)
 
     @cached_property
     def turned(self) -> np.ndarray:
@@ -209,7 +214,7 @@ def _meetings(host: Chunk, guest: Chunk, block: int) -> Iterator[tuple[np.ndarra
     order, starts, own, _ = host.screens[block]
     others, edge = guest.screens[block][3], -(host.space.budget(block) + SLACK) / 2 - SCREEN
     for cell in np.flatnonzero(np.diff(starts)):
-        here = np.flatnonzero(guest.seen[block][cell])
+        here = guest.rows_in(block, cell)
         if not len(here):
             continue
         theirs, step = others[here].T, max(1, DISTANCES // len(here))
@@ -240,13 +245,13 @@ def _once(one: Chunk, other: Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarra
         for i, j in _gathered(_meetings(one, other, block)):
             if one is other:
                 # Where each visits the other's cell, the pair also comes the other way around.
-                mirrored = other.seen[block][one.home[block][j], i]
+                mirrored = other.is_in(block, i, one.home[block][j])
                 keep = (i < j) | ((i > j) & ~mirrored)
                 i, j = i[keep], j[keep]
             yield block, i, j
         if one is not other:
             for j, i in _gathered(_meetings(other, one, block)):
-                new = ~other.seen[block][one.home[block][i], j]
+                new = ~other.is_in(block, j, one.home[block][i])
                 yield block, i[new], j[new]
 
 
