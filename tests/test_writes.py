@@ -384,6 +384,24 @@ def test_texts_of_jobs_meet_kpis_that_are_brought_together(spark):
     assert grouped and not any("description" in line for line in grouped)
 
 
+def test_texts_of_jobs_do_not_come_in_long_runs(spark):
+    """KPIs that come in turns leave in turns; sorted by job, a writer of long texts gathered more than it could hold."""
+    kpis = spark.range(0, 2000, 1, 2).selectExpr("id % 4 as pid", "'1.5h' as horizon", "'d' as date", "'a' as kpi", "1.0D as value")
+    jobs = spark.createDataFrame([(i, f"{i}+" * 20, f"n{i}") for i in range(4)], "id long, description string, name string")
+    # As where the texts are too long to be sent to all tasks.
+    wanted = {"spark.sql.shuffle.partitions": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        found = [(r["pid"], r["description"], r["customer"]) for r in quality.kpi_rows(kpis, jobs).collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(found) == sorted((i % 4, f"{i % 4}+" * 20, f"n{i % 4}") for i in range(2000))
+    assert max(len(list(run)) for _, run in itertools.groupby(found)) < 100
+
+
 def test_kpis_of_unknown_jobs_are_reported(spark):
     kpis = spark.createDataFrame([(1, "47.0h", 1.0), (2, "47.0h", 2.0), (None, "47.0h", 3.0)], "pid int, horizon string, value double")
     known, unknown = writers.unknown_kpis(kpis, spark.createDataFrame([(1,), (1,)], "id int"))
